@@ -59,6 +59,11 @@ def clean_html(text: Column) -> Column:
     return F.trim(collapse(plain))
 
 
+def strip(text: Column) -> Column:
+    """Outer blanks of every kind off, line breaks and tabs too."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def normalize_text(text: Column) -> Column:
     return F.trim(collapse(F.lower(text)))
 
@@ -79,6 +84,11 @@ def spoken_sentences(text: Column) -> Column:
     return let(parts, lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(text)))
 
 
+def review_sentences(text: Column) -> Column:
+    """Sentences of a raw review, line breaks also ending one; outer blanks off, empty ones out."""
+    return F.filter(F.transform(split_sentences(strip(text), newlines=True), strip), lambda s: s != "")
+
+
 def words(text: Column, lowercase: bool = True, accents: bool = True) -> Column:
     """Words of two or more characters; ``accents=False`` strips Latin accents first."""
     source = F.lower(text) if lowercase else text

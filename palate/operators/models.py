@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from palate.functions import labels
 from palate.functions.polarity import polarity as polarity_of
-from palate.functions.text import split_sentences
+from palate.functions.text import review_sentences
 from palate.operators import metrics
 from palate.operators.features import TermRules, Tfidf, class_weights, fit_tfidf
 from palate.sources.staging import stage, staging_path
@@ -278,13 +278,12 @@ def score_reviews(
 ) -> DataFrame:
     """Sentences of whole reviews with their aspects, confidence and polarity; a sentence
     without an aspect keeps its best score under a row of its own."""
-    trimmed = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
-    sentences = F.filter(split_sentences(trimmed, newlines=True), lambda s: s.rlike(r"\S"))
+    sentences = review_sentences(F.col(text))
     rows = stage(
         df.select(key, F.posexplode(sentences).alias("i", "sentence")).select(
             key,
             (F.col("i") + 1).alias("sentence_number"),
-            F.trim("sentence").alias("sentence"),
+            "sentence",
             F.concat_ws("/", F.col(key).cast("string"), F.col("i")).alias("_doc"),
         ),
         "review_sentences",
