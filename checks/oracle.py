@@ -257,11 +257,14 @@ STAGES: dict[str, str] = {
     "word_counts": f"""
       SELECT doc_id AS doc, term, count(*) AS tf
       FROM (SELECT doc_id, unnest({words('text')}) AS term FROM documents) GROUP BY ALL""",
-    "grams": f"""
-      SELECT doc_id AS doc, w[i] AS term FROM (SELECT doc_id, {words('text')} AS w, unnest(range(1, len({words('text')}) + 1)) AS i FROM documents)
+    "placed_words": f"""
+      SELECT doc_id AS doc, unnest(w) AS term, generate_subscripts(w, 1) AS pos
+      FROM (SELECT doc_id, {words('text')} AS w FROM documents)""",
+    "grams": """
+      SELECT doc, term FROM placed_words
       UNION ALL
-      SELECT doc_id, w[i] || ' ' || w[i + 1]
-      FROM (SELECT doc_id, {words('text')} AS w, unnest(range(1, len({words('text')}))) AS i FROM documents)""",
+      SELECT doc, gram FROM (SELECT doc, term || ' ' || lead(term) OVER (PARTITION BY doc ORDER BY pos) AS gram FROM placed_words)
+      WHERE gram IS NOT NULL""",
     "gram_counts": "SELECT doc, term, count(*) AS tf FROM grams GROUP BY ALL",
     "gram_terms": """
       SELECT term, count(*) AS df, sum(tf) AS cf, ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + count(*))) + 1.0 AS idf
@@ -272,7 +275,7 @@ STAGES: dict[str, str] = {
       SELECT doc, term, (1.0 + ln(tf)) * idf AS w FROM gram_counts JOIN gram_terms USING (term)""",
     "sequence_words": r"""
       SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\n]', ' ', 'g'), ' '),
-                                 x -> x <> '') AS w
+                                 lambda x: x <> '') AS w
       FROM documents""",
     "sequence_ids": """
       SELECT term, row_number() OVER (ORDER BY n DESC, term) + 1 AS id
@@ -296,7 +299,7 @@ NEEDS: dict[str, list[str]] = {
     "pieces": ["silver"], "sentences": ["pieces"], "split_sentences": ["sentences"], "labelled": ["split_sentences"],
     "spoken": ["sentences"], "signed": ["spoken"], "polar": ["labelled", "signed"], "long": ["polar"], "seeded": ["polar"],
     "ranking": ["long"], "trend": ["long"], "cells": ["scores"], "rates": ["scores"], "pair_sums": ["pairs"],
-    "gram_counts": ["grams"], "gram_terms": ["gram_counts"], "gram_weights": ["gram_terms"],
+    "grams": ["placed_words"], "gram_counts": ["grams"], "gram_terms": ["gram_counts"], "gram_weights": ["gram_terms"],
     "sequence_ids": ["sequence_words"],
 }
 
@@ -416,7 +419,7 @@ sql("aspect_sentences", "sentences", "SELECT * FROM sentences")
 sql("review_sentences", "reviews", rf"""
     SELECT Id, CAST(generate_subscripts(kept, 1) - 1 AS INTEGER) AS sentence_index, unnest(kept) AS sentence
     FROM (SELECT Id, list_filter(list_transform({split_sentences(r"regexp_replace(Text, '^\s+|\s+$', '', 'g')", True)},
-                                                x -> regexp_replace(x, '^\s+|\s+$', '', 'g')), x -> x <> '') AS kept
+                                                lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS kept
           FROM reviews)""")
 sql("hash_sample", "sentences", """
     SELECT sentence_id, sentence_text FROM sentences, (SELECT count(*) AS total FROM sentences)
@@ -483,7 +486,7 @@ sql("idf", "word_counts", """
     FROM word_counts GROUP BY term""")
 sql("tfidf", "gram_weights", "SELECT doc, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc)), 6) AS weight FROM gram_weights")
 sql("encode_sequences", "sequence_ids", """
-    SELECT doc_id AS doc, array_to_string(list_concat(coalesce(ids, []), list_transform(range(200 - len(coalesce(ids, []))), x -> 0)), ' ') AS ids
+    SELECT doc_id AS doc, array_to_string(list_concat(coalesce(ids, []), list_transform(range(200 - len(coalesce(ids, []))), lambda x: 0)), ' ') AS ids
     FROM documents LEFT JOIN (
       SELECT doc_id, list(coalesce(id, 1) ORDER BY pos) AS ids
       FROM (SELECT doc_id, unnest(w[1:200]) AS term, generate_subscripts(w[1:200], 1) AS pos FROM sequence_words)

@@ -28,6 +28,11 @@ VOCABULARY_RULES = TermRules(min_df=3, max_df=0.9, max_features=2_000, stop_word
 TFIDF_RULES = TermRules(low=1, high=2, min_df=3, max_df=0.98, max_features=2_000)
 MODEL_RULES = TermRules(low=1, high=2, min_df=3, max_df=0.98, max_features=20_000, accents=False)
 
+CSV_AS_IS = {
+    "header": True, "quote": '"', "escape": '"', "quoteAll": True,
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
 
 def query(f: Query) -> Query:
     QUERIES[f.__name__] = f
@@ -116,7 +121,7 @@ def csv_roundtrip(spark, d):
     """Reviews written as CSV and read back as raw files: every value survives."""
     path = staging_path(spark, "csv")
     raw = fx.reviews(spark, d).select(*tables.RAW_COLUMNS)
-    raw.write.options(header=True, quote='"', escape='"', quoteAll=True).csv(path)
+    raw.write.options(**CSV_AS_IS).csv(path)
     return tables.read_raw(spark, path).drop("_source_file")
 
 
@@ -124,7 +129,7 @@ def csv_roundtrip(spark, d):
 def csv_inferred(spark, d):
     path = staging_path(spark, "csv")
     raw = fx.reviews(spark, d).select(*tables.RAW_COLUMNS)
-    raw.write.options(header=True, quote='"', escape='"', quoteAll=True).csv(path)
+    raw.write.options(**CSV_AS_IS).csv(path)
     return tables.read_raw(spark, path, infer=True).drop("_source_file")
 
 
@@ -133,7 +138,7 @@ def bronze_lineage(spark, d):
     """Source file and ingest time as a real file read fills them."""
     path = staging_path(spark, "csv")
     raw = fx.reviews(spark, d).select(*tables.RAW_COLUMNS)
-    raw.write.options(header=True, quote='"', escape='"', quoteAll=True).csv(path)
+    raw.write.options(**CSV_AS_IS).csv(path)
     rows = layers.to_bronze(tables.read_raw(spark, path))
     return rows.select("raw_id", "_source_file", "_bronze_ingested_at", "_record_id")
 

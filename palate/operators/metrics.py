@@ -26,20 +26,30 @@ def _f1(precision: Column, recall: Column) -> Column:
     return _ratio(2.0 * precision * recall, precision + recall)
 
 
-def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def _count(weight: str | None, condition: Column | None = None) -> Column:
+    """Rows that meet the condition; with ``weight``, a row stands for that many."""
+    value = F.lit(1) if weight is None else F.col(weight)
+    if condition is not None:
+        value = F.when(condition, value)
+    return F.count(value) if weight is None else F.coalesce(F.sum(value), F.lit(0))
+
+
+def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction", weight: str | None = None) -> DataFrame:
     """``tn, fp, fn, tp`` in one row."""
     y, p = F.col(label), F.col(prediction)
 
     def cell(actual: int, predicted: int) -> Column:
-        return F.count(F.when((y == actual) & (p == predicted), 1))
+        return _count(weight, (y == actual) & (p == predicted))
 
     return df.agg(cell(0, 0).alias("tn"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"), cell(1, 1).alias("tp"))
 
 
-def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def binary_metrics(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", weight: str | None = None
+) -> DataFrame:
     """Accuracy, balanced accuracy, and precision, recall, F1 of the positive class."""
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    rates = confusion(df, label, prediction).select(
+    rates = confusion(df, label, prediction, weight).select(
         _ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
         ((_ratio(tp, tp + fn) + _ratio(tn, tn + fp)) / 2.0).alias("balanced_accuracy"),
         _ratio(tp, tp + fp).alias("precision"),
@@ -48,10 +58,10 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
     return rates.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
 
 
-def class_rates(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def class_rates(df: DataFrame, label: str, prediction: str, weight: str | None = None) -> DataFrame:
     """Precision, recall, F1 and support of every class seen as label or prediction."""
     pairs = df.groupBy(F.col(label).alias("y"), F.col(prediction).cast(df.schema[label].dataType).alias("p")).agg(
-        F.count(F.lit(1)).alias("n")
+        _count(weight).alias("n")
     )
     hit = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)
     zero = F.lit(0).cast("bigint")
@@ -78,9 +88,11 @@ def _averages(rates: DataFrame, weighted: bool) -> list[Column]:
     return [_ratio(F.sum(F.col(c) * weight), F.sum(weight)).alias(c) for c in ("precision", "recall", "f1")]
 
 
-def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def weighted_metrics(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", weight: str | None = None
+) -> DataFrame:
     """Accuracy and support-weighted precision, recall and F1."""
-    rates = class_rates(df, label, prediction)
+    rates = class_rates(df, label, prediction, weight)
     precision, recall, f1 = _averages(rates, weighted=True)
     return rates.agg(
         _ratio(F.sum("tp"), F.sum("support")).alias("accuracy"),
@@ -137,22 +149,24 @@ def multilabel_metrics(long: DataFrame, aspect: str = "aspect", label: str = "y"
     )
 
 
-def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
+def score_counts(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
     """Positives and negatives per distinct score: all that ranking measures need."""
     positive = F.col(label) == 1
     return df.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count(F.when(positive, 1)).alias("pos"), F.count(F.when(~positive, 1)).alias("neg")
+        _count(weight, positive).alias("pos"), _count(weight, ~positive).alias("neg")
     )
 
 
-def running_counts(df: DataFrame, label: str, score: str, ranges: int = SCORE_RANGES) -> DataFrame:
+def running_counts(
+    df: DataFrame, label: str, score: str, weight: str | None = None, ranges: int = SCORE_RANGES
+) -> DataFrame:
     """Score counts with totals over all lower scores (``pos_below``, ``neg_below``).
 
     Scores are cut at approximate quantiles; each range keeps its own running sum and gets
     the total of the ranges below it. No task sees more than one range. The cuts only
     steer the work; the sums are exact wherever they fall.
     """
-    counts = stage(score_counts(df, label, score), "scores")
+    counts = stage(score_counts(df, label, score, weight), "scores")
     steps = [i / ranges for i in range(1, ranges)]
     cuts = sorted(set(counts.approxQuantile("score", steps, 1 / (4 * ranges))))
     if cuts:
@@ -179,34 +193,41 @@ def running_counts(df: DataFrame, label: str, score: str, ranges: int = SCORE_RA
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Area under the ROC curve by ranks, tied scores counted half."""
-    won = F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)
-    return running_counts(df, label, score).agg(_ratio(F.sum(won), F.sum("pos") * F.sum("neg")).alias("roc_auc"))
+    return ranking_metrics(df, label, score).select("roc_auc")
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Precision averaged over the recall gained at each distinct score."""
-    counts = running_counts(df, label, score)
-    totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    total_pos, total_neg = totals.select("p").scalar(), totals.select("n").scalar()
-    caught, wrong = total_pos - F.col("pos_below"), total_neg - F.col("neg_below")
-    gain = F.sum(F.col("pos") * (caught / (caught + wrong)))
-    return counts.agg(_ratio(gain, F.sum("pos")).alias("average_precision"))
+    return ranking_metrics(df, label, score).select("average_precision")
+
 
+def ranking_metrics(
+    df: DataFrame, label: str = "label", score: str = "score", weight: str | None = None
+) -> DataFrame:
+    """ROC AUC and average precision from the same score counts.
 
-def ranking_metrics(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """ROC AUC and average precision from one pass over the score counts."""
-    counts = stage(running_counts(df, label, score), "ranking")
+    A score catches all positives but those below it, so precision at a score follows
+    from the totals; both sums come out of one aggregation.
+    """
+    counts = running_counts(df, label, score, weight)
     totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     total_pos, total_neg = totals.select("p").scalar(), totals.select("n").scalar()
     caught, wrong = total_pos - F.col("pos_below"), total_neg - F.col("neg_below")
+    won = F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)
     return counts.agg(
-        _ratio(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)), F.sum("pos") * F.sum("neg")).alias("roc_auc"),
+        _ratio(F.sum(won), F.sum("pos") * F.sum("neg")).alias("roc_auc"),
         _ratio(F.sum(F.col("pos") * (caught / (caught + wrong))), F.sum("pos")).alias("average_precision"),
     )
 
 
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score") -> dict[str, float]:
     """All binary measures of one set of predictions as plain numbers."""
-    scored = stage(df.select(label, prediction, score), "evaluate")
-    frames = [binary_metrics(scored, label, prediction), ranking_metrics(scored, label, score), weighted_metrics(scored, label, prediction)]
+    # the model runs once; equal outcomes are counted before anything is kept
+    outcomes = df.groupBy(label, prediction, score).agg(F.count(F.lit(1)).alias("n"))
+    outcomes = stage(outcomes, "outcomes")
+    frames = [
+        binary_metrics(outcomes, label, prediction, "n"),
+        ranking_metrics(outcomes, label, score, "n"),
+        weighted_metrics(outcomes, label, prediction, "n"),
+    ]
     return reduce(lambda found, frame: {**found, **frame.first().asDict()}, frames, {})

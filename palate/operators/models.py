@@ -82,7 +82,7 @@ def compare_models(pipelines: dict[str, Pipeline], train: DataFrame, tests: dict
     train = stage(train, "train")
     tests = {tag: stage(test, tag) for tag, test in tests.items()}
     for name, pipeline in pipelines.items():
-        fitted[name] = pipeline.fit(train)
+        fitted[name] = bare(pipeline.fit(train), train.sparkSession)
         for tag, test in tests.items():
             measures = metrics.evaluate(scored(fitted[name], test), score="score_positive")
             rows.append({"model": name, "test_set": tag, **measures})
@@ -101,6 +101,14 @@ def select_model(results: DataFrame) -> DataFrame:
     )
 
 
+def bare(model, spark: SparkSession):
+    """The model as stored: without its training summary, which holds the session and the
+    training frame and would travel to every task with the model."""
+    path = staging_path(spark, "fitted")
+    model.write().overwrite().save(path)
+    return type(model).load(path)
+
+
 def logistic_regression(rows: DataFrame, c: float = 1.0, balanced: bool = False, label: str = "label", iterations: int = 500):
     """Fit with inverse penalty ``c``. With ``balanced``, each class weighs the same in all."""
     if balanced:
@@ -112,11 +120,12 @@ def logistic_regression(rows: DataFrame, c: float = 1.0, balanced: bool = False,
         labelCol=label, regParam=1.0 / (c * total), standardization=False, maxIter=iterations,
         **({"weightCol": "_weight"} if balanced else {}),
     )
-    return estimator.fit(rows)
+    return bare(estimator.fit(rows), rows.sparkSession)
 
 
 def linear_svm(rows: DataFrame, c: float = 1.0, label: str = "label"):
-    return LinearSVC(labelCol=label, regParam=1.0 / (c * rows.count()), standardization=False).fit(rows)
+    estimator = LinearSVC(labelCol=label, regParam=1.0 / (c * rows.count()), standardization=False)
+    return bare(estimator.fit(rows), rows.sparkSession)
 
 
 def naive_bayes(rows: DataFrame, smoothing: float = 1.0, label: str = "label"):

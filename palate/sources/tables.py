@@ -90,7 +90,8 @@ def verified_write(
 
 def write_report(df: DataFrame, path: str) -> None:
     """A small finished report as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    as_is = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.coalesce(1).write.mode("overwrite").options(header=True, quote='"', escape='"', **as_is).csv(path)
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
