@@ -203,17 +203,13 @@ STAGES: dict[str, str] = {
     "polar": """
       SELECT l.*, coalesce(s / sqrt(s * s + 15.0), 0.0) AS polarity
       FROM labelled l LEFT JOIN signed USING (sentence_id)""",
-    "long": f"""
-      SELECT r._record_id, r.product_id, r.helpfulness_numerator, r.review_timestamp, a.aspect, m.compound,
-             CASE WHEN m.compound IS NULL THEN 'not_mentioned' ELSE {bucket('m.compound')} END AS sentiment
-      FROM silver r
-      CROSS JOIN (SELECT DISTINCT column0 AS aspect FROM (VALUES {LEXICON_ROWS}) x(column0, column1, column2)) a
-      LEFT JOIN ("""
-    + " UNION ALL ".join(
-        f"SELECT record_id, '{a}' AS aspect, avg(polarity) AS compound FROM polar WHERE weak_{a} = 1 GROUP BY record_id"
+    "long": " UNION ALL ".join(
+        f"""SELECT r._record_id, r.product_id, r.helpfulness_numerator, r.review_timestamp, '{a}' AS aspect, m.compound,
+                   CASE WHEN m.compound IS NULL THEN 'not_mentioned' ELSE {bucket('m.compound')} END AS sentiment
+            FROM silver r LEFT JOIN (SELECT record_id, avg(polarity) AS compound FROM polar WHERE weak_{a} = 1 GROUP BY record_id) m
+              ON r._record_id = m.record_id"""
         for a in ASPECTS
-    )
-    + """) m ON r._record_id = m.record_id AND a.aspect = m.aspect""",
+    ),
     "seeded": " UNION ALL ".join(
         f"""SELECT sentence_id, '{a}' AS aspect, polarity, {bucket('polarity')} AS polarity_class,
                    (sentence_index * 37 % 101) / 100.0 AS aspect_probability

@@ -208,7 +208,7 @@ def valid_model_rows(spark, d):
 
 @query
 def integrity_violations(spark, d):
-    rows = fx.silver(spark, d)
+    rows = stage(fx.silver(spark, d), "silver")
     model_rows = stage(layers.model_input(rows, order="sha2").select("record_id", "clean_text", "label", "dataset_split"), "model")
     split = sampling.group_split(layers.aspect_sentences(rows), kind="md5")
     return quality.integrity_violations(model_rows, split)

@@ -45,7 +45,13 @@ def let(value: Column, body) -> Column:
 
 
 def collapse(text: Column) -> Column:
-    return F.regexp_replace(text, r"\s+", " ")
+    """Every run of blanks to one space. Lone spaces, nearly all of them, are not touched."""
+    return F.regexp_replace(text, r"\s{2,}|[^\S ]", " ")
+
+
+def count_words(collapsed: Column) -> Column:
+    """Blank-separated words of a collapsed, trimmed text; 1 for the empty text."""
+    return F.length(collapsed) - F.length(F.replace(collapsed, F.lit(" "), F.lit(""))) + 1
 
 
 def clean_html(text: Column) -> Column:

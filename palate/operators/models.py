@@ -28,6 +28,7 @@ from palate.sources.staging import stage, staging_path
 # Buckets of the hashed features, and settings of the research models.
 HASH_BUCKETS = 1 << 16
 RESEARCH_ITERATIONS, RESEARCH_PENALTY = 50, 0.01
+TOLERANCE = 1e-4
 
 # Feature rules of the sentiment and the aspect model.
 SENTIMENT_RULES = TermRules(low=1, high=2, min_df=3, max_df=0.98, max_features=100_000, accents=False)
@@ -117,14 +118,16 @@ def logistic_regression(rows: DataFrame, c: float = 1.0, balanced: bool = False,
         rows = rows.withColumn("_weight", weight)
     total = rows.agg(F.sum("_weight") if balanced else F.count(F.lit(1))).first()[0]
     estimator = LogisticRegression(
-        labelCol=label, regParam=1.0 / (c * total), standardization=False, maxIter=iterations,
+        labelCol=label, regParam=1.0 / (c * total), standardization=False, maxIter=iterations, tol=TOLERANCE,
         **({"weightCol": "_weight"} if balanced else {}),
     )
     return bare(estimator.fit(rows), rows.sparkSession)
 
 
 def linear_svm(rows: DataFrame, c: float = 1.0, label: str = "label"):
-    estimator = LinearSVC(labelCol=label, regParam=1.0 / (c * rows.count()), standardization=False)
+    estimator = LinearSVC(
+        labelCol=label, regParam=1.0 / (c * rows.count()), standardization=False, maxIter=1_000, tol=TOLERANCE
+    )
     return bare(estimator.fit(rows), rows.sparkSession)
 
 

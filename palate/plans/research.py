@@ -31,17 +31,18 @@ def research_clean(raw: DataFrame) -> DataFrame:
         .filter(F.col("HelpfulnessNumerator") <= F.col("HelpfulnessDenominator"))
         .withColumn("_id", labels.safe_integral(F.col("Id").cast("string"), "bigint"))
     )
-    label = labels.binary_label(F.col("Score"))
-    return (
-        # the label depends on the rating alone, but copies may differ in it: dedup comes first
+    # the label depends on the rating alone, but copies may differ in it: dedup comes first
+    labelled = (
         dedup_exact(usable, ["UserId", "Time"], ["_id", "ProductId"], text="Text")
-        .withColumns({"label": label, "clean_text": text.clean_letters(F.col("Text"))})
-        .filter(F.col("label").isNotNull() & (F.length("clean_text") > 3))
-        .select(
-            keys.record_id(*[F.col(c).cast("string") for c in ("Id", "ProductId", "UserId", "Time", "Text")]).alias("row_id"),
-            *RESEARCH_COLUMNS,
-        )
+        .withColumn("label", labels.binary_label(F.col("Score")))
+        .filter(F.col("label").isNotNull())
     )
+    identity = [F.col(c).cast("string") for c in ("Id", "ProductId", "UserId", "Time", "Text")]
+    # explode keeps the length test above the cleaning, which then runs once per text
+    cleaned = labelled.withColumns(
+        {"row_id": keys.record_id(*identity), "clean_text": F.explode(F.array(text.clean_letters(F.col("Text"))))}
+    )
+    return cleaned.filter(F.length("clean_text") > 3).select("row_id", *RESEARCH_COLUMNS)
 
 
 def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
