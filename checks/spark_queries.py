@@ -584,15 +584,33 @@ def compare_research_models(spark, d):
     return models.compare_models(models.research_pipelines(), parts["train"], tests)[0]
 
 
+def _once_per_session(run):
+    """Queries that look at different results of one training share it."""
+    done = {}
+
+    def shared(spark, d):
+        key = spark.sparkContext.applicationId, d
+        if key not in done:
+            done[key] = run(spark, d)
+        return done[key]
+
+    return shared
+
+
+@_once_per_session
+def _sentiment_run(spark, d) -> training.SentimentRun:
+    return training.train_sentiment(fx.model_input(spark, d), MODEL_RULES)
+
+
 @query
 def train_sentiment(spark, d):
     """Candidates compared on validation rows; the best one measured once on test rows."""
-    return training.train_sentiment(fx.model_input(spark, d), MODEL_RULES).report
+    return _sentiment_run(spark, d).report
 
 
 @query
 def select_model(spark, d):
-    return models.select_model(training.train_sentiment(fx.model_input(spark, d), MODEL_RULES).results)
+    return models.select_model(_sentiment_run(spark, d).results)
 
 
 @query
@@ -603,7 +621,7 @@ def trainer_baseline(spark, d):
 
 @query
 def score_json(spark, d):
-    model = training.train_sentiment(fx.model_input(spark, d), MODEL_RULES).model
+    model = _sentiment_run(spark, d).model
     body = F.to_json(F.struct(F.split("text", "\n").alias("texts")))
     return models.score_json(model, _docs(spark, d).select("doc_id", body.alias("body")), "doc_id")
 
@@ -615,7 +633,8 @@ def aspect_topics(spark, d):
     return topics.map_topics(topics.fit_topics(sample, "sentence_text", rules), LEXICON)
 
 
-def _aspect_layer(spark, d):
+@_once_per_session
+def _aspect_layer(spark, d) -> training.AspectRun:
     return training.aspect_layer(fx.sentences(spark, d), LEXICON, VALENCE, NEGATORS, MODEL_RULES)
 
 

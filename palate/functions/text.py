@@ -121,16 +121,15 @@ def without_stopwords(tokens: Column, stop_words: list[str]) -> Column:
 def ngrams(tokens: Column, low: int = 1, high: int = 1) -> Column:
     """All n-grams of ``low`` to ``high`` tokens, joined by a blank."""
 
-    def of(n: int, toks: Column) -> Column:
-        if n == 1:
-            return toks
-        starts = F.transform(
-            toks,
-            lambda _, i: F.when(i + n <= F.size(toks), F.array_join(F.slice(toks, i + 1, F.lit(n)), " ")),
-        )
-        return F.array_compact(starts)
-
-    return let(tokens, lambda toks: F.concat(*[of(n, toks) for n in range(low, high + 1)]))
+    def all_sizes(toks: Column) -> Column:
+        # the token n places on joins each (n-1)-gram; beyond the last token there is none
+        sizes = [toks]
+        for n in range(2, high + 1):
+            following = F.slice(toks, n, F.size(toks))
+            sizes.append(F.zip_with(sizes[-1], following, lambda gram, token: F.concat(gram, F.lit(" "), token)))
+        return F.concat(*[F.array_compact(s) if n > 1 else s for n, s in enumerate(sizes, 1) if n >= low])
+
+    return let(tokens, all_sizes)
 
 
 def _latin_fold() -> tuple[str, str]:

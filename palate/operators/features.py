@@ -8,6 +8,7 @@ text and not the many times larger list of terms.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -113,22 +114,39 @@ class Tfidf:
         ids = ["id"] if "id" in self.terms.columns else []
         return raw.select("doc", "term", *ids, (F.col("_w") / norm).alias("weight"))
 
-    def vectors(self, docs: DataFrame, doc: str, text: str, keep: list[str]) -> DataFrame:
-        """``keep`` columns and a sparse ``features`` vector per document; the zero vector
-        for a document without known terms. ``doc`` must be unique."""
+    @cached_property
+    def _counter(self):
+        """Counting model and IDF array by term id: ``max_features`` rows at most, which a
+        model broadcasts anyway. Made once per fitted vocabulary."""
+        import numpy as np
+        from pyspark.ml.feature import CountVectorizerModel
+
+        rows = self.terms.orderBy("id").collect()
+        model = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], inputCol="_terms", outputCol="_counts")
+        return model, np.array([r["idf"] for r in rows])
+
+    def vectors(self, docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+        """``keep`` columns and a sparse ``features`` vector per document, of length 1, or
+        the zero vector for a document without known terms.
+
+        The same numbers as ``weights``, made inside the row: terms are counted against the
+        broadcast vocabulary, then the counts of a document are scaled. No shuffle.
+        """
         from pyspark.ml.linalg import SparseVector, VectorUDT
 
-        size = self.size
-        pack = F.udf(
-            lambda entries: SparseVector(size, [(e["id"], e["weight"]) for e in entries or []]), VectorUDT()
-        )
-        entries = (
-            self.weights(docs, doc, text)
-            .groupBy("doc")
-            .agg(F.sort_array(F.collect_list(F.struct("id", "weight"))).alias("_entries"))
-        )
-        rows = docs.select(F.col(doc).alias("doc"), *[F.col(c).alias(c) for c in keep])
-        return rows.join(entries, "doc", "left").select(*keep, pack("_entries").alias("features"))
+        model, idf = self._counter
+        sublinear = self.rules.sublinear
+
+        def scale(counts):
+            import numpy as np
+
+            tf = counts.values
+            weight = (np.log(tf) + 1.0 if sublinear else tf) * idf[counts.indices]
+            norm = np.sqrt((weight * weight).sum())
+            return SparseVector(counts.size, counts.indices, weight / norm if norm else weight)
+
+        counted = model.transform(docs.select(*keep, self.rules.terms(F.col(text)).alias("_terms")))
+        return counted.select(*keep, F.udf(scale, VectorUDT())("_counts").alias("features"))
 
     def save(self, path: str) -> None:
         self.terms.write.mode("overwrite").parquet(f"{path}/terms")

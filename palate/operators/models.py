@@ -30,6 +30,9 @@ HASH_BUCKETS = 1 << 16
 RESEARCH_ITERATIONS, RESEARCH_PENALTY = 50, 0.01
 TOLERANCE = 1e-4
 
+#: Steps of the quasi-Newton solvers; each is one pass over the stored feature rows.
+MAX_STEPS = 100
+
 # Feature rules of the sentiment and the aspect model.
 SENTIMENT_RULES = TermRules(low=1, high=2, min_df=3, max_df=0.98, max_features=100_000, accents=False)
 TRAINER_RULES = TermRules(low=1, high=2, min_df=2, max_features=50_000)
@@ -110,7 +113,7 @@ def bare(model, spark: SparkSession):
     return type(model).load(path)
 
 
-def logistic_regression(rows: DataFrame, c: float = 1.0, balanced: bool = False, label: str = "label", iterations: int = 500):
+def logistic_regression(rows: DataFrame, c: float = 1.0, balanced: bool = False, label: str = "label", iterations: int = MAX_STEPS):
     """Fit with inverse penalty ``c``. With ``balanced``, each class weighs the same in all."""
     if balanced:
         weights = {r[label]: r["weight"] for r in class_weights(rows, label).collect()}
@@ -126,7 +129,7 @@ def logistic_regression(rows: DataFrame, c: float = 1.0, balanced: bool = False,
 
 def linear_svm(rows: DataFrame, c: float = 1.0, label: str = "label"):
     estimator = LinearSVC(
-        labelCol=label, regParam=1.0 / (c * rows.count()), standardization=False, maxIter=1_000, tol=TOLERANCE
+        labelCol=label, regParam=1.0 / (c * rows.count()), standardization=False, maxIter=MAX_STEPS, tol=TOLERANCE
     )
     return bare(estimator.fit(rows), rows.sparkSession)
 
@@ -143,8 +146,9 @@ class TextModel:
     classifier: object
     kind: str
 
-    def score(self, df: DataFrame, doc: str, text: str, keep: list[str]) -> DataFrame:
-        vectors = self.features.vectors(df, doc, text, keep)
+    def score(self, df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+        """``keep`` columns with prediction and positive score. Narrow."""
+        vectors = self.features.vectors(df, text, keep)
         return scored(self.classifier, vectors).select(*keep, "prediction", "score_positive")
 
     def save(self, path: str) -> None:
@@ -178,8 +182,8 @@ def compare_classifiers(
 ) -> tuple[DataFrame, dict[str, TextModel]]:
     """Features fitted on ``train`` once, every candidate measured on ``validation``."""
     features = fit_tfidf(train, doc, text, rules)
-    fit_rows = stage(features.vectors(train, doc, text, ["label"]), "train_vectors")
-    test_rows = stage(features.vectors(validation, doc, text, ["label"]), "validation_vectors")
+    fit_rows = stage(features.vectors(train, text, ["label"]), "train_vectors")
+    test_rows = stage(features.vectors(validation, text, ["label"]), "validation_vectors")
     models, rows = {}, []
     for name, fit in classifier_fits().items():
         models[name] = TextModel(features, fit(fit_rows), name)
@@ -198,11 +202,7 @@ def parse_requests(df: DataFrame, body: str = "body") -> DataFrame:
 
 def score_json(model: TextModel, df: DataFrame, key: str, body: str = "body") -> DataFrame:
     """One JSON answer per request: predictions and positive probabilities, in text order."""
-    texts = stage(
-        parse_requests(df.select(key, body), body).withColumn("_doc", F.concat_ws("/", F.col(key).cast("string"), "position")),
-        "requests",
-    )
-    answers = model.score(texts, "_doc", "text", [key, "position"])
+    answers = model.score(parse_requests(df.select(key, body), body), "text", [key, "position"])
     ordered = F.sort_array(F.collect_list(F.struct("position", "prediction", "score_positive")))
     return (
         answers.groupBy(key)
@@ -226,9 +226,9 @@ class AspectModel:
     classifiers: dict[str, object] = field(default_factory=dict)
     threshold: float = 0.50
 
-    def probabilities(self, df: DataFrame, doc: str, text: str, keep: list[str]) -> DataFrame:
-        """``keep`` columns and ``detected``: an array of ``(aspect, probability)`` for all aspects."""
-        rows = self.features.vectors(df, doc, text, keep)
+    def probabilities(self, df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+        """``keep`` columns and ``detected``: ``(aspect, probability)`` for all aspects. Narrow."""
+        rows = self.features.vectors(df, text, keep)
         for aspect, model in self.classifiers.items():
             done = model.transform(rows)
             rows = done.withColumn(f"_p_{aspect}", vector_to_array("probability")[1]).drop(
@@ -253,24 +253,25 @@ def fit_aspects(
 ) -> AspectModel:
     """One balanced logistic regression per aspect, all on the same stored features."""
     features = fit_tfidf(labelled, doc, text, rules)
-    rows = stage(features.vectors(labelled, doc, text, [f"weak_{a}" for a in aspects]), "aspect_vectors")
+    rows = stage(features.vectors(labelled, text, [f"weak_{a}" for a in aspects]), "aspect_vectors")
     models = {a: logistic_regression(rows, c=1.0, balanced=True, label=f"weak_{a}") for a in aspects}
     return AspectModel(features, models)
 
 
 def predict_aspects(
-    model: AspectModel, df: DataFrame, keep: list[str], doc: str = "sentence_id", text: str = "sentence_text"
+    model: AspectModel, df: DataFrame, keep: list[str], text: str = "sentence_text"
 ) -> DataFrame:
     """One row per sentence and aspect at or above the threshold."""
-    found = model.probabilities(df, doc, text, keep)
+    found = model.probabilities(df, text, keep)
     kept = F.filter("detected", lambda d: d["probability"] >= model.threshold)
     return found.select(*keep, F.inline(kept)).withColumnRenamed("probability", "aspect_probability")
 
 
-def aspect_outcomes(model: AspectModel, labelled: DataFrame, aspects: list[str], doc: str = "sentence_id", text: str = "sentence_text") -> DataFrame:
+def aspect_outcomes(
+    model: AspectModel, labelled: DataFrame, aspects: list[str], text: str = "sentence_text"
+) -> DataFrame:
     """``(aspect, y, p)`` for every sentence and aspect: input of the multi-label measures."""
-    keep = [doc, *[f"weak_{a}" for a in aspects]]
-    found = model.probabilities(labelled, doc, text, keep)
+    found = model.probabilities(labelled, text, [f"weak_{a}" for a in aspects])
     rows = [
         F.struct(
             F.lit(a).alias("aspect"),
@@ -291,16 +292,10 @@ def score_reviews(
     """Sentences of whole reviews with their aspects, confidence and polarity; a sentence
     without an aspect keeps its best score under a row of its own."""
     sentences = review_sentences(F.col(text))
-    rows = stage(
-        df.select(key, F.posexplode(sentences).alias("i", "sentence")).select(
-            key,
-            (F.col("i") + 1).alias("sentence_number"),
-            "sentence",
-            F.concat_ws("/", F.col(key).cast("string"), F.col("i")).alias("_doc"),
-        ),
-        "review_sentences",
+    rows = df.select(key, F.posexplode(sentences).alias("i", "sentence")).select(
+        key, (F.col("i") + 1).alias("sentence_number"), "sentence"
     )
-    found = model.probabilities(rows, "_doc", "sentence", [key, "sentence_number", "sentence"])
+    found = model.probabilities(rows, "sentence", [key, "sentence_number", "sentence"])
     hits = F.filter("detected", lambda d: d["probability"] >= model.threshold)
     best = F.array_max(F.transform("detected", lambda d: d["probability"]))
     nothing = F.array(F.struct(F.lit(NO_ASPECT).alias("aspect"), best.alias("probability")))

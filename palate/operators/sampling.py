@@ -272,4 +272,4 @@ def realistic_sample(
 
 def holdout_pool(df: DataFrame, used: DataFrame, key: str = "row_id") -> DataFrame:
     """Rows whose key is not among the used ones."""
-    return df.join(used.select(key).distinct(), key, "left_anti")
+    return df.join(used.select(key), key, "left_anti")

@@ -43,7 +43,7 @@ def train_sentiment(
     train = stage(sampling.balance_train(part("train"), cap=cap), "train")
     results, fitted = models.compare_classifiers(train, part("validation"), rules)
     best = fitted[models.select_model(results).first()["model"]]
-    outcome = best.score(part("test"), "record_id", "clean_text", ["record_id", "label"])
+    outcome = best.score(part("test"), "clean_text", ["record_id", "label"])
     final = metrics.evaluate(outcome, score="score_positive")
     report = [r for row in results.collect() for r in _long_rows("validation", row["model"], row.asDict())]
     report += _long_rows("test", best.kind, final)
@@ -57,11 +57,11 @@ def train_baseline(model_input: DataFrame, rules: TermRules = models.TRAINER_RUL
     rows = stage(quality.valid_model_rows(model_input), "model_rows")
     train = rows.filter(F.col("dataset_split") == "train")
     features = models.fit_tfidf(train, "record_id", "clean_text", rules)
-    vectors = stage(features.vectors(train, "record_id", "clean_text", ["label"]), "train_vectors")
+    vectors = stage(features.vectors(train, "clean_text", ["label"]), "train_vectors")
     model = models.TextModel(features, models.logistic_regression(vectors, c, balanced=True), "logistic_regression")
     loaded = models.round_trip(model, rows.sparkSession)
     held_out = rows.filter(F.col("dataset_split") == "validation")
-    return loaded.score(held_out, "record_id", "clean_text", ["record_id", "label"])
+    return loaded.score(held_out, "clean_text", ["record_id", "label"])
 
 
 @dataclass(frozen=True)
