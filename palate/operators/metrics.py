@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from palate.sources.staging import stage
 
-#: Score ranges that get their own running sum.
+#: Score ranges that get their own running sum, and the scores that make a range worth it.
 SCORE_RANGES = 256
+RANGE_ROWS = 2_000
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -157,37 +158,41 @@ def score_counts(df: DataFrame, label: str, score: str, weight: str | None = Non
     )
 
 
-def running_counts(
-    df: DataFrame, label: str, score: str, weight: str | None = None, ranges: int = SCORE_RANGES
-) -> DataFrame:
-    """Score counts with totals over all lower scores (``pos_below``, ``neg_below``).
+def running_counts(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
+    """Score counts with totals over all lower scores (``pos_below``, ``neg_below``) and over
+    all scores (``pos_total``, ``neg_total``).
 
     Scores are cut at approximate quantiles; each range keeps its own running sum and gets
     the total of the ranges below it. No task sees more than one range. The cuts only
     steer the work; the sums are exact wherever they fall.
     """
     counts = stage(score_counts(df, label, score, weight), "scores")
+    ranges = min(SCORE_RANGES, counts.count() // RANGE_ROWS)
     steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(counts.approxQuantile("score", steps, 1 / (4 * ranges))))
+    cuts = sorted(set(counts.approxQuantile("score", steps, 1 / (4 * ranges)))) if steps else []
     if cuts:
         splits = [-float("inf"), *cuts, float("inf")]
         ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(counts)
     else:
         ranged = counts.withColumn("range", F.lit(0.0))
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy("range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).select(
+    everything = Window.partitionBy(F.lit(0))  # one row per range
+    before = everything.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
         "range",
-        F.coalesce(F.sum("pos").over(before), F.lit(0)).alias("pos_offset"),
-        F.coalesce(F.sum("neg").over(before), F.lit(0)).alias("neg_offset"),
+        F.coalesce(F.sum("p").over(before), F.lit(0)).alias("pos_offset"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("neg_offset"),
+        F.sum("p").over(everything).alias("pos_total"),
+        F.sum("n").over(everything).alias("neg_total"),
     )
     inside = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    running = ranged.join(F.broadcast(offsets), "range")  # at most one row per range
-    return running.select(
+    return ranged.join(F.broadcast(offsets), "range").select(
         "score",
         "pos",
         "neg",
         (F.coalesce(F.sum("pos").over(inside), F.lit(0)) + F.col("pos_offset")).alias("pos_below"),
         (F.coalesce(F.sum("neg").over(inside), F.lit(0)) + F.col("neg_offset")).alias("neg_below"),
+        "pos_total",
+        "neg_total",
     )
 
 
@@ -210,9 +215,7 @@ def ranking_metrics(
     from the totals; both sums come out of one aggregation.
     """
     counts = running_counts(df, label, score, weight)
-    totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    total_pos, total_neg = totals.select("p").scalar(), totals.select("n").scalar()
-    caught, wrong = total_pos - F.col("pos_below"), total_neg - F.col("neg_below")
+    caught, wrong = F.col("pos_total") - F.col("pos_below"), F.col("neg_total") - F.col("neg_below")
     won = F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)
     return counts.agg(
         _ratio(F.sum(won), F.sum("pos") * F.sum("neg")).alias("roc_auc"),

@@ -92,7 +92,8 @@ def scores(spark, n=400, ties=True):
 
 
 @pytest.mark.parametrize("ties", [True, False])
-def test_ranking_measures_equal_brute_force(spark, ties):
+def test_ranking_measures_equal_brute_force(spark, monkeypatch, ties):
+    monkeypatch.setattr(metrics, "RANGE_ROWS", 2)
     rows, df = scores(spark, ties=ties)
     pos, neg = [s for _, y, s in rows if y], [s for _, y, s in rows if not y]
     auc = sum((p > q) + (p == q) / 2 for p in pos for q in neg) / (len(pos) * len(neg))
@@ -191,7 +192,7 @@ def test_aspect_layer_and_review_scoring(spark):
     found = models.score_reviews(run.model, reviews, "id", "text", lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS)
     by_sentence = {r["sentence_number"]: r for r in found.collect()}
     assert [by_sentence[n]["aspect"] for n in (1, 2, 3)] == ["taste", "packaging", models.NO_ASPECT]
-    assert [by_sentence[n]["sentiment"] for n in (1, 2, 3)] == ["positive", "negative", "positive"]
+    assert [by_sentence[n]["sentiment"] for n in (1, 2, 3)] == ["positive", "negative", "negative"]  # "nothing ... like"
 
 
 def test_topics_find_separate_vocabularies(spark):
