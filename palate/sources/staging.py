@@ -32,8 +32,24 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_scratch()
 
 
+_staged: list[str] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/palate/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/palate/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables staged so far, once no result needs them any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _staged:
+        path = hadoop(_staged.pop())
+        dropped += path.getFileSystem(settings).delete(path, True)
+    return dropped
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as registered
+from checks.compare import compare
+from palate.sources import staging
+
+SMALL = "/root/testdata/sf0.001"
+QUICK = ["aspect_ranking", "balanced_train", "tfidf", "encode_sequences", "roc_auc", "error_review", "map_topics"]
+
+
+def test_every_statement_belongs_to_a_query():
+    queries, statements = registered.queries(), registered.oracle_sql()
+    assert set(statements) <= set(queries) and len(statements) >= 70
+    assert all("LIMIT" not in s or any(w in s for w in ("ORDER BY", "order by")) for s in statements.values())
+
+
+def test_entry(spark):
+    frame = registered.entry(spark)
+    assert frame.columns == ["aspect", "mentions", "mention_rate", "pct_negative", "pct_positive", "weighted_pct_negative"]
+    assert frame.count() == 5
+
+
+@pytest.mark.parametrize("name", QUICK)
+def test_query_equals_its_statement(spark, name):
+    line = compare(spark, SMALL, name, registered.queries()[name], registered.oracle_sql()[name])
+    assert line.startswith("ok") and "types" not in line, line
+
+
+def test_staged_tables_are_found_and_dropped(spark):
+    rows = staging.stage(spark.range(10).toDF("x"), "probe")
+    path = staging._staged[-1]
+    assert rows.count() == 10 and os.path.isdir(path)
+    assert staging.drop_staged(spark) >= 1
+    assert not os.path.exists(path) and staging._staged == []
+
+
+def test_broadcast_is_checked(spark):
+    small, large = spark.range(5), spark.range(50)
+    hinted = staging.checked_broadcast(small, 10)
+    assert hinted.count() == 5 and "broadcast" in hinted._jdf.queryExecution().toString().lower()
+    assert staging.checked_broadcast(large, 10) is large
+
+
+def test_a_cluster_must_name_a_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "yarn"
+
+        @staticmethod
+        def getConf():
+            return {}
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session)
+    Session.conf = {"spark.checkpoint.dir": "hdfs:///shared/"}
+    assert staging.shared_folder(Session) == "hdfs:///shared"
