@@ -437,13 +437,12 @@ def token_counts(spark, d):
 @query
 def vocabulary(spark, d):
     docs = _docs(spark, d)
-    counts = features.term_counts(docs, "doc_id", "text", VOCABULARY_RULES)
-    return features.vocabulary(counts, docs.count(), VOCABULARY_RULES)
+    return features.vocabulary(docs, "text", docs.count(), VOCABULARY_RULES)
 
 
 @query
 def idf(spark, d):
-    return rounded(features.idf_table(_docs(spark, d), "doc_id", "text", TermRules()), "idf")
+    return rounded(features.idf_table(_docs(spark, d), "text", TermRules()), "idf")
 
 
 @query

@@ -1,8 +1,8 @@
 """Vocabularies, TF-IDF weights and id sequences as tables.
 
-A document is placed by its key once, before its terms are exploded: counting its terms
-and normalising its weights then need no further shuffle, and what is shuffled is the
-text and not the many times larger list of terms.
+For the weights a document is placed by its key once, before its terms are exploded:
+counting its terms and normalising its weights then need no further shuffle, and what is
+shuffled is the text and not the many times larger list of terms.
 """
 
 from __future__ import annotations
@@ -59,9 +59,18 @@ def token_counts(df: DataFrame, text: str, stop_words: list[str]) -> DataFrame:
     return df.select(F.explode(tokens).alias("token")).groupBy("token").count()
 
 
-def document_frequencies(counts: DataFrame) -> DataFrame:
-    """``(term, df, cf)``: documents that hold the term, and its occurrences."""
-    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+def document_frequencies(docs: DataFrame, text: str, rules: TermRules) -> DataFrame:
+    """``(term, df, cf)``: documents that hold the term, and its occurrences.
+
+    A document marks its distinct terms inside its row, so texts are not shuffled to be
+    counted by document: each task sends one partial row per term it saw.
+    """
+
+    def marks(terms: Column, df: int) -> Column:
+        return F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(df).alias("df"), F.lit(1 - df).alias("cf")))
+
+    marked = tx.let(rules.terms(F.col(text)), lambda ts: F.concat(marks(F.array_distinct(ts), 1), marks(ts, 0)))
+    return docs.select(F.inline(marked)).groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
 
 
 def _as_documents(bound: float, n_docs: int) -> float:
@@ -69,9 +78,9 @@ def _as_documents(bound: float, n_docs: int) -> float:
     return bound * n_docs if isinstance(bound, float) else bound
 
 
-def vocabulary(counts: DataFrame, n_docs: int, rules: TermRules) -> DataFrame:
+def vocabulary(docs: DataFrame, text: str, n_docs: int, rules: TermRules) -> DataFrame:
     """Terms within the document bounds; the ``max_features`` most frequent, ties by term."""
-    kept = document_frequencies(counts).filter(
+    kept = document_frequencies(docs, text, rules).filter(
         (F.col("df") >= _as_documents(rules.min_df, n_docs)) & (F.col("df") <= _as_documents(rules.max_df, n_docs))
     )
     return kept if rules.max_features is None else kept.orderBy(F.desc("cf"), "term").limit(rules.max_features)
@@ -87,9 +96,9 @@ def plain_idf(df: Column, n_docs: int) -> Column:
     return F.log(F.lit(1.0 + n_docs) / (1.0 + df))
 
 
-def idf_table(docs: DataFrame, doc: str, text: str, rules: TermRules) -> DataFrame:
+def idf_table(docs: DataFrame, text: str, rules: TermRules) -> DataFrame:
     n_docs = docs.count()
-    frequencies = document_frequencies(term_counts(docs, doc, text, rules))
+    frequencies = document_frequencies(docs, text, rules)
     return frequencies.select("term", "df", plain_idf(F.col("df"), n_docs).alias("idf"))
 
 
@@ -172,11 +181,11 @@ class Tfidf:
         return Tfidf(rules, spark.read.parquet(f"{path}/terms"), r["size"])
 
 
-def fit_tfidf(docs: DataFrame, doc: str, text: str, rules: TermRules) -> Tfidf:
+def fit_tfidf(docs: DataFrame, text: str, rules: TermRules) -> Tfidf:
     """Vocabulary and IDF of ``docs``. Terms are numbered in alphabetical order when
     ``max_features`` bounds them."""
     n_docs = docs.count()
-    chosen = vocabulary(term_counts(docs, doc, text, rules), n_docs, rules)
+    chosen = vocabulary(docs, text, n_docs, rules)
     chosen = chosen.withColumn("idf", smooth_idf(F.col("df"), n_docs))
     if rules.max_features is None:
         return Tfidf(rules, stage(chosen, "vocabulary"), None)
@@ -186,7 +195,7 @@ def fit_tfidf(docs: DataFrame, doc: str, text: str, rules: TermRules) -> Tfidf:
 
 
 def tfidf(docs: DataFrame, doc: str, text: str, rules: TermRules) -> DataFrame:
-    return fit_tfidf(docs, doc, text, rules).weights(docs, doc, text)
+    return fit_tfidf(docs, text, rules).weights(docs, doc, text)
 
 
 # Fixed values of the sequence encoder: id 0 pads, id 1 stands for unknown words.

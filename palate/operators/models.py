@@ -178,10 +178,10 @@ def classifier_fits() -> dict:
 
 
 def compare_classifiers(
-    train: DataFrame, validation: DataFrame, rules: TermRules = SENTIMENT_RULES, doc: str = "record_id", text: str = "clean_text"
+    train: DataFrame, validation: DataFrame, rules: TermRules = SENTIMENT_RULES, text: str = "clean_text"
 ) -> tuple[DataFrame, dict[str, TextModel]]:
     """Features fitted on ``train`` once, every candidate measured on ``validation``."""
-    features = fit_tfidf(train, doc, text, rules)
+    features = fit_tfidf(train, text, rules)
     fit_rows = stage(features.vectors(train, text, ["label"]), "train_vectors")
     test_rows = stage(features.vectors(validation, text, ["label"]), "validation_vectors")
     models, rows = {}, []
@@ -249,10 +249,10 @@ class AspectModel:
 
 
 def fit_aspects(
-    labelled: DataFrame, aspects: list[str], doc: str = "sentence_id", text: str = "sentence_text", rules: TermRules = ASPECT_RULES
+    labelled: DataFrame, aspects: list[str], text: str = "sentence_text", rules: TermRules = ASPECT_RULES
 ) -> AspectModel:
     """One balanced logistic regression per aspect, all on the same stored features."""
-    features = fit_tfidf(labelled, doc, text, rules)
+    features = fit_tfidf(labelled, text, rules)
     rows = stage(features.vectors(labelled, text, [f"weak_{a}" for a in aspects]), "aspect_vectors")
     models = {a: logistic_regression(rows, c=1.0, balanced=True, label=f"weak_{a}") for a in aspects}
     return AspectModel(features, models)

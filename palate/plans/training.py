@@ -56,7 +56,7 @@ def train_baseline(model_input: DataFrame, rules: TermRules = models.TRAINER_RUL
     the model as loaded back from storage."""
     rows = stage(quality.valid_model_rows(model_input), "model_rows")
     train = rows.filter(F.col("dataset_split") == "train")
-    features = models.fit_tfidf(train, "record_id", "clean_text", rules)
+    features = models.fit_tfidf(train, "clean_text", rules)
     vectors = stage(features.vectors(train, "clean_text", ["label"]), "train_vectors")
     model = models.TextModel(features, models.logistic_regression(vectors, c, balanced=True), "logistic_regression")
     loaded = models.round_trip(model, rows.sparkSession)

@@ -47,7 +47,7 @@ def brute_tfidf(docs, low_df, high_df, size):
 def test_tfidf_equals_brute_force_and_vectors_equal_weights(texts):
     rules = TermRules(low=1, high=2, min_df=3, max_df=0.5, max_features=40)
     docs = [(r["record_id"], r["clean_text"]) for r in texts.collect()]
-    fitted = features.fit_tfidf(texts, "record_id", "clean_text", rules)
+    fitted = features.fit_tfidf(texts, "clean_text", rules)
     expected = brute_tfidf(docs, 3, 0.5, 40)
     weights = {(r["doc"], r["term"]): r["weight"] for r in fitted.weights(texts, "record_id", "clean_text").collect()}
     assert weights.keys() == expected.keys()
@@ -60,7 +60,7 @@ def test_tfidf_equals_brute_force_and_vectors_equal_weights(texts):
 
 
 def test_vectors_need_no_shuffle_and_survive_unknown_text(spark, texts, capsys):
-    fitted = features.fit_tfidf(texts, "record_id", "clean_text", TermRules(max_features=10))
+    fitted = features.fit_tfidf(texts, "clean_text", TermRules(max_features=10))
     unknown = spark.createDataFrame([("a", "zzz qqq"), ("b", None)], "k string, t string")
     vectors = fitted.vectors(unknown.filter("t is not null"), "t", ["k"])
     assert vectors.first()["features"].numNonzeros() == 0
@@ -70,7 +70,7 @@ def test_vectors_need_no_shuffle_and_survive_unknown_text(spark, texts, capsys):
 
 def test_fitted_vocabulary_is_stored_whole(spark, texts, tmp_path):
     rules = TermRules(low=1, high=2, min_df=2, max_features=30, accents=False, stop_words=["and"])
-    fitted = features.fit_tfidf(texts, "record_id", "clean_text", rules)
+    fitted = features.fit_tfidf(texts, "clean_text", rules)
     fitted.save(str(tmp_path / "v"))
     loaded = features.Tfidf.load(spark, str(tmp_path / "v"))
     one = {(r["doc"], r["term"], r["weight"]) for r in fitted.weights(texts, "record_id", "clean_text").collect()}
