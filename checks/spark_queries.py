@@ -274,7 +274,7 @@ def stratified_sample(spark, d):
 
 @query
 def holdout_pool(spark, d):
-    rows = research.research_clean(fx.reviews(spark, d)).select("row_id", "label")
+    rows = stage(research.research_clean(fx.reviews(spark, d)).select("row_id", "label"), "research_rows")
     return sampling.holdout_pool(rows, _half_sample(rows))
 
 
@@ -493,7 +493,7 @@ def map_topics(spark, d):
     )
     rank = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n"), "term"))
     top = counts.withColumn("position", rank).filter(F.col("position") <= 25).select("source", "position", "term")
-    return topics.map_topics(top, LEXICON, "source")
+    return topics.map_topics(stage(top, "topic_terms"), LEXICON, "source")
 
 
 # ---- measures ------------------------------------------------------------------------

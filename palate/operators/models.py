@@ -113,7 +113,7 @@ def bare(model, spark: SparkSession):
     return type(model).load(path)
 
 
-def logistic_regression(rows: DataFrame, c: float = 1.0, balanced: bool = False, label: str = "label", iterations: int = MAX_STEPS):
+def logistic_regression(rows: DataFrame, c: float = 1.0, balanced: bool = False, label: str = "label", iterations: int | None = None):
     """Fit with inverse penalty ``c``. With ``balanced``, each class weighs the same in all."""
     if balanced:
         weights = {r[label]: r["weight"] for r in class_weights(rows, label).collect()}
@@ -121,7 +121,7 @@ def logistic_regression(rows: DataFrame, c: float = 1.0, balanced: bool = False,
         rows = rows.withColumn("_weight", weight)
     total = rows.agg(F.sum("_weight") if balanced else F.count(F.lit(1))).first()[0]
     estimator = LogisticRegression(
-        labelCol=label, regParam=1.0 / (c * total), standardization=False, maxIter=iterations, tol=TOLERANCE,
+        labelCol=label, regParam=1.0 / (c * total), standardization=False, maxIter=iterations or MAX_STEPS, tol=TOLERANCE,
         **({"weightCol": "_weight"} if balanced else {}),
     )
     return bare(estimator.fit(rows), rows.sparkSession)

@@ -12,11 +12,19 @@ from palate.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", memory="4g", shuffle_partitions=4)
+    session = local_session("4", memory="4g", shuffle_partitions=2)
     yield session
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def few_steps(monkeypatch):
+    """The toy sets separate in a few steps."""
+    from palate.operators import models
+
+    monkeypatch.setattr(models, "MAX_STEPS", 15)
+
+
 @pytest.fixture()
 def column(spark):
     """Value of a column expression for one text."""
