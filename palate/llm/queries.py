@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import quality_ranker
+from palate.llm import divergence_rules, personal_data, quality_ranker, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +32,39 @@ def op1_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     ranker = quality_ranker.train_ranker(documents, table(spark, sf_dir, "labels"), ~held_out())
     return quality_ranker.score_documents(documents, ranker).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and distance from the language's histograms, for every document."""
+    return divergence_rules.judged(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents over 40 equal shards, and where each goes when a 41st is added."""
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        sharding.shard_of(F.col("doc_id"), [1.0] * 41).alias("grown_shard"),
+    )
+    placed = sharding.sharded(rows, "doc_id", [1.0] * 40, order=["text_crc32", "size"])
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every whole text."""
+    found = personal_data.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    of = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    base = F.filter("spans", lambda s: s["kind"].isin(personal_data.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in personal_data.BASE_KINDS],
+        F.sha2(personal_data.listed(base), 256).alias("base_sha256"),
+        personal_data.listed(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.array_max(F.transform("spans", lambda s: s["score"])).alias("top_score"),
+    )
