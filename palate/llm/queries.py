@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import divergence_rules, personal_data, quality_ranker, sharding
+from palate.llm import bpe_prefix, divergence_rules, packing, personal_data, quality_ranker, sharding, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,3 +69,23 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.array_max(F.transform("spans", lambda s: s["score"])).alias("top_score"),
     )
+
+
+@query
+def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in the buckets and batches with the least padding."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.packed(token_counts.counted(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN))
+
+
+@query
+def op5_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and the text they decode to, as digests."""
+    return bpe_prefix.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; a token over a line break goes where most of it is."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_counts.attributed(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)

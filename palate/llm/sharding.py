@@ -14,14 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palate.sources.staging import stage
-
-#: Rows a numbering bucket should hold.
-BUCKET_ROWS = 100_000
-
+from palate.llm.numbering import numbered
 
 def shard_of(key: Column, weights: Sequence[float]) -> Column:
     """Index of the shard of ``key`` among shards with these weights; ties go to the smaller."""
@@ -39,13 +35,4 @@ def shard_of(key: Column, weights: Sequence[float]) -> Column:
 def sharded(df: DataFrame, key: str, weights: Sequence[float], shard: str = "shard", slot: str = "slot", order: Sequence[str] = ()) -> DataFrame:
     """``df`` with its shard and a gapless number from 0 within the shard (order: bucket, then
     key, then the columns ``order``). The frame is staged once; name narrow columns only."""
-    placed = stage(df.withColumn(shard, shard_of(F.col(key), weights)), "shards")
-    buckets = max(1, -(-placed.count() // (BUCKET_ROWS * len(weights))))
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit("slot")), F.lit(buckets)).cast("int")
-    placed = placed.withColumn("_bucket", bucket)
-    counts = placed.groupBy(shard, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    before = F.sum("_rows").over(Window.partitionBy(shard).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(shard, "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(shard, "_bucket").orderBy(key, *order))
-    numbered = placed.withColumn("_rank", inside).join(offsets, [shard, "_bucket"])
-    return numbered.withColumn(slot, F.col("_before") + F.col("_rank") - 1).drop("_bucket", "_before", "_rank")
+    return numbered(df.withColumn(shard, shard_of(F.col(key), weights)), shard, key, slot, order)
