@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import bpe_prefix, divergence_rules, packing, personal_data, quality_ranker, sharding, token_counts
+from palate.llm import bpe_prefix, divergence_rules, near_duplicates, packing, personal_data, quality_ranker, sharding, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,3 +89,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document; a token over a line break goes where most of it is."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return token_counts.attributed(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every document."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
