@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import bpe_prefix, divergence_rules, near_duplicates, packing, personal_data, quality_ranker, sharding, token_counts
+from palate.llm import bpe_prefix, divergence_rules, near_duplicates, packing, personal_data, quality_ranker, repeated_passages, sharding, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -95,3 +95,20 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of every document."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a passage of an earlier document repeats, and what is kept."""
+    documents = table(spark, sf_dir, "documents")
+    changed = repeated_passages.without_repeats(documents, joined=True)
+    changed = changed.select("doc_id", "sig", "n_removed", F.sha2("kept", 256).alias("changed_sha256"))
+    words = repeated_passages.word_list(F.col("text"))
+    rows = repeated_passages.keyed(documents).select("doc_id", "sig", words.alias("words"))
+    rows = rows.select("doc_id", "sig", F.size("words").cast("long").alias("n_words"), F.sha2(F.array_join("words", " "), 256).alias("whole_sha256"))
+    return rows.join(changed, ["doc_id", "sig"], "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce("changed_sha256", "whole_sha256").alias("kept_sha256"),
+    )
