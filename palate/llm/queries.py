@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import bpe_prefix, divergence_rules, near_duplicates, packing, personal_data, quality_ranker, repeated_passages, sharding, token_counts
+from palate.llm import (
+    bpe_prefix,
+    divergence_rules,
+    learned_partitions,
+    near_duplicates,
+    packing,
+    personal_data,
+    quality_ranker,
+    repeated_passages,
+    sharding,
+    token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -112,3 +123,9 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("changed_sha256", "whole_sha256").alias("kept_sha256"),
     )
+
+
+@query
+def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth vector."""
+    return learned_partitions.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
