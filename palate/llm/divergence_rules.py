@@ -114,7 +114,7 @@ def distance(found: Column, reference: Column) -> Column:
     shares = lambda x: F.transform(x, lambda v: F.try_divide(v.cast("double"), total(x)))
     part = lambda p, m: F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
     terms = F.zip_with(shares(found), shares(reference), lambda p, q: (part(p, (p + q) / 2) + part(q, (p + q) / 2)) / 2)
-    return F.sqrt(F.greatest(F.lit(0.0), total(terms)))
+    return F.sqrt(F.when(total(terms) > 0, total(terms)).when(total(terms) <= 0, 0.0))
 
 
 def judged(documents: DataFrame) -> DataFrame:

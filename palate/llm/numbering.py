@@ -23,11 +23,11 @@ def numbered(df: DataFrame, group: str, key: str, number: str, order: Sequence[s
     """
     rows = stage(df, "numbered")
     buckets = max(1, -(-rows.count() // BUCKET_ROWS))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key), F.lit("order")), F.lit(buckets)))
-    counts = rows.groupBy(F.col(group).alias("_group"), F.col("_bucket").alias("_at")).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy("_group").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_group", "_at", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(group, "_bucket").orderBy(key, *order))
-    placed = rows.withColumn("_rank", inside)
-    placed = placed.join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bucket") == F.col("_at")))
-    return placed.withColumn(number, F.col("_before") + F.col("_rank") - 1).drop("_bucket", "_before", "_rank", "_group", "_at")
+    rows = rows.withColumn("_numbered_bucket", F.pmod(F.xxhash64(F.col(key), F.lit("order")), F.lit(buckets)))
+    counts = rows.groupBy(F.col(group).alias("_numbered_group"), F.col("_numbered_bucket").alias("_numbered_at")).agg(F.count(F.lit(1)).alias("_numbered_rows"))
+    earlier = Window.partitionBy("_numbered_group").orderBy("_numbered_at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_numbered_group", "_numbered_at", F.coalesce(F.sum("_numbered_rows").over(earlier), F.lit(0)).alias("_numbered_before"))
+    inside = F.row_number().over(Window.partitionBy(group, "_numbered_bucket").orderBy(key, *order))
+    placed = rows.withColumn("_numbered_rank", inside)
+    placed = placed.join(offsets, F.col(group).eqNullSafe(F.col("_numbered_group")) & (F.col("_numbered_bucket") == F.col("_numbered_at")))
+    return placed.withColumn(number, F.col("_numbered_before") + F.col("_numbered_rank") - 1).drop("_numbered_bucket", "_numbered_before", "_numbered_rank", "_numbered_group", "_numbered_at")

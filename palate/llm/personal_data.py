@@ -122,10 +122,15 @@ def spans_of(text: Column, kind: str) -> Column:
     return F.when(text.rlike(rule.gate), kept).otherwise(none)
 
 
+def spans_in(text: Column) -> Column:
+    """Confirmed spans of every kind, by kind and start; none for a null text."""
+    text = F.coalesce(text, F.lit(""))
+    return F.concat(*[spans_of(text, kind) for kind in KINDS])
+
+
 def with_spans(documents: DataFrame, column: str = "spans") -> DataFrame:
     """``documents`` with the confirmed spans of every kind in the column ``column``."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return documents.withColumn(column, F.concat(*[spans_of(text, kind) for kind in KINDS]))
+    return documents.withColumn(column, spans_in(F.col("text")))
 
 
 def listed(spans: Column) -> Column:
@@ -136,8 +141,7 @@ def listed(spans: Column) -> Column:
 def masked(documents: DataFrame) -> DataFrame:
     """``documents`` with every span in ``text`` replaced by <KIND>; where spans overlap, the one
     that starts first (then the longer, then the first kind) names the whole stretch."""
-    found = with_spans(documents, "_spans")
-    order = F.sort_array(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
+    order = F.sort_array(F.transform(spans_in(F.col("text")), lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
     state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(done: Column, s: Column) -> Column:
@@ -146,9 +150,8 @@ def masked(documents: DataFrame) -> DataFrame:
         tag = F.when(s["start"] >= done["at"], F.concat(gap, F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise("")
         return F.struct(F.concat(done["out"], tag).alias("out"), F.greatest(done["at"], end).alias("at"))
 
-    rebuilt = F.aggregate("_order", state, step, lambda done: F.concat(done["out"], F.substr(F.col("text"), done["at"] + 1)))
-    return (
-        found.withColumn("_order", order)
-        .withColumn("text", F.when(F.size("_order") > 0, rebuilt).otherwise(F.col("text")))
-        .drop("_spans", "_order")
-    )
+    found = "_spans"
+    while found in documents.columns:
+        found += "_"
+    rebuilt = F.aggregate(F.col(found), state, step, lambda done: F.concat(done["out"], F.substr(F.col("text"), done["at"] + 1)))
+    return documents.withColumn(found, order).withColumn("text", F.when(F.size(found) > 0, rebuilt).otherwise(F.col("text"))).drop(found)
