@@ -44,7 +44,7 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     rating = (
         F.when(k % 41 == 40, "x").when(F.col("q") == 0, (1 + F.col("tx")).cast("string")).otherwise((1 + k % 5).cast("string"))
     )
-    seconds = F.when(k % 50 == 49, "n/a").otherwise((F.lit(939340800) + (k % 156) * 2592000).cast("string"))
+    seconds = F.when(k % 50 == 49, "n/a").when(k % 61 == 60, "999999999999999999").otherwise((F.lit(939340800) + (k % 156) * 2592000).cast("string"))
     return from_docs.unionByName(from_pages).select(
         (k + F.col("shift")).cast("string").alias("Id"),
         F.col("product_id").alias("ProductId"),

@@ -102,7 +102,7 @@ STAGES: dict[str, str] = {
              CASE WHEN k % 41 = 40 THEN 'x'
                   WHEN q = 0 THEN CAST(1 + tx AS VARCHAR)
                   ELSE CAST(1 + k % 5 AS VARCHAR) END AS Score,
-             CASE WHEN k % 50 = 49 THEN 'n/a'
+             CASE WHEN k % 50 = 49 THEN 'n/a' WHEN k % 61 = 60 THEN '999999999999999999'
                   ELSE CAST(939340800 + (k % 156) * 2592000 AS VARCHAR) END AS Time,
              substr(body, 1, 40) AS Summary, body AS Text, src AS source_file
       FROM base""",
@@ -127,7 +127,8 @@ STAGES: dict[str, str] = {
       FROM bronze""",
     "normalized": f"""
       SELECT *, {normal('review_text_clean')} AS normalized_text,
-             make_timestamp(review_time_epoch * 1000000) AS review_timestamp
+             CASE WHEN review_time_epoch BETWEEN -62135596800 AND 253402300799
+                  THEN make_timestamp(review_time_epoch * 1000000) END AS review_timestamp
       FROM typed""",
     "silver": r"""
       SELECT *,
@@ -137,7 +138,7 @@ STAGES: dict[str, str] = {
              CAST(len(regexp_split_to_array(normalized_text, '\s+')) AS INTEGER) AS review_word_count,
              CASE WHEN helpfulness_denominator > 0
                   THEN CAST(helpfulness_numerator AS DOUBLE) / helpfulness_denominator END AS helpfulness_ratio,
-             review_time_epoch IS NOT NULL AS has_valid_review_time
+             review_timestamp IS NOT NULL AS has_valid_review_time
       FROM (
         SELECT * FROM normalized
         WHERE id IS NOT NULL AND length(product_id) > 0 AND length(user_id) > 0 AND score BETWEEN 1 AND 5

@@ -628,8 +628,7 @@ def score_json(spark, d):
 @query
 def aspect_topics(spark, d):
     rules = TermRules(low=1, high=2, min_df=10, max_df=0.70, max_features=6_000, stop_words=features.english_stop_words())
-    sample = sampling.hash_sample(stage(fx.sentences(spark, d), "sentences"), "sentence_id", 60_000)
-    return topics.map_topics(topics.fit_topics(sample, "sentence_text", rules), LEXICON)
+    return topics.map_topics(topics.fit_topics(stage(fx.sentences(spark, d), "sentences"), "sentence_text", rules), LEXICON)
 
 
 @_once_per_session

@@ -22,8 +22,13 @@ def safe_integral(value: Column, data_type: str) -> Column:
     return F.when(is_integral(value), F.trim(value).try_cast(data_type))
 
 
+#: First and last second of the years 1 to 9999.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def epoch_to_ts(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+    """Unix seconds to a timestamp; null outside the years 1 to 9999."""
+    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), F.timestamp_seconds(seconds))
 
 
 def binary_label(score: Column) -> Column:

@@ -8,17 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palate.sources.staging import stage
 
-#: Score ranges that get their own running sum, and the scores that make a range worth it.
-SCORE_RANGES = 256
-RANGE_ROWS = 2_000
-
-
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b != 0, a / b).otherwise(0.0)
 
@@ -151,30 +145,26 @@ def multilabel_metrics(long: DataFrame, aspect: str = "aspect", label: str = "y"
 
 
 def score_counts(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
-    """Positives and negatives per distinct score: all that ranking measures need."""
+    """Positives and negatives per distinct score: all that ranking measures need.
+
+    A null or NaN score says nothing in favour of a row, so it ranks below every number.
+    """
     positive = F.col(label) == 1
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
-        _count(weight, positive).alias("pos"), _count(weight, ~positive).alias("neg")
-    )
+    value = F.col(score).cast("double")
+    ranked = F.when(value.isNull() | F.isnan(value), F.lit(float("-inf"))).otherwise(value)
+    return df.groupBy(ranked.alias("score")).agg(_count(weight, positive).alias("pos"), _count(weight, ~positive).alias("neg"))
 
 
 def running_counts(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
     """Score counts with totals over all lower scores (``pos_below``, ``neg_below``) and over
     all scores (``pos_total``, ``neg_total``).
 
-    Scores are cut at approximate quantiles; each range keeps its own running sum and gets
-    the total of the ranges below it. No task sees more than one range. The cuts only
-    steer the work; the sums are exact wherever they fall.
+    Distinct scores are dealt to ranges, as many as the session's shuffle partitions and their
+    sizes call for; each range keeps its own running sum and gets the total of the ranges below
+    it. The cuts only steer the work; the sums are exact wherever they fall.
     """
-    counts = stage(score_counts(df, label, score, weight), "scores")
-    ranges = min(SCORE_RANGES, counts.count() // RANGE_ROWS)
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(counts.approxQuantile("score", steps, 1 / (4 * ranges)))) if steps else []
-    if cuts:
-        splits = [-float("inf"), *cuts, float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(counts)
-    else:
-        ranged = counts.withColumn("range", F.lit(0.0))
+    dealt = score_counts(df, label, score, weight).repartitionByRange("score")
+    ranged = stage(dealt.withColumn("range", F.spark_partition_id()), "scores")
     everything = Window.partitionBy(F.lit(0))  # one row per range
     before = everything.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
@@ -185,7 +175,7 @@ def running_counts(df: DataFrame, label: str, score: str, weight: str | None = N
         F.sum("n").over(everything).alias("neg_total"),
     )
     inside = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    return ranged.join(F.broadcast(offsets), "range").select(
+    return ranged.join(F.broadcast(offsets), "range").select(  # a row per shuffle partition
         "score",
         "pos",
         "neg",
@@ -216,9 +206,9 @@ def ranking_metrics(
     """
     counts = running_counts(df, label, score, weight)
     caught, wrong = F.col("pos_total") - F.col("pos_below"), F.col("neg_total") - F.col("neg_below")
-    won = F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)
+    won = F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2.0)
     return counts.agg(
-        _ratio(F.sum(won), F.sum("pos") * F.sum("neg")).alias("roc_auc"),
+        _ratio(F.sum(won), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"),
         _ratio(F.sum(F.col("pos") * (caught / (caught + wrong))), F.sum("pos")).alias("average_precision"),
     )
 

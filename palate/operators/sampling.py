@@ -18,19 +18,27 @@ from palate.functions.keys import hash_below, order_bucket, order_hash
 from palate.operators.dedup import first_per_group
 from palate.sources.staging import checked_broadcast, stage
 
-#: Groups whose cuts are found by bucket counts; with more groups each is small and a window does.
+#: Groups whose cuts are found by bucket counts. With more, each is small and a window finds the
+#: same rows.
 MAX_CUT_GROUPS = 10_000
 
-#: Ranks up to this prune inside each map task, so a plain window is the better plan.
-WINDOW_LIMIT = 1_000
+#: Order of rows within a group: hash of the key, hash of the tie column, hash of the whole row.
+ORDER = ["_order", "_tie", "_row"]
+_LAST = 2**63 - 1
+
+
+def _group_key(value: Column) -> Column:
+    """A group as text that is never null, so that null labels form a group like any other."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("null"))
 
 
 def _with_order(df: DataFrame, by: str, key: str, tie: str | None, kind: str, seed: int | None) -> DataFrame:
     return df.withColumns(
         {
-            "_by": F.col(by) if by else F.lit(0),
+            "_by": _group_key(F.col(by)) if by else F.lit("="),
             "_order": order_hash(F.col(key), kind=kind, seed=seed),
             "_tie": F.xxhash64(F.col(tie or key)),
+            "_row": F.xxhash64(*df.columns),
         }
     )
 
@@ -61,59 +69,72 @@ def _locate(rows: DataFrame, targets: DataFrame, value: str, bucket: Column) ->
     )
 
 
-def _cuts(rows: DataFrame, targets: DataFrame, kind: str) -> DataFrame:
-    """Order values of the wanted ranks, with a second hash where rows share the first.
+def _cuts(rows: DataFrame, narrow: DataFrame, targets: list[tuple], kind: str) -> list[dict]:
+    """Order values at the wanted ranks: one entry per (group, cut, rank), with ``_order``,
+    ``_tie`` and ``_row`` as far down as needed to tell the rows at the cut apart.
 
-    Many rows with one key, and so one order value, are told apart by ``_tie``; they are
-    counted in its buckets like any others and never meet in one task.
+    Rows that share a value are looked at one level deeper; each level counts in buckets like
+    the first, so they never meet in one task. ``rank`` of ``ties`` rows with equal values fall
+    within the cut: more than one is left open only where whole rows repeat.
     """
     spark = rows.sparkSession
-    first = _locate(rows, targets, "_order", order_bucket(F.col("_order"), kind))
-    first = spark.createDataFrame(first.collect(), first.schema)
-    shared = first.filter(F.col("ties") > 1)
-    if shared.isEmpty():
-        return first.select("_by", "cut", "_order", F.lit(2**63 - 1).alias("_tie_cut"))
-    same = rows.join(F.broadcast(shared.select("_by", "_order").distinct()), ["_by", "_order"], "left_semi")
-    second = _locate(
-        same.join(F.broadcast(shared.select("_by", "_order", "cut")), ["_by", "_order"])
-        .withColumn("_by", F.struct("_by", "cut"))
-        .drop("cut"),
-        shared.select(F.struct("_by", "cut").alias("_by"), "cut", "rank"),
-        "_tie",
-        order_bucket(F.col("_tie"), "xxhash64"),
-    )
-    second = second.select(F.col("_by._by").alias("_by"), "cut", F.col("_tie").alias("_tie_cut"))
-    return first.join(second, ["_by", "cut"], "left").select(
-        "_by", "cut", "_order", F.coalesce("_tie_cut", F.lit(2**63 - 1)).alias("_tie_cut")
-    )
-
-
-def _mark(rows: DataFrame, ranks: dict, kind: str) -> DataFrame:
+    wanted = spark.createDataFrame(targets, "_by string, cut int, rank bigint")
+    found = [r.asDict() for r in _locate(narrow, wanted, "_order", order_bucket(F.col("_order"), kind)).collect()]
+    for depth, level in enumerate(ORDER[1:], 1):
+        shared = [f for f in found if f["rank"] < f["ties"] and ORDER[depth - 1] in f]
+        if not shared:
+            break
+        above = ORDER[:depth]
+        kinds = {"_order": rows.schema["_order"].dataType.simpleString()}
+        at = spark.createDataFrame(
+            [(f["_by"], f"{f['cut']}", *[f[c] for c in above]) for f in shared],
+            ", ".join(["_by string", "_cut_name string", *[f"{c} {kinds.get(c, 'bigint')}" for c in above]]),
+        )
+        # one row per group and cut; whole rows are read only on the last level
+        source = (rows if level == "_row" else narrow).select("_by", *ORDER[: depth + 1])
+        same = source.join(F.broadcast(at), ["_by", *above]).withColumn("_by", F.concat_ws("#", "_by", "_cut_name"))
+        again = spark.createDataFrame([(f"{f['_by']}#{f['cut']}", f["cut"], f["rank"]) for f in shared], "_by string, cut int, rank bigint")
+        located = {r["_by"]: r for r in _locate(same, again, level, order_bucket(F.col(level), "xxhash64")).collect()}
+        for f in shared:
+            r = located[f"{f['_by']}#{f['cut']}"]
+            f.update({level: r[level], "rank": r["rank"], "ties": r["ties"]})
+    return found
+
+
+def _mark(rows: DataFrame, narrow: DataFrame, ranks: dict, kind: str) -> DataFrame:
     """Adds ``_cut``: the first cut a row falls within, null beyond the last.
 
     ``ranks`` maps a group to its cumulative ranks, one per cut.
     """
     spark = rows.sparkSession
-    by_type = rows.schema["_by"].dataType.simpleString()
-    wanted = [(g, i, int(r)) for g, cuts in ranks.items() for i, r in enumerate(cuts) if r > 0]
-    targets = spark.createDataFrame(wanted, f"_by {by_type}, cut int, rank bigint")
-    # one row per group: an array of (cut, order, tie) in cut order
-    bounds = (
-        _cuts(rows, targets, kind)
-        .groupBy("_by")
-        .agg(F.sort_array(F.collect_list(F.struct("cut", "_order", "_tie_cut"))).alias("_bounds"))
-    )
+    found = _cuts(rows, narrow, [(g, i, int(r)) for g, cuts in ranks.items() for i, r in enumerate(cuts) if r > 0], kind)
+    entries = [(f["_by"], f["cut"], f["_order"], f.get("_tie", _LAST), f.get("_row", _LAST), f["rank"] if f["rank"] < f["ties"] else None) for f in found]
+    order_type = rows.schema["_order"].dataType.simpleString()
+    schema = f"_by string, cut int, o {order_type}, t bigint, r bigint, copies bigint"
+    # one row per group: an array of its bounds in cut order
+    bounds = spark.createDataFrame(entries, schema).groupBy("_by").agg(F.sort_array(F.collect_list(F.struct("cut", "o", "t", "r", "copies"))).alias("_bounds"))
+    copy = F.lit(1).cast("bigint")
+    if any(e[-1] is not None for e in entries):
+        # whole rows repeat at a cut: equal rows are numbered, which only their group needs
+        copy = F.row_number().over(Window.partitionBy("_by", *ORDER).orderBy(F.lit(0))).cast("bigint")
+    o, t, r = (F.col(c) for c in ORDER)
     within = F.filter(
         F.col("_bounds"),
-        lambda b: (F.col("_order") < b["_order"])
-        | ((F.col("_order") == b["_order"]) & (F.col("_tie") <= b["_tie_cut"])),
+        lambda b: (o < b["o"])
+        | ((o == b["o"]) & ((t < b["t"]) | ((t == b["t"]) & ((r < b["r"]) | ((r == b["r"]) & (F.col("_copy") <= F.coalesce(b["copies"], F.col("_copy")))))))),
     )
-    return rows.join(checked_broadcast(bounds), "_by", "left").withColumn("_cut", F.get(within, F.lit(0))["cut"])
+    marked = rows.withColumn("_copy", copy).join(checked_broadcast(bounds), "_by", "left")
+    return marked.withColumn("_cut", F.get(within, F.lit(0))["cut"]).drop("_copy")
 
 
-def _group_sizes(rows: DataFrame) -> dict | None:
+def _narrow(rows: DataFrame, name: str) -> DataFrame:
+    """Group and order of every row, stored: what finding cuts needs, without the row itself."""
+    return stage(rows.select("_by", "_order", "_tie"), name)
+
+
+def _group_sizes(narrow: DataFrame) -> dict | None:
     """Rows per group, or None when there are too many groups to list."""
-    sizes = rows.groupBy("_by").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CUT_GROUPS + 1).collect()
+    sizes = narrow.groupBy("_by").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CUT_GROUPS + 1).collect()
     return {r["_by"]: r["n"] for r in sizes} if len(sizes) <= MAX_CUT_GROUPS else None
 
 
@@ -142,18 +163,19 @@ def stratified_split(
     ``rest``. ``tie`` orders rows that share a key.
     """
     cuts = cuts or {"train": 0.80, "validation": 0.90}
-    rows = stage(_with_order(df, label, key, tie, kind, seed), "split")
+    rows = _with_order(df, label, key, tie, kind, seed)
+    narrow = _narrow(rows, "split")
     names, shares = list(cuts), list(cuts.values())
-    sizes = _group_sizes(rows)
+    sizes = _group_sizes(narrow)
     if sizes is None:
         group = Window.partitionBy("_by")
-        rank = F.row_number().over(group.orderBy("_order", "_tie"))
+        rank = F.row_number().over(group.orderBy(*ORDER))
         share = rank.cast("double") / F.count(F.lit(1)).over(group)
         name = reduce(lambda e, c: e.when(share <= c[1], c[0]), list(cuts.items())[1:], F.when(share <= shares[0], names[0]))
-        return rows.withColumn(into, name.otherwise(rest)).drop("_by", "_order", "_tie")
-    marked = _mark(rows, {g: [share_rank(s, n) for s in shares] for g, n in sizes.items()}, kind)
+        return rows.withColumn(into, name.otherwise(rest)).drop("_by", *ORDER)
+    marked = _mark(rows, narrow, {g: [share_rank(s, n) for s in shares] for g, n in sizes.items()}, kind)
     name = F.coalesce(F.get(F.lit(names), F.col("_cut")), F.lit(rest))
-    return marked.withColumn(into, name).drop("_by", "_order", "_tie", "_bounds", "_cut")
+    return marked.withColumn(into, name).drop("_by", *ORDER, "_bounds", "_cut")
 
 
 def take_quota(
@@ -165,19 +187,22 @@ def take_quota(
     seed: int | None = None,
     tie: str | None = None,
 ) -> DataFrame:
-    """Exactly ``quotas[group]`` rows of each group (all of a smaller one), in hash order."""
-    ordered = _with_order(df, by, key, tie, kind, seed)
-    wanted = ordered.filter(F.col("_by").isin(list(quotas)))
-    if max(quotas.values(), default=0) <= WINDOW_LIMIT:
-        rank = F.row_number().over(Window.partitionBy("_by").orderBy("_order", "_tie"))
-        most = max(quotas.values(), default=0)
-        within = reduce(lambda a, b: a | b, [(F.col("_by") == g) & (F.col("_rank") <= q) for g, q in quotas.items()])
-        ranked = wanted.withColumn("_rank", rank).filter((F.col("_rank") <= most) & within)
-        return ranked.drop("_by", "_order", "_tie", "_rank")
-    rows = stage(wanted, "quota")
-    sizes = rows.groupBy("_by").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per quota at most
-    ranks = {r["_by"]: [min(quotas[r["_by"]], r["n"])] for r in sizes}
-    return _mark(rows, ranks, kind).filter(F.col("_cut") == 0).drop("_by", "_order", "_tie", "_bounds", "_cut")
+    """Exactly ``quotas[group]`` rows of each group (all of a smaller one), in hash order.
+
+    Rows that share a key are taken in the order of ``tie`` and then of the whole row, so a
+    quota is exact at any size, however often a key repeats. None names the null group.
+    """
+    known = [g for g in quotas if g is not None]
+    wanted = F.col(by).isin(known) if known else F.lit(False)
+    wanted = F.coalesce(wanted, F.lit(False)) | F.col(by).isNull() if None in quotas else wanted
+    rows = _with_order(df.filter(wanted), by, key, tie, kind, seed)
+    narrow = _narrow(rows, "quota")
+    spark = df.sparkSession
+    names = spark.createDataFrame([(g,) for g in quotas], f"g {df.schema[by].dataType.simpleString()}").select("g", _group_key(F.col("g")).alias("_by"))
+    key_of = {r["g"]: r["_by"] for r in names.collect()}  # a row per quota
+    sizes = {r["_by"]: r["n"] for r in narrow.groupBy("_by").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ranks = {key_of[g]: [min(q, sizes[key_of[g]])] for g, q in quotas.items() if key_of[g] in sizes}
+    return _mark(rows, narrow, ranks, kind).filter(F.col("_cut") == 0).drop("_by", *ORDER, "_bounds", "_cut")
 
 
 def balanced_sample(
@@ -229,15 +254,17 @@ def group_split(df: DataFrame, key: str = "record_id", into: str = "development_
 def hash_sample(
     df: DataFrame, key: str, max_rows: int, kind: str = "xxhash64", seed: int | None = None, total: int | None = None
 ) -> DataFrame:
-    """About ``max_rows`` rows chosen by key hash, never more, one per key.
+    """About ``max_rows`` keys chosen by key hash, never more, one row each.
 
-    The hash test leaves a sample of bounded size, so the final cap sorts that and not the table.
+    The threshold is a share of the distinct keys, so repeated keys do not shrink the sample, and
+    copies leave before the cap. The hash test leaves a sample of bounded size, so the final cap
+    sorts that and not the table. ``total`` is the number of distinct keys where it is known.
     """
-    total = df.count() if total is None else total
+    total = df.select(key).distinct().count() if total is None else total
     value = order_hash(F.col(key), kind=kind, seed=seed)
-    near = df.filter(hash_below(value, min(1.0, max_rows / max(total, 1)), kind))
-    capped = near.withColumn("_order", value).orderBy("_order", key).limit(max_rows)
-    return first_per_group(capped, [F.col(key)], [F.col("_order")]).drop("_order")
+    near = df.filter(hash_below(value, min(1.0, max_rows / max(total, 1)), kind)).withColumn("_order", value)
+    single = first_per_group(near, [F.col(key)], [F.xxhash64(*df.columns)])
+    return single.orderBy("_order", key).limit(max_rows).drop("_order")
 
 
 def balance_train(
@@ -249,8 +276,12 @@ def balance_train(
     return take_quota(df, label, {g: quota for g in sizes}, key, kind, seed)
 
 
-def realistic_quotas(positives: int, negatives: int, share: float = 0.78, max_rows: int = 8_000) -> dict[int, int]:
-    """Rows per class for a sample with the given positive share, within what is there."""
+def realistic_quotas(positives: int, negatives: int, share: float = 0.78, max_rows: int | None = 8_000) -> dict[int, int]:
+    """Rows per class for a sample with the given positive share, within what is there. Without
+    ``max_rows`` the largest sample that has the share."""
+    if max_rows is None:
+        wanted = positives if share >= 1 else int(min(positives, negatives * share / (1 - share)))
+        return {1: wanted, 0: negatives if share <= 0 else min(negatives, round(wanted * (1 - share) / share))}
     rows = min(positives + negatives, max_rows)
     wanted = int(rows * share)
     return {1: min(wanted, positives), 0: min(rows - wanted, negatives)}
@@ -259,7 +290,7 @@ def realistic_quotas(positives: int, negatives: int, share: float = 0.78, max_ro
 def realistic_sample(
     df: DataFrame,
     share: float = 0.78,
-    max_rows: int = 8_000,
+    max_rows: int | None = 8_000,
     label: str = "label",
     key: str = "record_id",
     kind: str = "xxhash64",
@@ -270,6 +301,13 @@ def realistic_sample(
     return take_quota(df, label, realistic_quotas(sizes.get(1, 0), sizes.get(0, 0), share, max_rows), key, kind, seed)
 
 
+def pool_outside(df: DataFrame, by: str, fractions: dict, key: str, kind: str = "xxhash64", seed: int = 42) -> DataFrame:
+    """Rows that :func:`stratified_sample` with the same arguments leaves out: a filter, no join."""
+    value = order_hash(F.col(key), kind=kind, seed=seed)
+    taken = [(F.col(by) == group) & hash_below(value, share, kind) for group, share in fractions.items()]
+    return df.filter(~F.coalesce(reduce(lambda a, b: a | b, taken), F.lit(False)))
+
+
 def holdout_pool(df: DataFrame, used: DataFrame, key: str = "row_id") -> DataFrame:
     """Rows whose key is not among the used ones."""
     return df.join(used.select(key), key, "left_anti")

@@ -123,7 +123,7 @@ def to_silver(bronze: DataFrame, now: Column | None = None) -> DataFrame:
             "helpfulness_ratio": labels.helpfulness_ratio(
                 F.col("helpfulness_numerator"), F.col("helpfulness_denominator")
             ),
-            "has_valid_review_time": F.col("review_time_epoch").isNotNull(),
+            "has_valid_review_time": F.col("review_timestamp").isNotNull(),
             "_silver_processed_at": F.current_timestamp() if now is None else now,
         }
     )

@@ -68,7 +68,7 @@ def balancing_fractions(positives: int, negatives: int, rows: int = 150_000) ->
 def research_splits(
     df: DataFrame,
     rows: int = 150_000,
-    natural_rows: int = 15_000,
+    natural_rows: int | None = 15_000,
     kind: str = "xxhash64",
     seed: int = 42,
     leave_out: str = "sample",
@@ -77,6 +77,7 @@ def research_splits(
 
     ``leave_out="sample"`` keeps all three sets disjoint. ``"train"`` leaves only the
     train rows out of the pool, so the natural test may share rows with the balanced one.
+    ``natural_rows=None`` takes the whole pool, at its own balance, as the natural test.
     """
     df = stage(df, "research")
     balance = class_balance(df).first()
@@ -85,15 +86,22 @@ def research_splits(
     sample = sampling.stratified_sample(df, "label", fractions, "row_id", kind, seed)
     split = sampling.hash_split(sample, "row_id", {"train": 0.8, "test": 0.2}, "part", kind, seed + 100)
     train = split.filter(F.col("part") == "train").drop("part")
-    pool = sampling.holdout_pool(df, sample if leave_out == "sample" else train)
-    share = positives / max(total, 1)
-    left = {r["label"]: r["count"] for r in pool.groupBy("label").count().collect()}
-    quotas = {
-        1: min(left.get(1, 0), round(natural_rows * share)),
-        0: min(left.get(0, 0), natural_rows - round(natural_rows * share)),
-    }
+    if leave_out == "sample":  # the sample is a hash threshold, so what it leaves is a filter
+        pool = sampling.pool_outside(df, "label", fractions, "row_id", kind, seed)
+    else:
+        pool = sampling.holdout_pool(df, train)
+    if natural_rows is None:
+        natural = pool
+    else:
+        share = positives / max(total, 1)
+        left = {r["label"]: r["count"] for r in pool.groupBy("label").count().collect()}
+        quotas = {
+            1: min(left.get(1, 0), round(natural_rows * share)),
+            0: min(left.get(0, 0), natural_rows - round(natural_rows * share)),
+        }
+        natural = sampling.take_quota(pool, "label", quotas, "row_id", kind, seed + 1)
     return {
         "train": sampling.shuffle(train, "row_id", kind, seed),
         "balanced_test": split.filter(F.col("part") == "test").drop("part"),
-        "natural_test": sampling.take_quota(pool, "label", quotas, "row_id", kind, seed + 1),
+        "natural_test": natural,
     }

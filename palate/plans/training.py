@@ -11,9 +11,9 @@ from palate.operators import aspects, metrics, models, quality, sampling
 from palate.operators.features import TermRules
 from palate.sources.staging import stage
 
-# Caps of the training and the development sample.
+# Rows that models are fitted on, at most. Measures and predictions use all rows.
 TRAIN_ROWS_PER_CLASS = 75_000
-DEVELOPMENT_SENTENCES = 200_000
+FIT_SENTENCES = 200_000
 
 
 @dataclass(frozen=True)
@@ -86,18 +86,20 @@ def aspect_layer(
     valence: dict[str, float],
     negators: list[str],
     rules: TermRules = models.ASPECT_RULES,
-    max_rows: int = DEVELOPMENT_SENTENCES,
+    max_rows: int | None = FIT_SENTENCES,
 ) -> AspectRun:
-    """Sample, seed labels, split by review, fit a detector per aspect, measure it, apply it."""
+    """Seed labels, split by review, fit a detector per aspect on at most ``max_rows`` train
+    sentences, measure it on all held-out sentences and apply it to every sentence."""
     names = list(lexicon)
-    sample = sampling.hash_sample(sentences.select(*PREDICTION_CONTEXT), "sentence_id", max_rows)
-    labelled = stage(sampling.group_split(aspects.weak_labels(sample, lexicon)).drop("seed_aspects"), "labelled")
+    known = sentences.select(*PREDICTION_CONTEXT)
+    labelled = stage(sampling.group_split(aspects.weak_labels(known, lexicon)).drop("seed_aspects"), "labelled")
     aspects.check_aspect_support(labelled, names)
 
     def part(name: str) -> DataFrame:
         return labelled.filter(F.col("development_split") == name)
 
-    model = models.fit_aspects(part("train"), names, rules=rules)
+    train = part("train") if max_rows is None else sampling.hash_sample(part("train"), "sentence_id", max_rows)
+    model = models.fit_aspects(train, names, rules=rules)
     report = []
     for name in ("validation", "test"):
         outcomes = stage(models.aspect_outcomes(model, part(name), names), f"outcomes_{name}")

@@ -92,8 +92,7 @@ def scores(spark, n=400, ties=True):
 
 
 @pytest.mark.parametrize("ties", [True, False])
-def test_ranking_measures_equal_brute_force(spark, monkeypatch, ties):
-    monkeypatch.setattr(metrics, "RANGE_ROWS", 2)
+def test_ranking_measures_equal_brute_force(spark, ties):
     rows, df = scores(spark, ties=ties)
     pos, neg = [s for _, y, s in rows if y], [s for _, y, s in rows if not y]
     auc = sum((p > q) + (p == q) / 2 for p in pos for q in neg) / (len(pos) * len(neg))
@@ -105,6 +104,30 @@ def test_ranking_measures_equal_brute_force(spark, monkeypatch, ties):
     assert metrics.average_precision(df).first()[0] == pytest.approx(ap)
 
 
+@pytest.mark.parametrize("n", [500, 5000])
+def test_missing_scores_rank_lowest_at_any_size(spark, n):
+    """A quarter null, an eighth NaN, the rest distinct: the same pattern, below and above 2,000 scores."""
+    chooser = random.Random(n)
+    rows = [(chooser.randint(0, 1), None if i % 4 == 0 else float("nan") if i % 8 == 1 else chooser.random()) for i in range(n)]
+    ranked = sorted((float("-inf") if s is None or s != s else s, y) for y, s in rows)
+    below = won = 0.0
+    positives = sum(y for _, y in ranked)
+    for value in sorted({s for s, _ in ranked}) if n < 1000 else []:
+        here = [y for s, y in ranked if s == value]
+        won += sum(here) * (below + here.count(0) / 2)
+        below += here.count(0)
+    found = metrics.ranking_metrics(spark.createDataFrame(rows, "label int, score double")).first()
+    if n < 1000:
+        assert found["roc_auc"] == pytest.approx(won / (positives * (n - positives)))
+    plain = [(y, -1.0 if s is None or s != s else s) for y, s in rows]
+    assert found.asDict() == pytest.approx(metrics.ranking_metrics(spark.createDataFrame(plain, "label int, score double")).first().asDict())
+
+
+def test_ranking_measures_of_billions_of_rows(spark):
+    df = spark.createDataFrame([(1, 0.9, 4_000_000_000), (0, 0.1, 4_000_000_000)], "label int, score double, n bigint")
+    assert metrics.ranking_metrics(df, weight="n").first().asDict() == {"roc_auc": 1.0, "average_precision": 1.0}
+
+
 def test_ranking_measures_of_one_score_and_of_one_class(spark):
     flat = spark.createDataFrame([(1, 0.5), (0, 0.5)], "label int, score double")
     assert metrics.ranking_metrics(flat).first().asDict() == {"roc_auc": 0.5, "average_precision": 0.5}

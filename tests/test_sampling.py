@@ -62,10 +62,47 @@ def test_many_groups_use_the_window(spark, monkeypatch):
     assert found == {tuple(r) for r in plain_split(rows, "xxhash64").collect()}
 
 
-@pytest.mark.parametrize("limit", [0, 10_000])
-def test_quota_takes_the_first_rows_by_hash(spark, monkeypatch, limit):
-    """Both ways, the ranked one and the cut one, take the same rows."""
-    monkeypatch.setattr(sampling, "WINDOW_LIMIT", limit)
+@pytest.mark.parametrize("quota", [999, 1000, 1001, 1500])
+def test_quota_is_exact_when_keys_repeat(spark, quota):
+    """On both sides of a thousand, over rows that share keys and rows that are equal throughout."""
+    rows = spark.range(8000).select((F.col("id") % 20).cast("string").alias("k"), (F.col("id") % 40 >= 20).cast("int").alias("label"), (F.col("id") % 100).alias("x"))
+    found = sampling.take_quota(rows, "label", {0: quota, 1: 7}, "k").collect()
+    assert Counter(r["label"] for r in found) == {0: quota, 1: 7}
+    again = sampling.take_quota(rows.repartition(5), "label", {0: quota, 1: 7}, "k").collect()
+    assert Counter(map(tuple, found)) == Counter(map(tuple, again))
+
+
+@pytest.mark.parametrize("groups", [1, 10_000])
+def test_null_labels_are_a_class_like_any_other(spark, monkeypatch, groups):
+    monkeypatch.setattr(sampling, "MAX_CUT_GROUPS", groups)
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") % 2 == 0, 1).alias("label"))
+    counts = Counter((r["label"], r["part"]) for r in sampling.stratified_split(rows, "label", "k", into="part").collect())
+    assert counts == {(y, p): n for y in (1, None) for p, n in (("train", 400), ("validation", 50), ("test", 50))}
+    assert Counter(r["label"] for r in sampling.take_quota(rows, "label", {None: 30, 1: 20}, "k").collect()) == {None: 30, 1: 20}
+
+
+def test_split_stores_no_text(spark, monkeypatch):
+    stored = []
+    keep = sampling.stage
+    monkeypatch.setattr(sampling, "stage", lambda df, name: stored.extend(df.columns) or keep(df, name))
+    rows = keyed(spark, 50).withColumn("clean_text", F.lit("long text"))
+    assert sampling.stratified_split(rows, "label", "record_id", tie="clean_text").count() == 50
+    assert set(stored) == {"_by", "_order", "_tie"}
+
+
+def test_pool_is_what_the_sample_leaves(spark):
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") % 3 < 2, (F.col("id") % 3).cast("int")).alias("label"))
+    sample = sampling.stratified_sample(rows, "label", {0: 0.3, 1: 0.8}, "k")
+    pool = sampling.pool_outside(rows, "label", {0: 0.3, 1: 0.8}, "k")
+    assert pool.count() + sample.count() == 1000 and pool.join(sample, "k", "left_semi").isEmpty()
+
+
+def test_hash_sample_counts_keys_and_not_rows(spark):
+    rows = spark.range(20_000).select((F.col("id") % 2000).cast("string").alias("k"))
+    assert 850 < sampling.hash_sample(rows, "k", 1000).count() <= 1000
+
+
+def test_quota_takes_the_first_rows_by_hash(spark):
     rows = keyed(spark, 3000)
     found = sampling.take_quota(rows, "label", {0: 100, 1: 2000, 2: 0}, "record_id", seed=7).collect()
     assert Counter(r["label"] for r in found) == {0: 100, 1: 1000}
@@ -102,6 +139,11 @@ def test_realistic_quotas(p, n, quotas):
     assert sampling.realistic_quotas(p, n) == quotas
 
 
+def test_realistic_quotas_without_a_cap():
+    assert sampling.realistic_quotas(100_000, 100_000, 0.8, None) == {1: 100_000, 0: 25_000}
+    assert sampling.realistic_quotas(100_000, 10_000, 0.8, None) == {1: 40_000, 0: 10_000}
+
+
 def test_group_split_keeps_groups_together(spark):
     rows = spark.range(2000).select((F.col("id") % 300).cast("string").alias("record_id"))
     split = sampling.group_split(rows)
