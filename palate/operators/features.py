@@ -7,17 +7,30 @@ shuffled is the text and not the many times larger list of terms.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass, field
 from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palate.functions import text as tx
+from palate.operators.ranks import ranked
 from palate.sources.staging import stage
 
-#: Vocabularies up to this size are broadcast; ``max_features`` bounds them.
+#: Vocabularies up to this size, in terms and in bytes of terms, are sent to every task;
+#: ``max_features`` bounds them.
 MAX_BROADCAST_TERMS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+
+#: Rows whose terms a task looks up at a time.
+LOOKUP_ROWS = 512
 
 
 @dataclass(frozen=True)
@@ -62,15 +75,16 @@ def token_counts(df: DataFrame, text: str, stop_words: list[str]) -> DataFrame:
 def document_frequencies(docs: DataFrame, text: str, rules: TermRules) -> DataFrame:
     """``(term, df, cf)``: documents that hold the term, and its occurrences.
 
-    A document marks its distinct terms inside its row, so texts are not shuffled to be
+    A document marks the first of equal terms inside its row, so texts are not shuffled to be
     counted by document: each task sends one partial row per term it saw.
     """
 
-    def marks(terms: Column, df: int) -> Column:
-        return F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(df).alias("df"), F.lit(1 - df).alias("cf")))
+    def marks(ts: Column) -> Column:
+        first = lambda t, i: F.when(F.get(ts, i - 1) == t, 0).otherwise(1)
+        return F.transform(ts, lambda t, i: F.struct(t.alias("term"), first(t, i).alias("df")))
 
-    marked = tx.let(rules.terms(F.col(text)), lambda ts: F.concat(marks(F.array_distinct(ts), 1), marks(ts, 0)))
-    return docs.select(F.inline(marked)).groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    marked = tx.let(F.sort_array(rules.terms(F.col(text))), marks)
+    return docs.select(F.inline(marked)).groupBy("term").agg(F.sum("df").alias("df"), F.count(F.lit(1)).alias("cf"))
 
 
 def _as_documents(bound: float, n_docs: int) -> float:
@@ -83,7 +97,19 @@ def vocabulary(docs: DataFrame, text: str, n_docs: int, rules: TermRules) -> Dat
     kept = document_frequencies(docs, text, rules).filter(
         (F.col("df") >= _as_documents(rules.min_df, n_docs)) & (F.col("df") <= _as_documents(rules.max_df, n_docs))
     )
-    return kept if rules.max_features is None else kept.orderBy(F.desc("cf"), "term").limit(rules.max_features)
+    if rules.max_features is None:
+        return kept
+    return ranked(kept, F.desc("cf"), F.col("term")).filter(F.col("rank") <= rules.max_features).drop("rank")
+
+
+def known_terms(terms: DataFrame, value: str, most: int = MAX_BROADCAST_TERMS) -> tuple[pa.Array, np.ndarray]:
+    """Terms in the order of ``id`` with one value each, on the driver; too large a table is an error."""
+    rows = terms.select("term", value, "id").limit(most + 1).collect()
+    size = sum(len(r["term"].encode()) for r in rows)
+    if len(rows) > most or size > MAX_BROADCAST_BYTES:
+        raise ValueError(f"vocabulary too large to look up in a task: over {min(len(rows), most)} terms or {MAX_BROADCAST_BYTES} bytes")
+    rows.sort(key=lambda r: r["id"])
+    return pa.array([r["term"] for r in rows], pa.string()), np.array([r[value] for r in rows])
 
 
 def smooth_idf(df: Column, n_docs: int) -> Column:
@@ -124,61 +150,62 @@ class Tfidf:
         return raw.select("doc", "term", *ids, (F.col("_w") / norm).alias("weight"))
 
     @cached_property
-    def _counter(self):
-        """Counting model and IDF array by term id: ``max_features`` rows at most, which a
-        model broadcasts anyway. Made once per fitted vocabulary."""
-        import numpy as np
-        from pyspark.ml.feature import CountVectorizerModel
-
-        rows = self.terms.orderBy("id").collect()
-        model = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], inputCol="_terms", outputCol="_counts")
-        return model, np.array([r["idf"] for r in rows])
+    def _known(self) -> tuple:
+        """Terms and IDF by id, broadcast once per fitted vocabulary and checked in bytes."""
+        if self.size is None:
+            raise ValueError("vectors need a vocabulary bounded by max_features")
+        found = known_terms(self.terms, "idf")
+        return self.terms.sparkSession.sparkContext.broadcast(found)
 
     def vectors(self, docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
         """``keep`` columns and a sparse ``features`` vector per document, of length 1, or
         the zero vector for a document without known terms.
 
-        The same numbers as ``weights``, made inside the row: terms are counted against the
-        broadcast vocabulary, then the counts of a document are scaled. No shuffle.
+        The same numbers as ``weights``, made batch by batch: terms are looked up in the broadcast
+        vocabulary and counted per row over whole Arrow batches. No shuffle.
         """
-        from pyspark.ml.linalg import SparseVector, VectorUDT
-
-        model, idf = self._counter
-        sublinear = self.rules.sublinear
-
-        def scale(counts):
-            import numpy as np
-
-            tf = counts.values
-            weight = (np.log(tf) + 1.0 if sublinear else tf) * idf[counts.indices]
-            norm = np.sqrt((weight * weight).sum())
-            return SparseVector(counts.size, counts.indices, weight / norm if norm else weight)
-
-        counted = model.transform(docs.select(*keep, self.rules.terms(F.col(text)).alias("_terms")))
-        return counted.select(*keep, F.udf(scale, VectorUDT())("_counts").alias("features"))
+        known, sublinear, size = self._known, self.rules.sublinear, self.size
+        chosen = docs.select(*keep, self.rules.terms(F.col(text)).alias("_terms"))
+        schema = T.StructType([*[f for f in chosen.schema if f.name in keep], T.StructField("features", VectorUDT())])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            terms, idf = known.value
+            for batch in batches:
+                for at in range(0, batch.num_rows, LOOKUP_ROWS):
+                    part = batch.slice(at, LOOKUP_ROWS)
+                    row, index, weight = _row_weights(part.column("_terms"), terms, idf, sublinear)
+                    n = len(part)
+                    offsets = pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32))
+                    vectors = pa.StructArray.from_arrays(
+                        [pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), pa.ListArray.from_arrays(offsets, pa.array(index.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(weight))],
+                        ["type", "size", "indices", "values"],
+                    )
+                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], vectors], [*keep, "features"])
+
+        return chosen.mapInArrow(run, schema)
 
     def save(self, path: str) -> None:
         self.terms.write.mode("overwrite").parquet(f"{path}/terms")
-        r = self.rules
-        row = (r.low, r.high, float(r.max_df), r.max_features, r.sublinear, r.accents, r.stop_words, self.size)
-        schema = (
-            "low int, high int, max_df double, max_features int, sublinear boolean, accents boolean, "
-            "stop_words array<string>, size int"
-        )
-        self.terms.sparkSession.createDataFrame([row], schema).write.mode("overwrite").json(f"{path}/rules")
+        stored = json.dumps({"rules": asdict(self.rules), "size": self.size})
+        self.terms.sparkSession.createDataFrame([(stored,)], "value string").write.mode("overwrite").text(f"{path}/rules")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Tfidf:
-        r = spark.read.json(
-            f"{path}/rules",
-            "low int, high int, max_df double, max_features int, sublinear boolean, accents boolean, "
-            "stop_words array<string>, size int",
-        ).first()
-        rules = TermRules(
-            low=r["low"], high=r["high"], max_df=r["max_df"], max_features=r["max_features"],
-            sublinear=r["sublinear"], accents=r["accents"], stop_words=list(r["stop_words"] or []),
-        )
-        return Tfidf(rules, spark.read.parquet(f"{path}/terms"), r["size"])
+        stored = json.loads(spark.read.option("wholetext", True).text(f"{path}/rules").first()["value"])
+        return Tfidf(TermRules(**stored["rules"]), spark.read.parquet(f"{path}/terms"), stored["size"])
+
+
+def _row_weights(lists: pa.ListArray, terms: pa.Array, idf: np.ndarray, sublinear: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, term id and weight of every distinct known term, by row and id; rows have length 1."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    found = pc.fill_null(pc.index_in(lists.flatten(), value_set=terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(lists)), sizes)
+    known = found >= 0
+    pair, tf = np.unique(row[known] * (len(terms) + 1) + found[known], return_counts=True)
+    row, index = pair // (len(terms) + 1), pair % (len(terms) + 1)
+    weight = (np.log(tf) + 1.0 if sublinear else tf.astype(float)) * (idf[index] if len(index) else 1.0)
+    norm = np.sqrt(np.bincount(row, weight * weight, minlength=len(lists)))
+    return row, index, weight / norm[row]
 
 
 def fit_tfidf(docs: DataFrame, text: str, rules: TermRules) -> Tfidf:
@@ -205,8 +232,8 @@ PAD_ID, UNKNOWN_ID = 0, 1
 def sequence_vocabulary(docs: DataFrame, text: str, max_words: int = 20_000) -> DataFrame:
     """``(term, id)`` of the most frequent words; ids start at 2, so that ids stay below ``max_words``."""
     counts = docs.select(F.explode(tx.sequence_tokens(F.col(text))).alias("term")).groupBy("term").count()
-    top = counts.orderBy(F.desc("count"), "term").limit(max(max_words - 2, 0))
-    return top.select("term", (F.row_number().over(Window.orderBy(F.desc("count"), "term")) + 1).alias("id"))
+    top = ranked(counts, F.desc("count"), F.col("term")).filter(F.col("rank") <= max(max_words - 2, 0))
+    return top.select("term", (F.col("rank") + 1).alias("id"))
 
 
 def encode_sequences(
@@ -214,17 +241,28 @@ def encode_sequences(
 ) -> DataFrame:
     """``(doc, ids)``: word ids, cut and zero-padded at the end to ``max_length``.
 
-    ``terms`` is bounded by ``max_words``. A document sends at most ``max_length`` ids.
+    A lookup within the row: no shuffle, and rows that share a key stay rows of their own. The
+    vocabulary goes to every task; its size is checked.
     """
-    tokens = F.slice(tx.sequence_tokens(F.col(text)), 1, max_length)
-    placed = docs.select(F.col(doc).alias("doc"), F.col(text)).repartition("doc")
-    spots = placed.select("doc", F.posexplode_outer(tokens).alias("pos", "term"))
-    known = spots.join(F.broadcast(terms), "term", "left")
-    word = F.when(F.col("term").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id")))
-    rows = known.groupBy("doc").agg(F.sort_array(F.collect_list(word)).alias("w"))
-    ids = F.transform("w", lambda w: w["id"])
-    padded = F.slice(F.concat(ids, F.array_repeat(F.lit(PAD_ID), max_length)), 1, max_length)
-    return rows.select("doc", padded.alias("ids"))
+    words, ids = known_terms(terms, "id")
+    known = docs.sparkSession.sparkContext.broadcast((words, ids))
+    chosen = docs.select(F.col(doc).alias("doc"), F.slice(tx.sequence_tokens(F.col(text)), 1, max_length).alias("_words"))
+    schema = T.StructType([chosen.schema["doc"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, ids = known.value
+        by_place = np.append(ids, UNKNOWN_ID).astype(np.int32)
+        for batch in batches:
+            column = batch.column("_words")
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            place = pc.fill_null(pc.index_in(column.flatten(), value_set=words), len(words)).to_numpy(zero_copy_only=False)
+            out = np.full((len(column), max_length), PAD_ID, np.int32)
+            row = np.repeat(np.arange(len(column)), sizes)
+            out[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = by_place[place]
+            offsets = pa.array(np.arange(len(column) + 1, dtype=np.int32) * max_length)
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))], ["doc", "ids"])
+
+    return chosen.mapInArrow(run, schema)
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -239,7 +277,7 @@ def naive_bayes_parameters(docs: DataFrame, text: str, label: str, smoothing: fl
     """``(label, term, log_prior, log_probability)`` of a multinomial model with two classes."""
     classes = [0, 1]
     flat = docs.filter(F.col(label).isin(classes)).select(F.col(label).alias("y"), F.explode(tx.words(F.col(text))).alias("term"))
-    counts = flat.groupBy("term").agg(*[F.count(F.when(F.col("y") == c, 1)).alias(f"n{c}") for c in classes])
+    counts = stage(flat.groupBy("term").agg(*[F.count(F.when(F.col("y") == c, 1)).alias(f"n{c}") for c in classes]), "term_counts")
     sums = counts.agg(F.count(F.lit(1)).alias("v"), *[F.sum(f"n{c}").alias(f"n{c}") for c in classes]).first()
     sizes = docs.agg(*[F.count(F.when(F.col(label) == c, 1)).alias(f"d{c}") for c in classes]).first()
     rows = []

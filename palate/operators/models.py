@@ -154,9 +154,11 @@ class TextModel:
     def save(self, path: str) -> None:
         self.features.save(f"{path}/features")
         self.classifier.write().overwrite().save(f"{path}/{self.kind}")
+        self.features.terms.sparkSession.createDataFrame([(self.kind,)], "value string").write.mode("overwrite").text(f"{path}/kind")
 
     @staticmethod
-    def load(spark: SparkSession, path: str, kind: str) -> TextModel:
+    def load(spark: SparkSession, path: str) -> TextModel:
+        kind = spark.read.text(f"{path}/kind").first()["value"]
         return TextModel(Tfidf.load(spark, f"{path}/features"), _CLASSIFIER_MODELS[kind].load(f"{path}/{kind}"), kind)
 
 
@@ -164,8 +166,9 @@ def save_model(model: TextModel, path: str) -> None:
     model.save(path)
 
 
-def load_model(spark: SparkSession, path: str, kind: str = "logistic_regression") -> TextModel:
-    return TextModel.load(spark, path, kind)
+def load_model(spark: SparkSession, path: str) -> TextModel:
+    """The stored model; its kind is part of the artifact."""
+    return TextModel.load(spark, path)
 
 
 def classifier_fits() -> dict:
@@ -192,30 +195,41 @@ def compare_classifiers(
     return train.sparkSession.createDataFrame(rows), models
 
 
+BAD_REQUEST = 'expected JSON such as {"texts": ["great product"]}'
+
+
+def request_texts(body: Column) -> Column:
+    """Texts of a JSON request, ``{"texts": [...]}`` or ``[...]``; null if it is neither, or holds
+    anything but strings."""
+    parsed = F.try_parse_json(body)
+    inner = F.when(F.schema_of_variant(parsed).startswith("OBJECT"), F.try_variant_get(parsed, "$.texts", "variant")).otherwise(parsed)
+    texts = F.try_variant_get(inner, "$", "array<string>")
+    strings = F.schema_of_variant(inner).isin("ARRAY<STRING>", "ARRAY<VOID>")
+    return F.when(strings & F.forall(texts, lambda t: t.isNotNull()), texts)
+
+
 def parse_requests(df: DataFrame, body: str = "body") -> DataFrame:
-    """Texts of JSON requests, ``{"texts": [...]}`` or ``[...]``, with their position."""
-    wrapped = F.from_json(F.col(body), "texts array<string>")["texts"]
-    bare = F.from_json(F.col(body), "array<string>")
-    form = F.when(F.ltrim(F.col(body)).startswith("["), bare).otherwise(wrapped)
-    return df.select("*", F.posexplode(form).alias("position", "text")).drop(body)
+    """Texts of JSON requests with their position; requests without texts give no row."""
+    return df.select("*", F.posexplode(request_texts(F.col(body))).alias("position", "text")).drop(body)
 
 
 def score_json(model: TextModel, df: DataFrame, key: str, body: str = "body") -> DataFrame:
-    """One JSON answer per request: predictions and positive probabilities, in text order."""
-    answers = model.score(parse_requests(df.select(key, body), body), "text", [key, "position"])
+    """One JSON answer per request: predictions and positive probabilities in text order, empty
+    lists for an empty request, an error for a body that is not a request.
+
+    Requests are numbered when they are stored, so two with one key get two answers.
+    """
+    texts = request_texts(F.col(body))
+    asked = stage(df.select(F.col(key).alias("_key"), texts.alias("_texts")).withColumn("_request", F.monotonically_increasing_id()), "requests")
+    rows = asked.select("_request", F.posexplode("_texts").alias("position", "text"))
+    answers = model.score(rows, "text", ["_request", "position"])
     ordered = F.sort_array(F.collect_list(F.struct("position", "prediction", "score_positive")))
-    return (
-        answers.groupBy(key)
-        .agg(ordered.alias("a"))
-        .select(
-            key,
-            F.to_json(
-                F.struct(
-                    F.col("a.prediction").alias("predictions"), F.col("a.score_positive").alias("positive_probabilities")
-                )
-            ).alias("answer"),
-        )
-    )
+    given = answers.groupBy("_request").agg(ordered.alias("a"))
+    none = F.array().cast("array<struct<position:int,prediction:int,score_positive:double>>")
+    found = asked.select("_key", "_request", F.col("_texts").isNull().alias("_bad")).join(given, "_request", "left").withColumn("a", F.coalesce("a", none))
+    good = F.to_json(F.struct(F.col("a.prediction").alias("predictions"), F.col("a.score_positive").alias("positive_probabilities")))
+    bad = F.to_json(F.struct(F.lit(BAD_REQUEST).alias("error")))
+    return found.select(F.col("_key").alias(key), F.when(F.col("_bad"), bad).otherwise(good).alias("answer"))
 
 
 @dataclass(frozen=True)
@@ -283,27 +297,31 @@ def aspect_outcomes(
     return found.select(F.inline(F.array(*rows)))
 
 
+# Fixed value: aspect of a sentence without one.
 NO_ASPECT = "no aspect above threshold"
+NO_TEXT = "no text"
 
 
 def score_reviews(
     model: AspectModel, df: DataFrame, key: str, text: str, valence: dict[str, float], negators: list[str]
 ) -> DataFrame:
     """Sentences of whole reviews with their aspects, confidence and polarity; a sentence
-    without an aspect keeps its best score under a row of its own."""
+    without an aspect keeps its best score under a row of its own, and a null or blank review
+    gets one row that says so."""
     sentences = review_sentences(F.col(text))
-    rows = df.select(key, F.posexplode(sentences).alias("i", "sentence")).select(
-        key, (F.col("i") + 1).alias("sentence_number"), "sentence"
+    rows = df.select(key, F.posexplode_outer(sentences).alias("i", "sentence")).select(
+        key, F.coalesce(F.col("i") + 1, F.lit(0)).alias("sentence_number"), "sentence"
     )
     found = model.probabilities(rows, "sentence", [key, "sentence_number", "sentence"])
     hits = F.filter("detected", lambda d: d["probability"] >= model.threshold)
     best = F.array_max(F.transform("detected", lambda d: d["probability"]))
     nothing = F.array(F.struct(F.lit(NO_ASPECT).alias("aspect"), best.alias("probability")))
+    blank = F.array(F.struct(F.lit(NO_TEXT).alias("aspect"), F.lit(None).cast("double").alias("probability")))
     polarity = polarity_of(F.col("sentence"), valence, negators)
     return (
-        found.withColumn("_hits", F.when(F.size(hits) > 0, hits).otherwise(nothing))
-        .withColumns({"sentiment_score": polarity})
-        .withColumn("sentiment", labels.polarity_class(F.col("sentiment_score")))
+        found.withColumn("_hits", F.when(F.col("sentence").isNull(), blank).when(F.size(hits) > 0, hits).otherwise(nothing))
+        .withColumns({"sentiment_score": F.when(F.col("sentence").isNotNull(), polarity)})
+        .withColumn("sentiment", F.when(F.col("sentence").isNotNull(), labels.polarity_class(F.col("sentiment_score"))))
         .select(key, "sentence_number", "sentence", F.inline("_hits"), "sentiment", "sentiment_score")
         .withColumn("aspect_confidence", F.round("probability", 4))
         .drop("probability")
@@ -314,4 +332,4 @@ def round_trip(model: TextModel, spark: SparkSession) -> TextModel:
     """The model as it comes back from storage."""
     path = staging_path(spark, "model")
     save_model(model, path)
-    return load_model(spark, path, model.kind)
+    return load_model(spark, path)

@@ -65,7 +65,37 @@ def test_vectors_need_no_shuffle_and_survive_unknown_text(spark, texts, capsys):
     vectors = fitted.vectors(unknown.filter("t is not null"), "t", ["k"])
     assert vectors.first()["features"].numNonzeros() == 0
     vectors.explain()
-    assert "Exchange" not in capsys.readouterr().out
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and "BatchEvalPython" not in plan
+
+
+def test_vocabulary_is_not_ranked_in_one_task(spark, texts, capsys):
+    chosen = features.vocabulary(texts, "clean_text", texts.count(), TermRules(max_features=10))
+    assert chosen.count() == 10
+    chosen.explain()
+    assert "TakeOrdered" not in capsys.readouterr().out
+    with pytest.raises(ValueError, match="max_features"):
+        features.fit_tfidf(texts, "clean_text", TermRules()).vectors(texts, "clean_text", ["record_id"])
+
+
+def test_ranks_are_those_of_one_sort(spark):
+    from palate.operators.ranks import ranked
+
+    rows = spark.range(500).select((F.col("id") * 7919 % 500).alias("x"), F.col("id"))
+    found = ranked(rows, F.desc("x"), F.col("id")).collect()
+    assert [r["x"] for r in sorted(found, key=lambda r: r["rank"])] == list(range(499, -1, -1))
+    assert sorted(r["rank"] for r in found) == list(range(1, 501))
+
+
+def test_requests_all_get_an_answer(spark, texts):
+    rules = TermRules(max_features=50)
+    fitted = features.fit_tfidf(texts, "clean_text", rules)
+    model = models.TextModel(fitted, models.logistic_regression(fitted.vectors(texts, "clean_text", ["label"])), "logistic_regression")
+    bodies = ['{"texts": ["a", "b"]}', '{"texts": []}', "[]", "not json", '{"texts": null}', '["x", null]', "[1, 2]", '{"other": ["a"]}', None, '["twice"]', '["twice"]']
+    rows = spark.createDataFrame([(min(i, 9), b) for i, b in enumerate(bodies)], "id int, body string")
+    found = sorted((r["id"], r["answer"]) for r in models.score_json(model, rows, "id").collect())
+    sizes = [len(json.loads(a).get("predictions", [])) if "error" not in json.loads(a) else None for _, a in found]
+    assert sizes == [2, 0, 0, None, None, None, None, None, None, 1, 1]
 
 
 def test_fitted_vocabulary_is_stored_whole(spark, texts, tmp_path):
@@ -73,6 +103,11 @@ def test_fitted_vocabulary_is_stored_whole(spark, texts, tmp_path):
     fitted = features.fit_tfidf(texts, "clean_text", rules)
     fitted.save(str(tmp_path / "v"))
     loaded = features.Tfidf.load(spark, str(tmp_path / "v"))
+    assert (loaded.rules, loaded.size) == (fitted.rules, fitted.size)
+    counted = features.Tfidf(TermRules(min_df=3, max_df=5, max_features=30), fitted.terms, 30)
+    counted.save(str(tmp_path / "w"))
+    again = features.Tfidf.load(spark, str(tmp_path / "w")).rules
+    assert again == counted.rules and isinstance(again.max_df, int) and isinstance(again.min_df, int)
     one = {(r["doc"], r["term"], r["weight"]) for r in fitted.weights(texts, "record_id", "clean_text").collect()}
     assert one == {(r["doc"], r["term"], r["weight"]) for r in loaded.weights(texts, "record_id", "clean_text").collect()}
 
@@ -214,6 +249,10 @@ def test_aspect_layer_and_review_scoring(spark):
     reviews = spark.createDataFrame([(1, "Great taste!\nThe box was broken. Nothing here, i like it.")], "id int, text string")
     found = models.score_reviews(run.model, reviews, "id", "text", lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS)
     by_sentence = {r["sentence_number"]: r for r in found.collect()}
+    blank = spark.createDataFrame([(2, None), (3, " \n ")], "id int, text string")
+    answers = models.score_reviews(run.model, blank, "id", "text", lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS).collect()
+    assert sorted((r["id"], r["aspect"], r["sentiment"]) for r in answers) == [(2, models.NO_TEXT, None), (3, models.NO_TEXT, None)]
+    assert run.predictions.select("sentence_id").distinct().count() > 400
     assert [by_sentence[n]["aspect"] for n in (1, 2, 3)] == ["taste", "packaging", models.NO_ASPECT]
     assert [by_sentence[n]["sentiment"] for n in (1, 2, 3)] == ["positive", "negative", "negative"]  # "nothing ... like"
 
