@@ -409,12 +409,12 @@ def aspect_trend(spark, d):
 
 @query
 def worst_trends(spark, d):
-    return rounded(insights.worst_trends(stage(_long(spark, d), "long")), "pct_negative")
+    return rounded(insights.worst_trends(_long(spark, d)), "pct_negative")
 
 
 @query
 def product_breakdown(spark, d):
-    return rounded(insights.product_breakdown(stage(_long(spark, d), "long"), ASPECTS), *ASPECTS)
+    return rounded(insights.product_breakdown(_long(spark, d), ASPECTS), *ASPECTS)
 
 
 @query

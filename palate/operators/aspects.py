@@ -23,14 +23,18 @@ def lexicon_table(spark, lexicon: Lexicon) -> DataFrame:
     return spark.createDataFrame(rows, "aspect string, ord int, term string")
 
 
-def lexicon_hits(df: DataFrame, lexicon: Lexicon, text_column: str = "sentence_text", key: str = "sentence_id") -> DataFrame:
+def lexicon_hits(df: DataFrame, lexicon: Lexicon, text_column: str = "sentence_text") -> DataFrame:
     """How often each lexicon term occurs, and in how many rows."""
-    rows = df.select(key, F.explode(text.words(F.col(text_column))).alias("term"))
-    hits = rows.join(F.broadcast(lexicon_table(df.sparkSession, lexicon)), "term")
-    per_row = hits.groupBy("aspect", "term", key).agg(F.count(F.lit(1)).alias("n"))
-    return per_row.groupBy("aspect", "term").agg(
-        F.sum("n").alias("hits"), F.count(F.lit(1)).alias("rows_hit")
-    )
+    table = lexicon_table(df.sparkSession, lexicon)
+    terms = list({t.lower() for listed in lexicon.values() for t in listed})
+
+    def marks(found: Column) -> Column:
+        return F.transform(found, lambda t, i: F.struct(t.alias("term"), F.when(F.get(found, i - 1) == t, 0).otherwise(1).alias("first")))
+
+    # known terms are found and marked inside the row; a task sends one partial row per term
+    known = F.sort_array(F.filter(text.words(F.col(text_column)), lambda t: t.isin(terms)))
+    hits = df.select(F.inline(text.let(known, marks))).groupBy("term").agg(F.count(F.lit(1)).alias("hits"), F.sum("first").alias("rows_hit"))
+    return hits.join(F.broadcast(table), "term").select("aspect", "term", "hits", "rows_hit")
 
 
 def weak_labels(df: DataFrame, lexicon: Lexicon, text_column: str = "sentence_text") -> DataFrame:

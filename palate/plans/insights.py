@@ -6,10 +6,15 @@ the review's product, votes and time.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palate.functions import labels
+from palate.operators import aspects
+from palate.sources.staging import stage
+from palate.sources.tables import write_metrics, write_report
 
 
 def _mentioned() -> Column:
@@ -59,10 +64,9 @@ def aspect_trend(long: DataFrame, time: str = "review_timestamp") -> DataFrame:
 def product_breakdown(long: DataFrame, aspects: list[str], n: int = 5) -> DataFrame:
     """Negative share per aspect for the ``n`` products with most reviews; null if not mentioned."""
     reviews = F.sum(F.when(F.col("aspect") == aspects[0], 1).otherwise(0))
-    top = long.groupBy("product_id").agg(reviews.alias("n_reviews")).orderBy(F.desc("n_reviews"), "product_id").limit(n)
     per_aspect = [F.avg(F.when(F.col("aspect") == a, _is("negative"))).alias(a) for a in aspects]
-    rows = long.join(F.broadcast(top), "product_id")  # at most n rows
-    return rows.groupBy("product_id", "n_reviews").agg(*per_aspect).orderBy(F.desc("n_reviews"), "product_id")
+    rows = long.groupBy("product_id").agg(reviews.alias("n_reviews"), *per_aspect)
+    return rows.orderBy(F.desc("n_reviews"), "product_id").limit(n)
 
 
 def headlines(ranking: DataFrame) -> DataFrame:
@@ -83,8 +87,47 @@ def headlines(ranking: DataFrame) -> DataFrame:
 
 
 def worst_trends(long: DataFrame, n: int = 4) -> DataFrame:
-    """Yearly series of the ``n`` aspects that rank worst, with at least two years of data."""
-    worst = aspect_ranking(long).limit(n).select("aspect")
-    years = F.count(F.lit(1)).over(Window.partitionBy("aspect"))
-    series = aspect_trend(long).join(F.broadcast(worst), "aspect")  # at most n rows
-    return series.withColumn("_years", years).filter(F.col("_years") > 1).drop("_years")
+    """Yearly series of the ``n`` aspects that rank worst, with at least two years of data.
+
+    One pass counts mentions and votes per aspect and year; ranking and series both follow from
+    these few rows.
+    """
+    weight = labels.help_weight(long)
+    negative = (F.col("sentiment") == "negative").cast("int")
+    counted = long.filter(_mentioned()).groupBy("aspect", F.year("review_timestamp").alias("year")).agg(
+        F.count(F.lit(1)).alias("mentions"), F.sum(negative).alias("negatives"), F.sum(weight).alias("weight"), F.sum(weight * negative).alias("negative_weight")
+    )
+    of_aspect = Window.partitionBy("aspect")
+    share = F.sum("negative_weight").over(of_aspect) / F.sum("weight").over(of_aspect)
+    ranked = counted.withColumns({"_share": share, "_years": F.count("year").over(of_aspect)})
+    ranked = ranked.withColumn("_place", F.dense_rank().over(Window.orderBy(F.desc("_share"), "aspect")))  # a row per aspect and year
+    kept = ranked.filter((F.col("_place") <= n) & F.col("year").isNotNull() & (F.col("_years") > 1))
+    return kept.select("aspect", "year", (F.col("negatives") / F.col("mentions")).alias("pct_negative")).orderBy("aspect", "year")
+
+
+@dataclass(frozen=True)
+class Insights:
+    """All reports over one scoring of the reviews."""
+
+    coverage: DataFrame
+    ranking: DataFrame
+    trend: DataFrame
+    worst: DataFrame
+    products: DataFrame
+    headlines: DataFrame
+
+
+def insights(reviews: DataFrame, lexicon: aspects.Lexicon, valence: dict[str, float], negators: list[str], text: str = "review_text_clean") -> Insights:
+    """Score reviews once, keep the narrow result, derive every report from it."""
+    columns = ["_record_id", "product_id", "helpfulness_numerator", "review_timestamp", text]
+    scored = aspects.aspect_sentiment(reviews.select(*columns), lexicon, valence, negators)
+    long = stage(scored.drop(text), "insights")
+    ranking = aspect_ranking(long)
+    return Insights(aspect_coverage(long), ranking, aspect_trend(long), worst_trends(long), product_breakdown(long, list(lexicon)), headlines(ranking))
+
+
+def write_insights(found: Insights, path: str) -> None:
+    """One CSV report per table, and the headlines as JSON."""
+    for name in ("coverage", "ranking", "trend", "worst", "products"):
+        write_report(getattr(found, name), f"{path}/{name}")
+    write_metrics(found.headlines, f"{path}/headlines")

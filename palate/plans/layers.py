@@ -45,8 +45,12 @@ SENTENCE_COLUMNS = [
 
 def to_bronze(raw: DataFrame, source_file: Column | None = None, now: Column | None = None) -> DataFrame:
     """Lossless first layer: every raw row and value, renamed, with lineage and a record id."""
-    if source_file is None:
-        source_file = F.col("_source_file") if "_source_file" in raw.columns else F.input_file_name()
+    if source_file is None and "_source_file" not in raw.columns:
+        if not raw.inputFiles():
+            raise ValueError("rows do not come from files: pass source_file, or the record ids would lack it")
+        source_file = F.input_file_name()
+    elif source_file is None:
+        source_file = F.col("_source_file")
     renamed = raw.select(
         *[F.col(name).cast("string").alias(alias) for name, alias in BRONZE_NAMES.items()],
         source_file.alias("_source_file"),

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palate.operators import aspects, metrics, models, quality, sampling
+from palate.operators import aspects, metrics, models, quality, sampling, topics
 from palate.operators.features import TermRules
 from palate.sources.staging import stage
+from palate.sources.tables import write_layer, write_metrics, write_report
 
 # Rows that models are fitted on, at most. Measures and predictions use all rows.
 TRAIN_ROWS_PER_CLASS = 75_000
@@ -18,11 +20,24 @@ FIT_SENTENCES = 200_000
 
 @dataclass(frozen=True)
 class SentimentRun:
-    """Measures of the candidates, the chosen model, and all measures as ``(part, model, measure, value)``."""
+    """Measures of the candidates, the chosen model, all measures as ``(part, model, measure, value)``,
+    and what the chosen model does on test rows: confusion, class report, worst errors."""
 
     results: DataFrame
     model: models.TextModel
     report: DataFrame
+    confusion: DataFrame
+    classes: DataFrame
+    errors: DataFrame
+
+
+def write_sentiment_run(run: SentimentRun, path: str) -> None:
+    """The artifact and every report of a run below ``path``."""
+    models.save_model(run.model, f"{path}/model")
+    for name in ("results", "report", "classes", "errors"):
+        write_report(getattr(run, name), f"{path}/{name}")
+    metadata = run.confusion.withColumns({"model": F.lit(run.model.kind), "features": F.lit(run.model.features.size), "rules": F.lit(json.dumps(asdict(run.model.features.rules)))})
+    write_metrics(metadata, f"{path}/metadata")
 
 
 def _long_rows(part: str, model: str, measures: dict) -> list[tuple]:
@@ -43,12 +58,15 @@ def train_sentiment(
     train = stage(sampling.balance_train(part("train"), cap=cap), "train")
     results, fitted = models.compare_classifiers(train, part("validation"), rules)
     best = fitted[models.select_model(results).first()["model"]]
-    outcome = best.score(part("test"), "clean_text", ["record_id", "label"])
+    outcome = stage(best.score(part("test"), "clean_text", ["record_id", "clean_text", "label"]), "outcome")
     final = metrics.evaluate(outcome, score="score_positive")
     report = [r for row in results.collect() for r in _long_rows("validation", row["model"], row.asDict())]
     report += _long_rows("test", best.kind, final)
     schema = "part string, model string, measure string, value double"
-    return SentimentRun(results, best, rows.sparkSession.createDataFrame(report, schema))
+    errors = quality.error_review(outcome, "label", "prediction", "score_positive", "record_id")
+    return SentimentRun(
+        results, best, rows.sparkSession.createDataFrame(report, schema), metrics.confusion(outcome), metrics.class_report(outcome), errors
+    )
 
 
 def train_baseline(model_input: DataFrame, rules: TermRules = models.TRAINER_RULES, c: float = 1.0) -> DataFrame:
@@ -66,12 +84,27 @@ def train_baseline(model_input: DataFrame, rules: TermRules = models.TRAINER_RUL
 
 @dataclass(frozen=True)
 class AspectRun:
-    """Fitted detector, its ``(part, measure, value)`` report, predictions and their summary."""
+    """Fitted detector, its ``(part, measure, value)`` report, predictions for every sentence, their
+    summary and sentiment mix, and the topics of the corpus with the aspects they point to."""
 
     model: models.AspectModel
     report: DataFrame
     predictions: DataFrame
     summary: DataFrame
+    mix: DataFrame
+    topics: DataFrame | None = None
+
+
+def write_aspect_run(run: AspectRun, path: str) -> None:
+    """The artifact, the predictions and every report of a run below ``path``."""
+    run.model.save(f"{path}/model")
+    write_layer(run.predictions, f"{path}/predictions")
+    for name in ("report", "summary", "mix", "topics"):
+        if getattr(run, name) is not None:
+            write_report(getattr(run, name), f"{path}/{name}")
+    about = [(list(run.model.classifiers), run.model.threshold, run.model.features.size, json.dumps(asdict(run.model.features.rules)))]
+    schema = "aspects array<string>, threshold double, features int, rules string"
+    write_metrics(run.report.sparkSession.createDataFrame(about, schema), f"{path}/metadata")
 
 
 PREDICTION_CONTEXT = [
@@ -87,12 +120,15 @@ def aspect_layer(
     negators: list[str],
     rules: TermRules = models.ASPECT_RULES,
     max_rows: int | None = FIT_SENTENCES,
+    topic_rules: TermRules | None = None,
+    kind: str = "xxhash64",
 ) -> AspectRun:
     """Seed labels, split by review, fit a detector per aspect on at most ``max_rows`` train
-    sentences, measure it on all held-out sentences and apply it to every sentence."""
+    sentences, measure it on all held-out sentences and apply it to every sentence. With
+    ``topic_rules`` topics are fitted on all sentences too. ``kind`` is the hash of the split."""
     names = list(lexicon)
     known = sentences.select(*PREDICTION_CONTEXT)
-    labelled = stage(sampling.group_split(aspects.weak_labels(known, lexicon)).drop("seed_aspects"), "labelled")
+    labelled = stage(sampling.group_split(aspects.weak_labels(known, lexicon), kind=kind).drop("seed_aspects"), "labelled")
     aspects.check_aspect_support(labelled, names)
 
     def part(name: str) -> DataFrame:
@@ -107,6 +143,8 @@ def aspect_layer(
         for r in metrics.aspect_report(outcomes).collect():  # one row per aspect
             report += [(name, f"{r['aspect']} {k}", float(r[k])) for k in ("precision", "recall", "f1", "support")]
     predictions = models.predict_aspects(model, labelled, PREDICTION_CONTEXT)
-    scored = aspects.sentence_polarity(predictions, valence, negators)
+    scored = stage(aspects.sentence_polarity(predictions, valence, negators), "predictions")
+    found = topics.map_topics(topics.fit_topics(known, "sentence_text", topic_rules), lexicon) if topic_rules else None
     schema = "part string, measure string, value double"
-    return AspectRun(model, labelled.sparkSession.createDataFrame(report, schema), scored, aspects.aspect_summary(scored))
+    table = labelled.sparkSession.createDataFrame(report, schema)
+    return AspectRun(model, table, scored, aspects.aspect_summary(scored), aspects.sentiment_mix(scored), found)
