@@ -412,6 +412,72 @@ sql("realistic_sample", "research", """
       FROM research)
     WHERE place <= least(there, CASE WHEN label = 1 THEN CAST(floor(n * 0.78) AS BIGINT) ELSE n - CAST(floor(n * 0.78) AS BIGINT) END)""")
 
+sql("research_splits", "research", """
+    SELECT * FROM (WITH sized AS (SELECT count(*) AS n, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS q FROM research),
+    drawn AS (
+      SELECT row_id, label, least(1.0, 200.0 / CASE WHEN label = 1 THEN p ELSE q END) AS share, CAST(p AS DOUBLE) / n AS positive,
+             substr(md5(concat_ws('|', '42', row_id)), 1, 8) AS h
+      FROM research, sized),
+    marked AS (SELECT *, share >= 1 OR h < printf('%08x', CAST(floor(share * 4294967296) AS BIGINT)) AS taken FROM drawn)
+    SELECT row_id, label, CASE WHEN substr(md5(concat_ws('|', '142', row_id)), 1, 8) < 'cccccccc' THEN 'train' ELSE 'balanced_test' END AS part
+    FROM marked WHERE taken
+    UNION ALL
+    SELECT row_id, label, 'natural_test' FROM (
+      SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('|', '43', row_id))) AS place FROM marked WHERE NOT taken)
+    WHERE place <= CASE WHEN label = 1 THEN round_even(100 * positive, 0) ELSE 100 - round_even(100 * positive, 0) END)""")
+sql("shuffled", "silver", "SELECT _record_id, id FROM silver")
+sql("verified_write", "silver", """
+    SELECT 'bronze' AS layer, count(*) AS rows_written FROM bronze UNION ALL SELECT 'silver', count(*) FROM silver""")
+sql("csv_inferred", "reviews", """
+    SELECT CAST(Id AS INTEGER) AS Id, ProductId, UserId, ProfileName, CAST(HelpfulnessNumerator AS INTEGER) AS HelpfulnessNumerator,
+           CAST(HelpfulnessDenominator AS INTEGER) AS HelpfulnessDenominator, Score, Time, Summary, Text FROM reviews""")
+sql("bronze_lineage", "reviews", """
+    SELECT Id AS raw_id, true AS names_a_part_file, true AS has_ingest_time, true AS id_holds_the_file_name FROM reviews""")
+sql("request_answers", "", """
+    SELECT doc_id, CAST(CASE WHEN doc_id % 10 IN (1, 2) THEN 0 WHEN doc_id % 10 IN (3, 4, 5, 6) THEN NULL
+                             ELSE len(string_split(text, chr(10))) END AS INTEGER) AS n_predictions,
+           doc_id % 10 IN (3, 4, 5, 6) AS is_error, true AS in_range FROM documents""")
+sql("sentiment_report_keys", "", """
+    SELECT 'validation' AS part, model, measure, true AS in_range
+    FROM (VALUES ('logistic_regression'), ('linear_svm'), ('naive_bayes')) m(model),
+         (VALUES ('accuracy'), ('balanced_accuracy'), ('precision'), ('recall'), ('f1'), ('roc_auc'), ('average_precision'),
+                 ('weighted_precision'), ('weighted_recall'), ('weighted_f1')) k(measure)""")
+sql("sentiment_confusion_total", "model_input", "SELECT count(*) AS test_rows FROM model_input WHERE dataset_split = 'test'")
+sql("selected_model_range", "", "SELECT true AS known, true AS f1_in_range, true AS ap_in_range")
+sql("research_model_keys", "", """
+    SELECT model, test_set, true AS in_range
+    FROM (VALUES ('logistic_regression'), ('linear_svm'), ('naive_bayes')) m(model), (VALUES ('balanced'), ('natural')) t(test_set)""")
+sql("baseline_rows", "model_input", """
+    SELECT record_id, label, true AS is_class, true AS in_range FROM model_input WHERE dataset_split = 'validation'""")
+sql("aspect_layer_support", "labelled", " UNION ALL ".join(
+    f"""SELECT development_split AS part, '{a}' AS aspect, CAST(sum(weak_{a}) AS BIGINT) AS support FROM labelled
+        WHERE development_split <> 'train' GROUP BY ALL""" for a in ASPECTS))
+sql("predicted_sentences", "", "SELECT 0 AS unknown_sentences, 0 AS unknown_aspects, 0 AS out_of_range")
+sql("scored_review_sentences", "reviews", rf"""
+    SELECT Id, CAST(generate_subscripts(kept, 1) AS INTEGER) AS sentence_number, unnest(kept) AS sentence FROM (
+      SELECT Id, list_filter(list_transform({split_sentences(r"regexp_replace(Text, '^\s+|\s+$', '', 'g')", True)},
+                                            lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS kept FROM reviews)""")
+sql("topic_shapes", "", "SELECT CAST(range AS INTEGER) AS topic, 15 AS n_terms, true AS known FROM range(12)")
+sql("ranking_with_missing_scores", "", """
+    WITH s AS (SELECT quality AS y, CASE WHEN doc_id % 7 IN (0, 1) THEN CAST('-inf' AS DOUBLE) ELSE (doc_id * 7919 % 100003) / 100003.0 END AS score FROM labels),
+    c AS (SELECT score, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg FROM s GROUP BY score),
+    r AS (SELECT *, coalesce(sum(neg) OVER w, 0) AS below, sum(pos) OVER v AS caught, sum(neg) OVER v AS wrong,
+                 sum(pos) OVER () AS p, sum(neg) OVER () AS n
+          FROM c WINDOW w AS (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                        v AS (ORDER BY score ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+    SELECT round(sum(pos * (below + neg / 2.0)) / (any_value(p) * any_value(n)), 6) AS roc_auc,
+           round(sum(pos * (caught / (caught + wrong))) / any_value(p), 6) AS average_precision FROM r""")
+sql("quota_of_repeated_keys", "sentences", """
+    SELECT score, least(count(*), CASE score WHEN 1 THEN 1500 WHEN 5 THEN 1200 ELSE 10 END) AS taken,
+           least(count(*), CASE score WHEN 1 THEN 1500 WHEN 5 THEN 1200 ELSE 10 END) AS distinct_taken
+    FROM sentences WHERE score IN (1, 3, 5) GROUP BY score""")
+sql("split_with_null_labels", "", """
+    SELECT quality, dataset_split, count(*) AS n FROM (
+      SELECT quality, CASE WHEN share <= 0.80 THEN 'train' WHEN share <= 0.90 THEN 'validation' ELSE 'test' END AS dataset_split
+      FROM (SELECT quality, CAST(row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR))) AS DOUBLE)
+                            / count(*) OVER (PARTITION BY quality) AS share
+            FROM documents LEFT JOIN labels USING (doc_id)))
+    GROUP BY ALL""")
 sql("aspect_sentences", "sentences", "SELECT * FROM sentences")
 sql("review_sentences", "reviews", rf"""
     SELECT Id, CAST(generate_subscripts(kept, 1) - 1 AS INTEGER) AS sentence_index, unnest(kept) AS sentence
@@ -471,6 +537,11 @@ sql("headlines", "ranking", " UNION ALL ".join(
     for n, v in (("biggest_pain_point", "weighted_pct_negative"), ("strongest_positive", "pct_positive"),
                  ("most_endorsed_complaint", "abs(weighted_pct_negative - pct_negative)"))))
 
+sql("insight_headlines", "ranking", " UNION ALL ".join(
+    f"""SELECT * FROM (SELECT '{n}' AS headline, aspect, round({v}, 6) AS value FROM ranking ORDER BY round({v}, 9) DESC, aspect LIMIT 1)"""
+    for n, v in (("biggest_pain_point", "weighted_pct_negative"), ("strongest_positive", "pct_positive"),
+                 ("most_endorsed_complaint", "abs(weighted_pct_negative - pct_negative)"))))
+
 sql("token_counts", "", r"""
     SELECT token, count(*) AS count FROM (SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS token FROM documents)
     WHERE length(token) >= 2 AND token NOT IN ('the', 'and', 'is') GROUP BY token""")

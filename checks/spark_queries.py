@@ -140,7 +140,13 @@ def bronze_lineage(spark, d):
     raw = fx.reviews(spark, d).select(*tables.RAW_COLUMNS)
     raw.write.options(**CSV_AS_IS).csv(path)
     rows = layers.to_bronze(tables.read_raw(spark, path))
-    return rows.select("raw_id", "_source_file", "_bronze_ingested_at", "_record_id")
+    again = keys.record_id(*[F.col(c) for c in ("_source_file", "raw_id", "product_id", "user_id", "raw_review_time")])
+    return rows.select(
+        "raw_id",
+        F.col("_source_file").rlike(r"/part-[^/]*\.csv$").alias("names_a_part_file"),
+        F.col("_bronze_ingested_at").isNotNull().alias("has_ingest_time"),
+        (F.col("_record_id") == again).alias("id_holds_the_file_name"),
+    )
 
 
 @query
@@ -286,7 +292,7 @@ def realistic_sample(spark, d):
 
 @query
 def research_splits(spark, d):
-    parts = research.research_splits(research.research_clean(fx.reviews(spark, d)), rows=400, natural_rows=100)
+    parts = research.research_splits(research.research_clean(fx.reviews(spark, d)), rows=400, natural_rows=100, kind="md5")
     named = [part.select("row_id", "label", F.lit(name).alias("part")) for name, part in parts.items()]
     return named[0].unionByName(named[1]).unionByName(named[2])
 
@@ -625,6 +631,125 @@ def score_json(spark, d):
     return models.score_json(model, _docs(spark, d).select("doc_id", body.alias("body")), "doc_id")
 
 
+#: One body of each kind by document: two good forms, two empty ones, four bad ones.
+_BODIES = [None, '{"texts": []}', "[]", "not json", '{"texts": null}', '["x", null]', "[1, 2]"]
+
+
+def _request_bodies(spark, d) -> DataFrame:
+    lines = F.split("text", "\n")
+    good = F.when(F.col("doc_id") % 2 == 0, F.to_json(F.struct(lines.alias("texts")))).otherwise(F.to_json(lines))
+    body = good
+    for i, odd in list(enumerate(_BODIES))[1:]:
+        body = F.when(F.col("doc_id") % 10 == i, F.lit(odd)).otherwise(body)
+    return _docs(spark, d).select("doc_id", body.alias("body"))
+
+
+@query
+def request_answers(spark, d):
+    """Every request gets one answer: as many predictions as texts, or an error."""
+    answers = models.score_json(_sentiment_run(spark, d).model, _request_bodies(spark, d), "doc_id")
+    shape = "predictions array<int>, positive_probabilities array<double>, error string"
+    a = F.from_json("answer", shape)
+    chances = F.forall(a["positive_probabilities"], lambda p: p.between(0, 1))
+    return answers.select(
+        "doc_id", F.size(a["predictions"]).alias("n_predictions"), a["error"].isNotNull().alias("is_error"), F.coalesce(chances, F.lit(True)).alias("in_range")
+    )
+
+
+@query
+def sentiment_report_keys(spark, d):
+    """Measures of the sentiment run, each within its range."""
+    rows = _sentiment_run(spark, d).report
+    return rows.filter(F.col("part") == "validation").select("part", "model", "measure", F.col("value").between(0, 1).alias("in_range"))
+
+
+@query
+def sentiment_confusion_total(spark, d):
+    """The chosen model predicts every test row."""
+    return _sentiment_run(spark, d).confusion.select((F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("test_rows"))
+
+
+@query
+def selected_model_range(spark, d):
+    found = models.select_model(_sentiment_run(spark, d).results)
+    return found.select(F.col("model").isin(list(models.classifier_fits())).alias("known"), F.col("f1").between(0, 1).alias("f1_in_range"), F.col("average_precision").between(0, 1).alias("ap_in_range"))
+
+
+@query
+def research_model_keys(spark, d):
+    """Models and test sets of the research comparison, measures within their ranges."""
+    measures = ["accuracy", "balanced_accuracy", "f1", "precision", "recall", "roc_auc", "average_precision"]
+    rows = compare_research_models(spark, d)
+    return rows.select("model", "test_set", F.forall(F.array(*measures), lambda v: v.between(0, 1)).alias("in_range"))
+
+
+@query
+def baseline_rows(spark, d):
+    """The stored baseline scores every validation row."""
+    return trainer_baseline(spark, d).select("record_id", "label", F.col("prediction").isin(0, 1).alias("is_class"), F.col("score_positive").between(0, 1).alias("in_range"))
+
+
+@query
+def aspect_layer_support(spark, d):
+    """Held-out sentences that hold an aspect, as the detector's report counts them."""
+    rows = _aspect_layer(spark, d).report.filter(F.col("measure").endswith(" support"))
+    return rows.select("part", F.regexp_replace("measure", " support$", "").alias("aspect"), F.col("value").cast("bigint").alias("support"))
+
+
+@query
+def predicted_sentences(spark, d):
+    """Predictions name known sentences and aspects and stay within their ranges."""
+    rows = _aspect_layer(spark, d).predictions
+    known = rows.join(fx.sentences(spark, d).select("sentence_id", F.lit(True).alias("known")), "sentence_id", "left")
+    return known.agg(
+        F.count(F.when(F.col("known").isNull(), 1)).alias("unknown_sentences"),
+        F.count(F.when(~F.col("aspect").isin(ASPECTS), 1)).alias("unknown_aspects"),
+        F.count(F.when(~F.col("aspect_probability").between(0.5, 1), 1)).alias("out_of_range"),
+    )
+
+
+@query
+def scored_review_sentences(spark, d):
+    """Every sentence of every review is in the scoring; a blank review has a row of its own."""
+    return score_reviews(spark, d).select("Id", "sentence_number", "sentence").distinct()
+
+
+@query
+def topic_shapes(spark, d):
+    """Topics, listed terms each, and whether the aspect is a known one."""
+    rows = aspect_topics(spark, d)
+    return rows.select("topic", F.size(F.split("top_terms", ", ")).alias("n_terms"), F.col("suggested_aspect").isin([*ASPECTS, topics.UNCLEAR]).alias("known"))
+
+
+@query
+def ranking_with_missing_scores(spark, d):
+    """Ranking measures where scores repeat, are null or are not a number."""
+    rows = _scores(spark, d).withColumn("score", F.when(F.col("doc_id") % 7 == 0, None).when(F.col("doc_id") % 7 == 1, float("nan")).otherwise(F.col("doc_id") * 7919 % 100_003 / 100_003))
+    return rounded(metrics.ranking_metrics(rows, "y", "score"), "roc_auc", "average_precision")
+
+
+@query
+def quota_of_repeated_keys(spark, d):
+    """More rows than a thousand where many share a key: exactly the quota of every class."""
+    rows = fx.sentences(spark, d).select("product_id", "score", "sentence_id")
+    taken = sampling.take_quota(rows, "score", {1: 1_500, 5: 1_200, 3: 10}, "product_id", kind="md5", tie="sentence_id")
+    return taken.groupBy("score").agg(F.count(F.lit(1)).alias("taken"), F.countDistinct("sentence_id").alias("distinct_taken"))
+
+
+@query
+def split_with_null_labels(spark, d):
+    """Exact shares of every class, the unlabelled rows among them."""
+    rows = _docs(spark, d).select("doc_id").join(fx.table(spark, d, "labels"), "doc_id", "left")
+    return sampling.stratified_split(rows.select("doc_id", "quality"), "quality", "doc_id", kind="md5").groupBy("quality", "dataset_split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def insight_headlines(spark, d):
+    """The whole report plan: reviews scored once, headlines from the ranking."""
+    found = insights.insights(fx.silver(spark, d), LEXICON, VALENCE, NEGATORS)
+    return rounded(found.headlines, "value")
+
+
 @query
 def aspect_topics(spark, d):
     rules = TermRules(low=1, high=2, min_df=10, max_df=0.70, max_features=6_000, stop_words=features.english_stop_words())
@@ -633,7 +758,7 @@ def aspect_topics(spark, d):
 
 @_once_per_session
 def _aspect_layer(spark, d) -> training.AspectRun:
-    return training.aspect_layer(fx.sentences(spark, d), LEXICON, VALENCE, NEGATORS, MODEL_RULES)
+    return training.aspect_layer(fx.sentences(spark, d), LEXICON, VALENCE, NEGATORS, MODEL_RULES, kind="md5")
 
 
 @query
