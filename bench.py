@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks.spark_queries import QUERIES  # noqa: E402
+from checks.spark_queries import QUERIES, forget_runs  # noqa: E402
 from palate.session import local_session  # noqa: E402
 
 HEADLINE = [
@@ -26,10 +26,12 @@ HEADLINE = [
     "aspect_ranking", "aspect_trend", "product_breakdown", "headlines",
     "token_counts", "vocabulary", "tfidf", "encode_sequences", "nb_params",
     "binary_metrics", "roc_auc", "multilabel_metrics", "error_review",
+    "train_sentiment", "aspect_layer",
 ]
 
 
 def timed(query, spark, folder: str) -> float:
+    forget_runs()  # a model query trains in every run
     started = time.perf_counter()
     query(spark, folder).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - started

@@ -589,15 +589,22 @@ def compare_research_models(spark, d):
     return models.compare_models(models.research_pipelines(), parts["train"], tests)[0]
 
 
+_runs: dict = {}
+
+
+def forget_runs() -> None:
+    """Make the next query train anew."""
+    _runs.clear()
+
+
 def _once_per_session(run):
     """Queries that look at different results of one training share it."""
-    done = {}
 
     def shared(spark, d):
-        key = spark.sparkContext.applicationId, d
-        if key not in done:
-            done[key] = run(spark, d)
-        return done[key]
+        key = run.__name__, spark.sparkContext.applicationId, d
+        if key not in _runs:
+            _runs[key] = run(spark, d)
+        return _runs[key]
 
     return shared
 
