@@ -8,18 +8,19 @@ are linked if the Jaccard similarity of their whole sets reaches the threshold.
 2. Inverted lists of the retained values generate the overlaps. A link makes two sketches share
    at least ``overlap`` values, so a class is listed only under its rarest values, all but
    ``overlap - 1`` of them: values that a third of all documents share list next to nothing.
-3. Pairs are never all emitted. Every round picks a hub in each list, anew, and pairs
-   it with the members of other components; the sketch of the union drops hopeless pairs, the
-   whole sets confirm the rest, confirmed links are merged. Dense lists collapse in a few rounds.
-4. What is left across components is compared without emission: lists are cut into blocks, two
-   blocks meet in a task, and only pairs that the union sketch admits and whose components
-   differ come out, to be confirmed on the whole sets. So no link is skipped.
+3. No pair is emitted to be tested. Every class has a home, its longest list; the classes of a home
+   are cut into blocks of about ``BLOCK``, and two blocks meet in a task of their own if a list has
+   members of both. So a dense list of m members costs (m / BLOCK)^2 tasks, not m^2 rows.
+4. In a task, matrix products count shared values: first of the sketches, which drops the pairs that
+   the union's sketch cannot admit, then of the whole sets, which decides. Out come links that
+   connect what is linked, at most one per class: a forest, not all links of a group.
+5. Components are found by alternating grouped minima over the links.
 
 A pair at the threshold is missed with a probability below ``MISS`` by the sketches; shorter
 sets are their own sketch and are never missed.
 
-Texts are read twice and never shuffled; sketches, lists and confirmed links are written to the
-shared folder. Whole sets are made only for classes in candidate pairs.
+The texts are read twice and shuffled once, those of listed classes a second time. Sketches, lists
+and links are written to the shared folder.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing;
 rows with an equal doc_id count as one document per distinct set and share a result; a null
@@ -32,11 +33,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 from palate.llm.arrays import chunks, grams, lists, mix, words_of
 from palate.llm.components import components
@@ -46,10 +45,10 @@ SHINGLE = 5
 PERCENT = 75
 K = 64
 MISS = 1e-9
-#: Hub rounds before what is left is compared block by block.
-ROUNDS = 3
-#: Members of a list that meet as one block.
-BLOCK = 128
+#: Classes of one home that meet as one block.
+BLOCK = 384
+#: Values a matrix product counts at a time: bounds a task's memory.
+PRODUCT = 8_192
 
 _SIGN = np.uint64(1 << 63)
 
@@ -98,14 +97,6 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes), pa.array(one), pa.array(two), sketch], ["doc_id", "n_shingles", "one", "two", "sketch"])
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in chunks(batch):
-            sets = shingle_sets(part.column("text"))
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists(flat, np.array([len(s) for s in sets], np.int64), pa.int64())], ["doc_id", "shingles"])
-
-
 def sketches(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, signature (one, two) and sketch of every document."""
     return documents.select("doc_id", "text").mapInArrow(_sketched, "doc_id long, n_shingles long, one long, two long, sketch array<long>")
@@ -129,103 +120,111 @@ def listed_under(classes: DataFrame) -> DataFrame:
     return listed.join(sizes, "value")
 
 
-def union_share(a: Column, b: Column) -> Column:
-    """Share of the K smallest union values that both sketches hold, at most one."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, K)
-    return F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union)
-
-
-def admitted(a: np.ndarray, b: np.ndarray) -> bool:
-    """What :func:`union_share` tells, for two sorted sketches."""
-    union = np.union1d(a, b)[:K]
-    both = np.intersect1d(a, b, assume_unique=True)
-    return len(both) > 0 and np.count_nonzero(both <= union[-1]) * K >= OVERLAP * len(union)
+def blocks_of(listed: DataFrame) -> DataFrame:
+    """doc, block: classes whose longest list is the same, in blocks of about BLOCK."""
+    home = listed.groupBy("doc").agg(F.max(F.struct("n_listed", "value")).alias("home")).select("doc", F.col("home.value").alias("home"))
+    cuts = home.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("cuts"))
+    cut = F.pmod(F.xxhash64("doc"), F.col("cuts"))
+    return home.join(cuts, "home").select("doc", F.xxhash64("home", cut).alias("block"))
+
+
+def meetings(listed: DataFrame, blocks: DataFrame) -> DataFrame:
+    """low, high: pairs of blocks that have members in one list, every block with itself included."""
+    present = stage(listed.join(blocks, "doc").select("value", "block").distinct(), "present")
+    crowded = present.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
+    several = present.join(crowded, "value")
+    across = several.withColumnRenamed("block", "low").join(several.withColumnRenamed("block", "high"), "value").filter("low < high")
+    own = present.select(F.col("block").alias("low"), F.col("block").alias("high"))
+    return across.select("low", "high").union(own).distinct()
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Values that every left array shares with every right one; each array holds a value once."""
+    sides = [(np.concatenate(side), np.repeat(np.arange(len(side)), [len(x) for x in side])) for side in (left, right)]
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    total = np.zeros((len(left), len(right)), np.float32)
+    places = []
+    for flat, row in sides:
+        at = np.minimum(np.searchsorted(common, flat), max(0, len(common) - 1))
+        known = np.flatnonzero(common[at] == flat) if len(common) else np.zeros(0, np.int64)
+        places.append((row[known], at[known]))
+    for low in range(0, len(common), PRODUCT):
+        width = min(PRODUCT, len(common) - low)
+        held = []
+        for (row, at), side in zip(places, (left, right)):
+            here = (at >= low) & (at < low + width)
+            one = np.zeros((len(side), width), np.float32)
+            one[row[here], at[here] - low] = 1
+            held.append(one)
+        total += held[0] @ held[1].T
+    return total
+
+
+def links_between(left: list[np.ndarray], right: list[np.ndarray], same: bool) -> list[tuple[int, int]]:
+    """Positions of linked sets, enough of them to connect all that are linked."""
+    n, m = (np.array([len(x) for x in side]) for side in (left, right))
+    least, most = np.minimum(n[:, None], m[None, :]), np.maximum(n[:, None], m[None, :])
+    # what the union's sketch holds of both is at most what the sketches share; sets below K
+    # values are their own sketch, so for them the number is exact
+    need = np.where(least >= K, OVERLAP, np.minimum(np.ceil(least * PERCENT / 100), K - least * (100 / PERCENT - 1)))
+    maybe = (100 * least >= PERCENT * most) & (shared_counts([x[:K] for x in left], [x[:K] for x in right]) >= need)
+    if same:
+        maybe &= np.triu(np.ones(maybe.shape, bool), 1)
+    rows, columns = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
+    if not len(rows):
+        return []
+    both = shared_counts([left[i] for i in rows], [right[j] for j in columns]).astype(np.int64)
+    union = n[rows][:, None] + m[columns][None, :] - both
+    linked = maybe[np.ix_(rows, columns)] & (100 * both >= PERCENT * union)
+    parent: dict[tuple[bool, int], tuple[bool, int]] = {}
+
+    def find(x: tuple[bool, int]) -> tuple[bool, int]:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
 
-
-@F.pandas_udf(BooleanType())
-def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
-    def one(x: np.ndarray, y: np.ndarray) -> bool:
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return 100 * both >= PERCENT * (len(x) + len(y) - both)
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
-
-
-@F.pandas_udf(BooleanType())
-def _admitted(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([admitted(x, y) for x, y in zip(a, b)], dtype=bool)
+    out = []
+    for i, j in zip(*np.nonzero(linked)):
+        a, b = int(rows[i]), int(columns[j])
+        x, y = find((False, a)), find((not same, b))
+        if x != y:
+            parent[x] = y
+            out.append((a, b))
+    return out
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = documents.select("doc_id", "text").join(needed, "doc_id", "left_semi")
-    sets = stage(texts.mapInArrow(_whole, "doc_id long, shingles array<long>"), "sets")
-    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
-    both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.filter(_linked("x", "y")).select("a", "b").distinct()
+def _met(group: pa.Table) -> pa.Table:
+    """Links (a, b) within one meeting of two blocks."""
+    group = group.combine_chunks()
+    low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+    docs = group.column("doc").to_numpy()
+    batches = group.select(["text"]).to_batches()
+    sets = [s for batch in batches for part in chunks(batch) for s in shingle_sets(part.column("text"))]
+    block = group.column("block").to_numpy()
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    pairs = links_between([sets[i] for i in left], [sets[j] for j in right], low == high)
+    a, b = (docs[side[[p[k] for p in pairs]]] if pairs else np.zeros(0, np.int64) for k, side in enumerate((left, right)))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Admitted pairs across components of two blocks of one list."""
-    for batch in batches:
-        a, b = [], []
-        for row in batch.to_pylist():
-            left, right = row["left"], row["right"]
-            same = row["i"] == row["j"]
-            xs = [(m["doc"], m["component"], m["n"], np.array(m["sketch"], np.int64)) for m in left]
-            ys = xs if same else [(m["doc"], m["component"], m["n"], np.array(m["sketch"], np.int64)) for m in right]
-            for k, (doc, component, n, sketch) in enumerate(xs):
-                for other, its, size, theirs in ys[k + 1 :] if same else ys:
-                    if component != its and 100 * min(n, size) >= PERCENT * max(n, size) and admitted(sketch, theirs):
-                        a.append(min(doc, other))
-                        b.append(max(doc, other))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-def remaining(listed: DataFrame, classes: DataFrame, of: DataFrame) -> DataFrame:
-    """Admitted pairs (a, b) that share a list but no component, found block against block."""
-    member = listed.join(of, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    open_lists = member.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    member = member.join(open_lists.select("value"), "value", "left_semi")
-    blocks = F.ceil(F.col("n_listed") / BLOCK).cast("int")
-    member = member.withColumn("blocks", blocks).withColumn("i", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    member = member.join(classes.select("doc", F.col("n_shingles").alias("n"), "sketch"), "doc")
-    block = member.groupBy("value", "blocks", "i").agg(F.collect_list(F.struct("doc", "component", "n", "sketch")).alias("left"))  # about BLOCK members
-    block = stage(block, "blocks")
-    meets = block.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1)))
-    other = block.select("value", F.col("i").alias("j"), F.col("left").alias("right"))
-    met = meets.join(other, ["value", "j"]).select("i", "j", "left", "right")
-    return met.mapInArrow(_apart, "a long, b long").distinct()
+def links(documents: DataFrame, listed: DataFrame) -> DataFrame:
+    """a, b: links between classes that connect every component."""
+    blocks = stage(blocks_of(listed), "homes")
+    pairs = stage(meetings(listed, blocks), "meetings")
+    sides = pairs.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
+    texts = documents.select(F.col("doc_id").alias("doc"), "text").join(blocks, "doc")
+    met = texts.join(sides, "block").select("low", "high", "block", "doc", "text")
+    return met.groupBy("low", "high").applyInArrow(_met, "a long, b long")
 
 
 def linked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The sketch table of all documents, and node, component of the linked classes."""
-    spark = documents.sparkSession
+    """The sketch table of all documents, and the component of every class."""
     rows = stage(sketches(documents), "sketches")
     named = rows.filter("doc_id is not null and n_shingles > 0")
     classes = stage(named.groupBy("n_shingles", "one", "two").agg(F.min("doc_id").alias("doc"), F.min("sketch").alias("sketch")), "classes")
     listed = stage(listed_under(classes), "lists")
-    links = spark.createDataFrame([], "a long, b long")
-    of = spark.createDataFrame([], "doc long, component long")
-    for k in range(ROUNDS):
-        member = listed.join(of, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        hubs = member.groupBy("value").agg(F.min_by(F.struct("doc", "component"), F.xxhash64("doc", "value", F.lit(k))).alias("hub"))
-        pairs = member.join(hubs, "value").filter(F.col("component") != F.col("hub.component"))
-        pairs = pairs.select(F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b")).distinct()
-        left = classes.select(F.col("doc").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("x"))
-        right = classes.select(F.col("doc").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("y"))
-        likely = pairs.join(left, "a").join(right, "b").filter(100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m"))
-        likely = stage(likely.filter(_admitted("x", "y")).select("a", "b"), "pairs")
-        found = stage(confirmed(likely, documents), "links")
-        if found.isEmpty():
-            break
-        links = links.union(found)
-        of = stage(components(links).select(F.col("node").alias("doc"), "component"), "components")
-    rest = stage(remaining(listed, classes, of), "pairs")
-    if not rest.isEmpty():
-        links = links.union(confirmed(rest, documents))
-        of = stage(components(links).select(F.col("node").alias("doc"), "component"), "components")
+    of = components(links(documents, listed)).select(F.col("node").alias("doc"), "component")
     # classes of equal sets: every document gets the component of its class
     small = classes.select("n_shingles", "one", "two", "doc").join(of, "doc", "left")
     return rows, small.select("n_shingles", "one", "two", F.coalesce("component", "doc").alias("component_id"))

@@ -59,9 +59,8 @@ def dense_group() -> list[tuple[int, str]]:
     return out
 
 
-@pytest.mark.parametrize(("rounds", "block"), [(3, 128), (0, 8)])
-def test_near_duplicates_against_all_pairs(spark, monkeypatch, rounds, block):
-    monkeypatch.setattr(near_duplicates, "ROUNDS", rounds)
+@pytest.mark.parametrize("block", [384, 8])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(near_duplicates, "BLOCK", block)
     rows = dense_group()
     got = near_by_id(near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
@@ -81,6 +80,14 @@ def test_near_duplicates_of_odd_documents(spark):
     assert near_duplicates.near_duplicates(nasty.nothing(spark)).count() == 0
 
 
+def test_shared_values_are_counted_in_slices(monkeypatch):
+    monkeypatch.setattr(near_duplicates, "PRODUCT", 3)
+    rnd = random.Random(4)
+    one, two = ([np.array(sorted(rnd.sample(range(40), rnd.randint(0, 20))), np.int64) for _ in range(9)] for _ in range(2))
+    expected = [[len(set(a.tolist()) & set(b.tolist())) for b in two] for a in one]
+    assert near_duplicates.shared_counts(one, two).tolist() == expected
+
+
 def test_sketch_overlap_is_a_safe_bound():
     rnd = random.Random(1)
     for k in (8, 64):
