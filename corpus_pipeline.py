@@ -36,7 +36,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier document has; spacing of the rest stays."""
     changed = repeated_passages.without_repeats(docs).select("doc_id", "sig", "kept")
-    rows = docs.select(*COLUMNS).withColumn("sig", F.xxhash64("text")).join(changed, ["doc_id", "sig"], "left")
+    rows = docs.select(*COLUMNS).withColumn("sig", repeated_passages.signature(F.col("text"))).join(changed, ["doc_id", "sig"], "left")
     text = F.coalesce("kept", "text")
     size = F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("kept").cast("long"))
     return rows.select("doc_id", text.alias("text"), "lang", "source", size.alias("n_chars"))

@@ -9,10 +9,10 @@ own text and the work grows with the corpus, not with shards times corpus:
 1. Every window is named by the smallest hash of its runs of ``RUN`` words. Equal windows have
    equal names, and a stretch of neighbouring windows has one name. Names are aggregated before
    the shuffle; one that only a single document has cannot match and goes no further.
-2. Stretches with shared names are cut out of their documents. Equal stretches become one, with
-   the smallest doc_id as owner, and go to the shard of their name. A name with more than
-   ``HOT`` different stretches is cut into single windows that are spread by their own words, so
-   no name is gathered in one task.
+2. Stretches with shared names are cut out of their documents and go to the shard of their name,
+   where equal ones become one, with the smallest doc_id as owner. Stretches of a name that is
+   found more than ``HOT`` times are cut into single windows instead, which are aggregated to their
+   owners before the shuffle and spread by their own words, so no name is gathered in one task.
 3. Each shard builds an FM-index (BWT in a wavelet matrix) over the word ids of its stretches and
    streams them through it by backward search, vectorised over windows. The interval of a full
    match gives the smallest owner of the window. Word ids are exact, so hashes decide nothing.
@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palate.llm.arrays import chunks, grams, words_of
+from palate.llm.arrays import chunks, grams, lists, words_of
 from palate.llm.fm_index import FmIndex
 from palate.sources.staging import stage
 
@@ -45,16 +45,23 @@ WINDOW = 13
 RUN = 6
 #: Windows in a stretch at most; longer ones (a repeated word) are cut with an overlap.
 STRETCH = 64
-#: Words a shard should hold, and different stretches of one name that a shard may hold.
+#: Bits of a name; equal names by chance only add stretches that are searched in vain.
+NAME_BITS = 48
+#: Words a shard should hold, and stretches of one name that a shard may hold.
 SHARD_WORDS = 250_000
 HOT = 20_000
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def signature(text: Column) -> Column:
+    """A short hash that tells rows with one id apart."""
+    return F.xxhash64(text).bitwiseAND(0x7FFFFFFF).cast("int")
+
+
 def keyed(documents: DataFrame) -> DataFrame:
-    """doc_id, sig (a hash that tells rows with one id apart) and text."""
-    return documents.select("doc_id", F.xxhash64("text").alias("sig"), "text")
+    """doc_id, sig and text."""
+    return documents.select("doc_id", signature(F.col("text")).alias("sig"), "text")
 
 
 def window_names(hashes: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +76,7 @@ def window_names(hashes: np.ndarray, first: np.ndarray, window: int) -> tuple[np
         np.minimum(least, runs[j : j + count], out=least)
     stop = np.repeat(first[1:], np.diff(first))[:count]
     start = np.flatnonzero(np.arange(count) + window <= stop)
-    return start, least[start].view(np.int64)
+    return start, (least[start] >> np.uint64(64 - NAME_BITS)).view(np.int64)
 
 
 def _stretches(window: int):
@@ -110,7 +117,9 @@ def _zipped(window: int):
     return run
 
 
-def _cut_out(window: int):
+def _cut_out(window: int, hot: bool):
+    """The stretches of names that are not hot, or single windows of those that are."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
@@ -118,71 +127,92 @@ def _cut_out(window: int):
                 out: list[tuple] = []
                 for row in batch.slice(at, 128).to_pylist():
                     words = _WORD.findall(unpack.decompress(row["packed"]).decode())
-                    for s in {(s["name"], s["first"], s["n"]) for s in row["stretches"]}:
-                        out.append((row["doc_id"], row["sig"], s[0], s[1], s[2], " ".join(words[s[1] : s[1] + s[2] + window - 1])))
-                columns = list(zip(*out)) if out else [[]] * 6
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "sig", "name", "first", "n", "words"])
+                    for name, first, n in {(s["name"], s["first"], s["n"]) for s in row["stretches"] if s["hot"] == hot}:
+                        cuts = [(first + i, 1) for i in range(n)] if hot else [(first, n)]
+                        out += [(row["doc_id"], row["sig"], name, a, " ".join(words[a : a + k + window - 1])) for a, k in cuts]
+                columns = list(zip(*out)) if out else [[]] * 5
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "sig", "name", "first", "words"])
 
     return run
 
 
+_CUT = "doc_id long, sig int, name long, first int, words string"
+
+
+def _least_owners(texts: list[str], owner: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows per distinct text, and the smallest owner of each window in turn."""
+    split = [t.split(" ") for t in texts]
+    ids: dict[str, int] = {}
+    flat = np.array([ids.setdefault(w, len(ids) + 1) for words in split for w in words], np.int64)
+    sizes = np.array([len(words) for words in split], np.int64)
+    index = FmIndex(flat, sizes)
+    windows = sizes - window + 1
+    begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    start = np.repeat(begin - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
+    found = np.zeros(len(start), np.int64)
+    for at in range(0, len(start), 1 << 16):
+        low, high = index.search(flat[start[at : at + (1 << 16), None] + np.arange(window)[None, :]])
+        found[at : at + (1 << 16)] = index.least(low, high, owner)
+    return windows, found
+
+
 def _searched(window: int):
+    """doc_id, sig, starts: first words of the windows that an earlier document of the shard has."""
+
     def run(group: pa.Table) -> pa.Table:
-        texts = group.column("words").to_pylist()
-        split = [t.split(" ") for t in texts]
-        ids: dict[str, int] = {}
-        flat = np.array([ids.setdefault(w, len(ids) + 1) for words in split for w in words], np.int64)
-        sizes = np.array([len(words) for words in split], np.int64)
-        index = FmIndex(flat, sizes)
-        windows = sizes - window + 1
-        begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        start = np.repeat(begin - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
-        owner = group.column("owner").to_numpy()
-        found = np.zeros(len(start), np.int64)
-        for at in range(0, len(start), 1 << 16):
-            low, high = index.search(flat[start[at : at + (1 << 16), None] + np.arange(window)[None, :]])
-            found[at : at + (1 << 16)] = index.least(low, high, owner)
-        offsets = pa.array(np.concatenate(([0], np.cumsum(windows))).astype(np.int32))
-        return pa.table({"name": group.column("name"), "words": group.column("words"), "owners": pa.ListArray.from_arrays(offsets, pa.array(found))})
+        group = group.combine_chunks()
+        doc, first = group.column("doc_id").to_numpy(), group.column("first").to_numpy()
+        coded = group.column("words").chunk(0).dictionary_encode() if group.num_rows else None
+        which = coded.indices.to_numpy()
+        owner = np.full(len(coded.dictionary), np.iinfo(np.int64).max)
+        np.minimum.at(owner, which, doc)
+        windows, found = _least_owners(coded.dictionary.to_pylist(), owner, window)
+        before = np.cumsum(windows) - windows
+        size = windows[which]
+        row = np.repeat(np.arange(len(which)), size)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        hit = found[before[which][row] + nth] < doc[row]
+        row, nth = row[hit], nth[hit]
+        rows, counts = np.unique(row, return_counts=True)
+        starts = lists((first[row] + nth).astype(np.int32), counts, pa.int32())
+        return pa.table({"doc_id": group.column("doc_id").take(pa.array(rows)), "sig": group.column("sig").take(pa.array(rows)), "starts": starts})
 
     return run
 
 
-def owners(stretches: DataFrame, window: int, shards: int) -> DataFrame:
-    """name, words, owners: for distinct (name, words, owner) stretches, the smallest owner of each
-    of their windows in the shard of the name."""
-    sharded = stretches.withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
-    return sharded.groupBy("shard").applyInArrow(_searched(window), "name long, words string, owners array<long>")
+def _owned(window: int):
+    """words, least: the smallest owner of distinct single windows."""
+
+    def run(group: pa.Table) -> pa.Table:
+        _, found = _least_owners(group.column("words").to_pylist(), group.column("owner").to_numpy(), window)
+        return pa.table({"words": group.column("words"), "least": pa.array(found)})
+
+    return run
 
 
 def repeated_windows(documents: DataFrame, window: int = WINDOW, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """The compressed texts of documents that may repeat something (doc_id, sig, packed), and per
     repeating document the first words of its repeated windows (doc_id, sig, starts)."""
     rows = keyed(documents).filter("doc_id is not null")
-    stretches = rows.mapInArrow(_stretches(window), "doc_id long, sig long, name long, first int, n int")
-    names = stretches.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("name")
-    of_doc = stretches.join(names, "name").groupBy("doc_id", "sig").agg(F.collect_list(F.struct("name", "first", "n")).alias("stretches"))
-    texts = rows.mapInArrow(_zipped(window), "doc_id long, sig long, packed binary").dropDuplicates(["doc_id", "sig"])
-    texts = stage(texts.join(of_doc, ["doc_id", "sig"]), "texts")
-    pieces = stage(texts.mapInArrow(_cut_out(window), "doc_id long, sig long, name long, first int, n int, words string"), "stretches")
-    distinct = stage(pieces.groupBy("name", "words").agg(F.min("doc_id").alias("owner"), F.first("n").alias("n")), "distinct")
-    words = distinct.agg(F.sum(F.col("n") + window - 1).alias("s")).first()["s"] or 0
-    shards = max(1, -(-words // SHARD_WORDS))
-    crowded = distinct.groupBy("name").agg(F.count(F.lit(1)).alias("found")).filter(F.col("found") > hot).select("name")
-    found = owners(distinct.join(crowded, "name", "left_anti"), window, shards)
-    if not crowded.isEmpty():
-        many = distinct.join(crowded, "name")
-        split = F.split("words", " ")
-        one = many.select("name", "words", "owner", F.posexplode(F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.array_join(F.slice(split, i, window), " "))).alias("i", "own"))
-        single = one.groupBy(F.xxhash64("own").alias("name"), F.col("own").alias("words")).agg(F.min("owner").alias("owner"))
-        least = owners(single, window, shards).select(F.col("words").alias("own"), F.get("owners", F.lit(0)).alias("least"))
-        back = one.join(least, "own").groupBy("name", "words").agg(F.sort_array(F.collect_list(F.struct("i", "least"))).alias("x"))  # at most STRETCH
-        found = found.union(back.select("name", "words", F.transform("x", lambda x: x["least"])))
-    own = F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), F.col("first") + i))
-    hits = pieces.join(found, ["name", "words"]).select("doc_id", "sig", F.array_compact(own).alias("starts")).filter(F.size("starts") > 0)
-    hits = hits.groupBy("doc_id", "sig").agg(F.array_sort(F.flatten(F.collect_list("starts"))).alias("starts"))
-    return texts.select("doc_id", "sig", "packed"), stage(hits, "hits")
+    stretches = rows.mapInArrow(_stretches(window), "doc_id long, sig int, name long, first int, n int")
+    names = stretches.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("found"))
+    names = names.filter("low < high").select("name", (F.col("found") > hot).alias("hot"))
+    of_doc = stretches.join(names, "name").groupBy("doc_id", "sig").agg(F.collect_list(F.struct("name", "first", "n", "hot")).alias("stretches"))
+    texts = stage(rows.mapInArrow(_zipped(window), "doc_id long, sig int, packed binary").join(of_doc, ["doc_id", "sig"]), "texts")
+    words = F.aggregate("stretches", F.lit(0).cast("long"), lambda total, s: total + s["n"] + window - 1)
+    about = texts.agg(F.sum(words).alias("words"), F.max(F.exists("stretches", lambda s: s["hot"])).alias("hot")).first()
+    shard = lambda key: F.pmod(F.xxhash64(key), F.lit(max(1, -(-(about["words"] or 0) // SHARD_WORDS))))
+    pieces = texts.mapInArrow(_cut_out(window, False), _CUT).withColumn("shard", shard("name"))
+    hits = pieces.groupBy("shard").applyInArrow(_searched(window), "doc_id long, sig int, starts array<int>")
+    if about["hot"]:
+        single = stage(texts.mapInArrow(_cut_out(window, True), _CUT).select("doc_id", "sig", "first", "words"), "windows")
+        owner = single.groupBy("words").agg(F.min("doc_id").alias("owner")).withColumn("shard", shard("words"))
+        least = owner.groupBy("shard").applyInArrow(_owned(window), "words string, least long")
+        found = single.join(least, "words").filter(F.col("least") < F.col("doc_id"))
+        hits = hits.union(found.select("doc_id", "sig", F.array("first")))
+    hits = hits.groupBy("doc_id", "sig").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts"))
+    return texts.select("doc_id", "sig", "packed"), hits
 
 
 def _without(window: int, joined: bool):
@@ -206,7 +236,7 @@ def _without(window: int, joined: bool):
                         kept = text[: spans[0][0]] + "".join(text[a:b] for (a, _), b, g in zip(spans, stops, gone) if not g)
                     out.append((row["doc_id"], row["sig"], int(gone.sum()), kept))
                 columns = list(zip(*out)) if out else [[]] * 4
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "sig", "n_removed", "kept"])
 
     return run
@@ -216,7 +246,8 @@ def without_repeats(documents: DataFrame, window: int = WINDOW, hot: int = HOT,
     """doc_id, sig, n_removed and kept text of the documents that lose words. The kept text has the
     spacing of the original, or with ``joined`` one space between words."""
     texts, hits = repeated_windows(documents, window, hot)
-    return texts.join(hits, ["doc_id", "sig"]).mapInArrow(_without(window, joined), "doc_id long, sig long, n_removed long, kept string")
+    changed = texts.join(hits, ["doc_id", "sig"]).dropDuplicates(["doc_id", "sig"])  # repeated rows
+    return changed.mapInArrow(_without(window, joined), "doc_id long, sig int, n_removed long, kept string")
 
 
 def word_list(text: Column) -> Column:
