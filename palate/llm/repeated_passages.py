@@ -199,6 +199,7 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, hot: int = HOT)
     names = stretches.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("found"))
     names = names.filter("low < high").select("name", (F.col("found") > hot).alias("hot"))
     of_doc = stretches.join(names, "name").groupBy("doc_id", "sig").agg(F.collect_list(F.struct("name", "first", "n", "hot")).alias("stretches"))
+    of_doc = stage(of_doc, "of_doc")  # what names and stretches took on disk can go before the texts come
     texts = stage(rows.mapInArrow(_zipped(window), "doc_id long, sig int, packed binary").join(of_doc, ["doc_id", "sig"]), "texts")
     words = F.aggregate("stretches", F.lit(0).cast("long"), lambda total, s: total + s["n"] + window - 1)
     about = texts.agg(F.sum(words).alias("words"), F.max(F.exists("stretches", lambda s: s["hot"])).alias("hot")).first()
