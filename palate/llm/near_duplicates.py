@@ -209,11 +209,15 @@ def _met(group: pa.Table) -> pa.Table:
 
 
 def links(documents: DataFrame, listed: DataFrame) -> DataFrame:
-    """a, b: links between classes that connect every component."""
+    """a, b: links between classes that connect every component.
+
+    The texts are joined by sort-merge at any size: the number of listed classes follows the corpus,
+    so a plan that broadcasts them on small tables says nothing about large ones.
+    """
     blocks = stage(blocks_of(listed), "homes")
     pairs = stage(meetings(listed, blocks), "meetings")
     sides = pairs.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
-    texts = documents.select(F.col("doc_id").alias("doc"), "text").join(blocks, "doc")
+    texts = documents.select(F.col("doc_id").alias("doc"), "text").join(blocks.hint("merge"), "doc")
     met = texts.join(sides, "block").select("low", "high", "block", "doc", "text")
     return met.groupBy("low", "high").applyInArrow(_met, "a long, b long")
 
