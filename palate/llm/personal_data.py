@@ -6,8 +6,13 @@ Words such as "card" or "iban" within ``CONTEXT_CHARS`` code points before or af
 its score. A proposal is reported if its validator holds and its score reaches ``MIN_SCORE``:
 the four base kinds reach it alone, the added kinds by checksum or by context.
 
-All of it is column expressions inside the row: no Python, no shuffle. Patterns are possessive
-and start only where a run of their characters starts, so a long run of them costs linear time.
+An IBAN may be followed by words or numbers that its pattern would take too, so its proposal is a
+start and a bounded stretch behind it; the span is the prefix that has its country's length, or else
+the longest (of a country not in ``IBAN_LENGTHS``: the longest that passes), that ends at a word
+edge and passes mod-97. A start inside an accepted span of the kind is none.
+
+All of it is column expressions inside the row: no Python, no shuffle. Patterns are possessive or
+bounded and start only where a run of their characters starts, so a long run costs linear time.
 
 Spans are in code points, end exclusive, and refer to the whole text. Defined cases: a null or
 empty text has no spans; equal spans of different kinds are all reported; repeated rows are
@@ -28,7 +33,8 @@ CONTEXT_BONUS = 0.3
 
 @dataclass(frozen=True)
 class Kind:
-    """``gate`` is a cheap test that every text with a match passes."""
+    """``gate`` is a cheap test that every text with a match passes. A pattern with a group proposes
+    a start (one character) and in the group what the span is a prefix of."""
 
     pattern: str
     gate: str
@@ -42,11 +48,24 @@ KINDS = {
     "ip": Kind(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]", 0.6, r"\bip\b|host|server|address|adresse"),
     "card": Kind(r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]", 0.9, "card|visa|karte|carte|tarjeta"),
     "phone": Kind(r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6, "phone|call|tel|mobil|fax"),
-    "iban": Kind(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}", 0.8, "iban|bank|konto|account|cuenta|compte"),
+    "iban": Kind(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}[A-Za-z0-9]?))[A-Z]", r"[A-Z]{2}[0-9]{2}", 0.8, "iban|bank|konto|account|cuenta|compte"),
     "short_card": Kind(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]", 0.3, "card|visa|amex|karte|carte|tarjeta"),
     "national_id": Kind(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]{3}-[0-9]{2}-", 0.3, r"ssn|social security|\btax\b|national id"),
 }
 BASE_KINDS = ["email", "ip", "card", "phone"]
+#: Kinds whose span is a prefix of what is proposed, with the fewest and most characters without separators.
+PREFIX_KINDS = {"iban": (15, 34)}
+
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    n: countries.split()
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+}
 
 
 def digits(value: Column) -> Column:
@@ -94,19 +113,40 @@ def confirmed(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def prefix_size(kind: str, value: Column) -> Column:
+    """Length of the prefix of ``value`` that ends at an edge and is confirmed; null if none is."""
+    least, most = PREFIX_KINDS[kind]
+    symbols = lambda n: F.length(F.regexp_replace(F.substr(value, F.lit(1), n), "[ -]", ""))
+    edge = lambda n: F.substr(value, n, F.lit(2)).rlike("^[A-Z0-9][ -]?$") & symbols(n).between(least, most)
+    tried = F.filter(F.sequence(F.length(value), F.lit(least), F.lit(-1)), edge)
+    if kind == "iban":
+        country = F.substring(value, 1, 2)
+        own = F.coalesce(*[F.when(country.isin(names), F.lit(n)) for n, names in IBAN_LENGTHS.items()])
+        tried = F.when(own.isNull(), tried).otherwise(F.concat(F.filter(tried, lambda n: symbols(n) == own), F.slice(tried, 1, 1)))
+    return F.get(F.filter(tried, lambda n: confirmed(kind, F.substr(value, F.lit(1), n))), F.lit(0))
+
+
 def spans_of(text: Column, kind: str) -> Column:
     """Confirmed spans of one kind as an array of (kind, start, end, score), by start."""
     rule = KINDS[kind]
-    values = F.regexp_extract_all(text, F.lit(f"({rule.pattern})"), F.lit(1))
+    prefix = kind in PREFIX_KINDS
+    values = F.regexp_extract_all(text, F.lit(rule.pattern if prefix else f"({rule.pattern})"), F.lit(1))
     gaps = F.split(text, rule.pattern, -1)
-    sized = F.zip_with(values, F.slice(gaps, 1, F.size(values)), lambda v, g: F.struct(v.alias("value"), F.length(g).alias("gap"), F.length(v).alias("n")))
-    empty = F.array().cast("array<struct<value:string,start:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
+
+    def measure(v: Column, g: Column) -> Column:
+        size = prefix_size(kind, v) if prefix else F.when(confirmed(kind, v), F.length(v))
+        return F.struct(F.length(g).alias("gap"), (F.lit(1) if prefix else F.length(v)).alias("n"), size.alias("size"))
+
+    sized = F.zip_with(values, F.slice(gaps, 1, F.size(values)), measure)
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), empty.alias("spans"))
 
     def place(state: Column, m: Column) -> Column:
         begin = state["at"] + m["gap"]
-        span = F.struct(m["value"].alias("value"), begin.alias("start"), (begin + m["n"]).alias("end"))
-        return F.struct((begin + m["n"]).alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        end = begin + m["size"]
+        found = m["size"].isNotNull() & (begin >= state["free"])
+        spans = F.when(found, F.concat(state["spans"], F.array(F.struct(begin.alias("start"), end.alias("end"))))).otherwise(state["spans"])
+        return F.struct((begin + m["n"]).alias("at"), F.when(found, end).otherwise(state["free"]).alias("free"), spans.alias("spans"))
 
     placed = F.aggregate(sized, start, place, lambda state: state["spans"])
 
@@ -117,7 +157,7 @@ def spans_of(text: Column, kind: str) -> Column:
         score = F.lit(rule.score) + F.when(near, CONTEXT_BONUS).otherwise(0.0)
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.least(F.lit(1.0), score).alias("score"))
 
-    kept = F.filter(F.transform(F.filter(placed, lambda s: confirmed(kind, s["value"])), scored), lambda s: s["score"] >= MIN_SCORE)
+    kept = F.filter(F.transform(placed, scored), lambda s: s["score"] >= MIN_SCORE)
     none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
     return F.when(text.rlike(rule.gate), kept).otherwise(none)
 

@@ -125,6 +125,28 @@ def test_checksums_and_context_decide(spark, text, expected):
     assert personal_data.with_spans(df).select(personal_data.listed(F.col("spans"))).first()[0] == expected
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("IBAN DE89370400440532013000 Bank of X", "iban:5:27"),
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "iban:5:32"),
+        ("IBAN DE89370400440532013000 2024", "iban:5:27"),
+        ("IBAN DE89370400440532013000 A new", "iban:5:27"),
+        ("DE89370400440532013000 GB82 WEST 1234 5698 7654 32 NO9386011117947", "iban:0:22,iban:23:50,iban:51:66"),
+        ("REF AB12 DE89370400440532013000 Bank", "iban:9:31"),
+        ("ZZ22370400440532013000 Bank", "iban:0:22"),
+        ("é😀 DE89370400440532013000 Bank", "iban:3:25"),
+        ("DE89370400440532013001 Bank", ""),
+        ("DE89370400440532013000Bank", ""),
+        ("AB12 " * 4_000, ""),
+    ],
+)
+def test_an_iban_ends_before_the_next_word(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "text string")
+    found = F.filter("spans", lambda s: s["kind"] == "iban")
+    assert personal_data.with_spans(df).select(personal_data.listed(found)).first()[0] == expected
+
+
 def test_masking_replaces_spans_once(spark):
     rows = [("write bob@x.org or 4111111111111111@y.com now", 1), (None, 2), ("clean", 3)]
     got = {r["_spans"]: r["text"] for r in personal_data.masked(spark.createDataFrame(rows, "text string, _spans int")).collect()}
