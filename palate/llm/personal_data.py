@@ -9,7 +9,9 @@ the four base kinds reach it alone, the added kinds by checksum or by context.
 An IBAN may be followed by words or numbers that its pattern would take too, so its proposal is a
 start and a bounded stretch behind it; the span is the prefix that has its country's length, or else
 the longest (of a country not in ``IBAN_LENGTHS``: the longest that passes), that ends at a word
-edge and passes mod-97. A start inside an accepted span of the kind is none.
+edge and passes mod-97. Likewise a short card is the longest row of whole digit groups that together
+hold 13 to 15 digits and pass Luhn, from any group of a run on, whatever numbers stand before and
+behind it. A start inside an accepted span of the kind is none.
 
 All of it is column expressions inside the row: no Python, no shuffle. Patterns are possessive or
 bounded and start only where a run of their characters starts, so a long run costs linear time.
@@ -49,12 +51,12 @@ KINDS = {
     "card": Kind(r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]", 0.9, "card|visa|karte|carte|tarjeta"),
     "phone": Kind(r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6, "phone|call|tel|mobil|fax"),
     "iban": Kind(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}[A-Za-z0-9]?))[A-Z]", r"[A-Z]{2}[0-9]{2}", 0.8, "iban|bank|konto|account|cuenta|compte"),
-    "short_card": Kind(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]", 0.3, "card|visa|amex|karte|carte|tarjeta"),
+    "short_card": Kind(r"(?<![0-9])(?=([0-9](?:[\x20-]?[0-9]){12,14}[0-9]?))[0-9]", r"[0-9][\x20-]?[0-9]", 0.3, "card|visa|amex|karte|carte|tarjeta"),
     "national_id": Kind(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]{3}-[0-9]{2}-", 0.3, r"ssn|social security|\btax\b|national id"),
 }
 BASE_KINDS = ["email", "ip", "card", "phone"]
 #: Kinds whose span is a prefix of what is proposed, with the fewest and most characters without separators.
-PREFIX_KINDS = {"iban": (15, 34)}
+PREFIX_KINDS = {"iban": (15, 34), "short_card": (13, 15)}
 
 # Characters of an IBAN by country.
 IBAN_LENGTHS = {
@@ -105,7 +107,7 @@ def confirmed(kind: str, value: Column) -> Column:
     if kind == "card":
         return F.length(digits(value)).between(16, 19) & luhn(value)
     if kind == "short_card":
-        return F.length(digits(value)).between(13, 15) & luhn(value)
+        return luhn(value)
     if kind == "phone":
         return F.length(digits(value)).between(8, 15)
     if kind == "iban":

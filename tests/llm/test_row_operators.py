@@ -147,6 +147,25 @@ def test_an_iban_ends_before_the_next_word(spark, text, expected):
     assert personal_data.with_spans(df).select(personal_data.listed(found)).first()[0] == expected
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("amex card 378282246310005 12/25", "short_card:10:25"),
+        ("amex card 3782-822463-10005 2025", "short_card:10:27"),
+        ("amex card 12/25 378282246310005 1", "short_card:16:31"),
+        ("cards 378282246310005 371449635398431", "short_card:6:21,short_card:22:37"),
+        ("card 3782822463100059", ""),
+        ("card 378282246310006 12/25", ""),
+        ("part 378282246310005 12/25", ""),
+        ("card 4111 1111 1111 1111", "card:5:24"),
+        ("card " + "1" * 20_000, ""),
+    ],
+)
+def test_a_short_card_stands_among_numbers(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "text string")
+    assert personal_data.with_spans(df).select(personal_data.listed(F.col("spans"))).first()[0] == expected
+
+
 def test_masking_replaces_spans_once(spark):
     rows = [("write bob@x.org or 4111111111111111@y.com now", 1), (None, 2), ("clean", 3)]
     got = {r["_spans"]: r["text"] for r in personal_data.masked(spark.createDataFrame(rows, "text string, _spans int")).collect()}
