@@ -12,8 +12,10 @@ a query meets each block of its parts in a task of its own, and only its best ro
 
 Defined cases: vectors that are null, zero or of another length than most, or that hold a null or a
 non-finite number, take no part, neither as query nor as row; equal scores are ranked by the
-smaller id; a repeated id is a row of its own, but never a neighbour of its own id; fewer rows
-than asked for: all of them; an empty table gives no rows; other columns are ignored.
+smaller id; a repeated id is a row of its own, but never a neighbour of its own id; query rows of
+equal id and vector are one query with one answer, and each other vector of that id is a query
+with ranks of its own; fewer rows than asked for: all of them; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -192,7 +194,7 @@ def _best(wanted: int):
         for batch in batches:
             out: list[tuple] = []
             for at in range(batch.num_rows):
-                ids, asked = (np.array(batch.column(c)[at].values) for c in ("ids", "asked"))
+                ids, asked, numbers = (np.array(batch.column(c)[at].values) for c in ("ids", "asked", "numbers"))
                 x = np.array(batch.column("vectors")[at].values).reshape(len(ids), -1)
                 q = np.array(batch.column("queries")[at].values).reshape(len(asked), -1)
                 order = np.argsort(ids, kind="stable")
@@ -208,16 +210,16 @@ def _best(wanted: int):
                     a, b = one / np.abs(one).max(), x[near] / big[near, None]
                     score = (a * b).sum(1) / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum(1)))
                     for j in np.lexsort((ids[near], -score))[:wanted]:
-                        out.append((int(asked[i]), int(ids[near[j]]), float(score[j])))
-            columns = list(zip(*out)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.float64()])], ["query_id", "vec_id", "score"])
+                        out.append((int(numbers[i]), int(asked[i]), int(ids[near[j]]), float(score[j])))
+            columns = list(zip(*out)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.int64(), pa.float64()])], ["number", "query_id", "vec_id", "score"])
 
     return run
 
 
 def nearest(vectors: DataFrame, is_query: Column, wanted: int = 5, id_column: str = "vec_id", vector_column: str = "embedding", probes: int | None = None) -> DataFrame:
-    """query_id, rank, vec_id, score of the ``wanted`` nearest rows found for every row that
-    satisfies ``is_query`` (over the column ``id``). ``probes`` overrides the measured number."""
+    """query_id, rank, vec_id, score of the ``wanted`` nearest rows found for every distinct id and
+    vector that satisfies ``is_query`` (over the column ``id``). ``probes`` overrides the measured number."""
     rows = usable(vectors, id_column, vector_column)
     total = rows.count()
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
@@ -229,16 +231,16 @@ def nearest(vectors: DataFrame, is_query: Column, wanted: int = 5, id_column: st
     homes = stage(rows.mapInArrow(_routed(router, 1), schema).select("id", "v", F.get("parts", F.lit(0)).alias("part")), "homes")
     sizes = homes.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))  # a row per part
     held = homes.join(F.broadcast(sizes), "part").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    gathered = lambda: F.sort_array(F.collect_list(F.struct("id", "v")))
-    blocks = held.groupBy("part", "block").agg(gathered().alias("x"))  # about BLOCK rows
+    gathered = lambda *columns: F.sort_array(F.collect_list(F.struct(*columns)))
+    blocks = held.groupBy("part", "block").agg(gathered("id", "v").alias("x"))  # about BLOCK rows
     blocks = blocks.select("part", "block", F.transform("x", lambda r: r["id"]).alias("ids"), F.flatten(F.transform("x", lambda r: r["v"])).alias("vectors"))
-    asked = rows.filter(is_query).mapInArrow(_routed(router, probes or router.probes), schema).select("id", "v", F.explode("parts").alias("part"))
-    asked = stage(asked, "asked")
+    queries = rows.filter(is_query).distinct().mapInArrow(_routed(router, probes or router.probes), schema).withColumn("number", F.monotonically_increasing_id())
+    asked = stage(queries.select("id", "number", "v", F.explode("parts").alias("part")), "asked")
     loads = asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("loads"))  # a row per part
-    asked = asked.join(F.broadcast(loads), "part").withColumn("load", F.pmod(F.xxhash64("id", F.lit("q")), F.col("loads")).cast("int"))
-    asked = asked.groupBy("part", "load").agg(gathered().alias("x")).join(F.broadcast(sizes), "part")
-    asked = asked.select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.transform("x", lambda r: r["id"]).alias("asked"), F.flatten(F.transform("x", lambda r: r["v"])).alias("queries"))
-    met = blocks.join(asked, ["part", "block"]).select("ids", "vectors", "asked", "queries")
-    found = met.mapInArrow(_best(wanted), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    asked = asked.join(F.broadcast(loads), "part").withColumn("load", F.pmod(F.xxhash64("number", F.lit("q")), F.col("loads")).cast("int"))
+    asked = asked.groupBy("part", "load").agg(gathered("id", "number", "v").alias("x")).join(F.broadcast(sizes), "part")
+    asked = asked.select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.transform("x", lambda r: r["id"]).alias("asked"), F.transform("x", lambda r: r["number"]).alias("numbers"), F.flatten(F.transform("x", lambda r: r["v"])).alias("queries"))
+    met = blocks.join(asked, ["part", "block"]).select("ids", "vectors", "asked", "numbers", "queries")
+    found = met.mapInArrow(_best(wanted), "number long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= wanted).select("query_id", "rank", "vec_id", "score")

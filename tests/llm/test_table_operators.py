@@ -214,6 +214,23 @@ def test_search_over_odd_vectors(spark):
     assert learned_partitions.nearest(df.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 6])
+def test_a_repeated_query_row_gets_all_its_neighbours(spark, monkeypatch, copies):
+    monkeypatch.setattr(learned_partitions, "BLOCK", 4)
+    monkeypatch.setattr(learned_partitions, "QUERY_BLOCK", 1)
+    angle = lambda id, degrees: (id, [float(np.cos(np.radians(degrees))), float(np.sin(np.radians(degrees)))])
+    others = [angle(i, 10 * i) for i in range(1, 9)]
+    rows = [angle(0, 0)] * copies + [angle(50, 84), angle(50, 1), angle(50, 1)] + others
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = collections.defaultdict(list)
+    for r in learned_partitions.nearest(df, F.col("id") % 50 == 0).orderBy("query_id", "rank", "vec_id").collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"]))
+    # a repeated row is found as often as it stands; a query is answered once for each of its vectors
+    assert got[0] == [(1, 50), (2, 50), (3, 1), (4, 2), (5, 3)]
+    near_1 = [0] * min(copies, 5) + [1, 2, 3]
+    assert got[50] == sorted([*enumerate(near_1[:5], 1), *enumerate([8, 7, 6, 5, 4], 1)])
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     labels = [(i, int(i % 4 > 0)) for i in range(0, 40)]
     nasty.documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
