@@ -25,10 +25,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id. A repeated
-    row is a copy like any other; rows without a doc_id stay."""
-    kept = near_duplicates.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").withColumn("_text", F.xxhash64("text"))
-    same_id = Window.partitionBy("doc_id", "_text").orderBy("n_chars")  # same placing as the join's first key
+    row is a copy like any other, and texts of one doc_id are judged each for itself; rows without a
+    doc_id stay."""
+    kept = near_duplicates.verdicts(docs).filter("kept and doc_id is not null").select("doc_id", "version").distinct()
+    one = near_duplicates.versioned(docs.select(*COLUMNS)).join(kept, ["doc_id", "version"], "left_semi")
+    same_id = Window.partitionBy("doc_id", "version").orderBy("n_chars")  # same placing as the join
     one = one.withColumn("_copy", F.row_number().over(same_id)).filter("_copy = 1")
     return one.select(*COLUMNS).union(docs.filter("doc_id is null").select(*COLUMNS))
 

@@ -4,7 +4,8 @@ A document's set holds the hashes of its distinct shingles (runs of five words,
 a shorter text is one shingle). Its sketch is the K smallest values of the set. Two documents
 are linked if the Jaccard similarity of their whole sets reaches the threshold.
 
-1. Documents with equal sets form a class; only the class (its smallest doc_id) goes on.
+1. Documents with equal sets form a class; only the class goes on, with the text of its smallest
+   doc_id. Classes have numbers of their own, as texts of one doc_id may be in several.
 2. Inverted lists of the retained values generate the overlaps. A link makes two sketches share
    at least ``overlap`` values, so a class is listed only under its rarest values, all but
    ``overlap - 1`` of them: values that a third of all documents share list next to nothing.
@@ -23,8 +24,9 @@ The texts are read twice and shuffled once, those of listed classes a second tim
 and links are written to the shared folder.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing;
-rows with an equal doc_id count as one document per distinct set and share a result; a null
-doc_id is left out of the classes and stands alone; other columns are ignored.
+rows with an equal doc_id count as one document per distinct text, each with a result of its own
+(of one doc_id's texts in a component, the one with the smallest hash comes first); a null doc_id
+is left out of the classes and stands alone; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -94,12 +96,17 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = [s[:K] for s in sets]
             flat = np.concatenate(kept) if kept else np.zeros(0, np.int64)
             sketch = lists(flat, np.array([len(s) for s in kept], np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes), pa.array(one), pa.array(two), sketch], ["doc_id", "n_shingles", "one", "two", "sketch"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("version"), pa.array(sizes), pa.array(one), pa.array(two), sketch], ["doc_id", "version", "n_shingles", "one", "two", "sketch"])
+
+
+def versioned(documents: DataFrame) -> DataFrame:
+    """``documents`` with the hash of the text, which tells the texts of one doc_id apart."""
+    return documents.withColumn("version", F.xxhash64("text"))
 
 
 def sketches(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, signature (one, two) and sketch of every document."""
-    return documents.select("doc_id", "text").mapInArrow(_sketched, "doc_id long, n_shingles long, one long, two long, sketch array<long>")
+    """doc_id, version, n_shingles, signature (one, two) and sketch of every document."""
+    return versioned(documents.select("doc_id", "text")).mapInArrow(_sketched, "doc_id long, version long, n_shingles long, one long, two long, sketch array<long>")
 
 
 def listed_under(classes: DataFrame) -> DataFrame:
@@ -208,7 +215,7 @@ def _met(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def links(documents: DataFrame, listed: DataFrame) -> DataFrame:
+def links(documents: DataFrame, listed: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b: links between classes that connect every component.
 
     The texts are joined by sort-merge at any size: the number of listed classes follows the corpus,
@@ -217,26 +224,38 @@ def links(documents: DataFrame, listed: DataFrame) -> DataFrame:
     blocks = stage(blocks_of(listed), "homes")
     pairs = stage(meetings(listed, blocks), "meetings")
     sides = pairs.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
-    texts = documents.select(F.col("doc_id").alias("doc"), "text").join(blocks.hint("merge"), "doc")
+    firsts = blocks.join(classes.select("doc", "first.doc_id", "first.version"), "doc")
+    texts = versioned(documents.select("doc_id", "text")).join(firsts.hint("merge"), ["doc_id", "version"])
     met = texts.join(sides, "block").select("low", "high", "block", "doc", "text")
     return met.groupBy("low", "high").applyInArrow(_met, "a long, b long")
 
 
 def linked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The sketch table of all documents, and the component of every class."""
+    """The sketch table of all documents, and the first doc_id and version of every class's component."""
     rows = stage(sketches(documents), "sketches")
     named = rows.filter("doc_id is not null and n_shingles > 0")
-    classes = stage(named.groupBy("n_shingles", "one", "two").agg(F.min("doc_id").alias("doc"), F.min("sketch").alias("sketch")), "classes")
+    classes = named.groupBy("n_shingles", "one", "two").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.min("sketch").alias("sketch"))
+    classes = stage(classes.withColumn("doc", F.monotonically_increasing_id()), "classes")
     listed = stage(listed_under(classes), "lists")
-    of = components(links(documents, listed)).select(F.col("node").alias("doc"), "component")
+    of = components(links(documents, listed, classes)).select(F.col("node").alias("doc"), "component")
+    small = classes.select("n_shingles", "one", "two", "doc", "first")
+    of = stage(small.join(of, "doc").select("doc", "component", "first"), "linked")
+    of = of.select("doc", "component").join(of.groupBy("component").agg(F.min("first").alias("kept")), "component")
     # classes of equal sets: every document gets the component of its class
-    small = classes.select("n_shingles", "one", "two", "doc").join(of, "doc", "left")
-    return rows, small.select("n_shingles", "one", "two", F.coalesce("component", "doc").alias("component_id"))
+    small = small.join(of.select("doc", "kept"), "doc", "left")
+    return rows, small.select("n_shingles", "one", "two", F.coalesce("kept", "first").alias("first"))
+
+
+def verdicts(documents: DataFrame) -> DataFrame:
+    """doc_id, version, n_shingles, component_id and kept of every document."""
+    rows, of = linked(documents)
+    every = rows.select("doc_id", "version", "n_shingles", "one", "two").join(of, ["n_shingles", "one", "two"], "left")
+    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    kept = alone | ((F.col("doc_id") == component) & (F.col("version") == F.col("first.version")))
+    return every.select("doc_id", "version", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (one document of each component) of every document."""
-    rows, of = linked(documents)
-    every = rows.select("doc_id", "n_shingles", "one", "two").join(of, ["n_shingles", "one", "two"], "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return every.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return verdicts(documents).drop("version")

@@ -257,6 +257,19 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert {"doc_id", "bucket", "batch", "slot"} <= set(packed.columns) and packed.count() > 0
 
 
+def test_texts_of_one_id_are_judged_each_for_itself(spark, tmp_path):
+    rnd = random.Random(4)
+    prose = lambda: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(80))
+    copied, near, own, other = prose(), prose(), prose(), prose()
+    changed = near + " tail"
+    twice = prose()
+    texts = [(3, copied), (5, own), (5, copied), (5, own), (6, near), (7, changed), (7, other), (8, other + " tail"), (9, twice), (9, twice + " tail"), (9, twice.upper())]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect())
+    assert got[:-1] == [(3, copied), (5, own), (6, near), (7, other)]
+    assert got[-1] in texts[-3:]
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     nasty.nothing(spark).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
