@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from palate.llm import (
     bpe_prefix,
     divergence_rules,
+    fair_mix,
     learned_partitions,
+    merkle,
     near_duplicates,
     packing,
     personal_data,
@@ -19,10 +21,11 @@ from palate.llm import (
     repeated_passages,
     sharding,
     token_counts,
+    whitening,
 )
+from palate.llm.oracle import ORACLE as ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -129,3 +132,22 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors found for every fiftieth vector."""
     return learned_partitions.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op11_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources at weights 1, 2, 3 takes of every document."""
+    return fair_mix.taken(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spectral_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 16 greatest components, whitened."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document, and whether it still holds where line breaks were deleted."""
+    cut = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), cut)
