@@ -1,14 +1,14 @@
 """Vocabularies, TF-IDF weights and id sequences as tables.
 
-For the weights a document is placed by its key once, before its terms are exploded:
-counting its terms and normalising its weights then need no further shuffle, and what is
-shuffled is the text and not the many times larger list of terms.
+A bounded vocabulary is looked up inside the row, batch by batch: weights and vectors need no
+shuffle. With an unbounded one a document is placed by its key once, before its terms are exploded,
+so that what is shuffled is the text and not the many times larger list of terms.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
 from functools import cached_property
 
@@ -136,19 +136,6 @@ class Tfidf:
     terms: DataFrame
     size: int | None
 
-    def _lookup(self) -> DataFrame:
-        bounded = self.size is not None and self.size <= MAX_BROADCAST_TERMS
-        return F.broadcast(self.terms) if bounded else self.terms
-
-    def weights(self, docs: DataFrame, doc: str, text: str) -> DataFrame:
-        """``(doc, term, weight)``, each document's weights of length 1."""
-        tf = F.col("tf").cast("double")
-        known = term_counts(docs, doc, text, self.rules).join(self._lookup(), "term")
-        raw = known.withColumn("_w", (F.log(tf) + 1.0 if self.rules.sublinear else tf) * F.col("idf"))
-        norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("doc")))
-        ids = ["id"] if "id" in self.terms.columns else []
-        return raw.select("doc", "term", *ids, (F.col("_w") / norm).alias("weight"))
-
     @cached_property
     def _known(self) -> tuple:
         """Terms and IDF by id, broadcast once per fitted vocabulary and checked in bytes."""
@@ -157,16 +144,17 @@ class Tfidf:
         found = known_terms(self.terms, "idf")
         return self.terms.sparkSession.sparkContext.broadcast(found)
 
-    def vectors(self, docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-        """``keep`` columns and a sparse ``features`` vector per document, of length 1, or
-        the zero vector for a document without known terms.
+    def mapped(self, docs: DataFrame, text: str, keep: list[str], fields: list[T.StructField], make: Callable) -> DataFrame:
+        """``keep`` columns, and as ``fields`` the arrays that ``make(starts, index, weight)`` returns
+        for the sparse rows of a piece of a batch (``starts`` has one entry more than rows).
 
-        The same numbers as ``weights``, made batch by batch: terms are looked up in the broadcast
-        vocabulary and counted per row over whole Arrow batches. No shuffle.
+        Terms are looked up in the broadcast vocabulary and counted per row over whole Arrow batches.
+        No shuffle.
         """
-        known, sublinear, size = self._known, self.rules.sublinear, self.size
+        known, sublinear = self._known, self.rules.sublinear
         chosen = docs.select(*keep, self.rules.terms(F.col(text)).alias("_terms"))
-        schema = T.StructType([*[f for f in chosen.schema if f.name in keep], T.StructField("features", VectorUDT())])
+        schema = T.StructType([*[f for f in chosen.schema if f.name in keep], *fields])
+        names = [f.name for f in fields]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             terms, idf = known.value
@@ -174,16 +162,50 @@ class Tfidf:
                 for at in range(0, batch.num_rows, LOOKUP_ROWS):
                     part = batch.slice(at, LOOKUP_ROWS)
                     row, index, weight = _row_weights(part.column("_terms"), terms, idf, sublinear)
-                    n = len(part)
-                    offsets = pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32))
-                    vectors = pa.StructArray.from_arrays(
-                        [pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), pa.ListArray.from_arrays(offsets, pa.array(index.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(weight))],
-                        ["type", "size", "indices", "values"],
-                    )
-                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], vectors], [*keep, "features"])
+                    starts = np.searchsorted(row, np.arange(len(part) + 1)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *make(starts, index, weight)], [*keep, *names])
 
         return chosen.mapInArrow(run, schema)
 
+    def vectors(self, docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+        """``keep`` columns and a sparse ``features`` vector per document, of length 1, or
+        the zero vector for a document without known terms."""
+        size = self.size
+
+        def sparse(starts: np.ndarray, index: np.ndarray, weight: np.ndarray) -> list[pa.Array]:
+            n, offsets = len(starts) - 1, pa.array(starts)
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(index.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(weight))]
+            return [pa.StructArray.from_arrays([pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), *lists], ["type", "size", "indices", "values"])]
+
+        return self.mapped(docs, text, keep, [T.StructField("features", VectorUDT())], sparse)
+
+    def weights(self, docs: DataFrame, doc: str, text: str) -> DataFrame:
+        """``(doc, term[, id], weight)``, each document's weights of length 1.
+
+        The numbers of ``vectors``, one row per term, and no shuffle: the terms' places are turned
+        into terms inside the batch. A vocabulary without a bound is joined instead.
+        """
+        if self.size is None:
+            return self._joined_weights(docs, doc, text)
+        known = self._known
+        parts = {"id": T.IntegerType(), "term": T.StringType(), "weight": T.DoubleType()}
+        found = T.ArrayType(T.StructType([T.StructField(n, t) for n, t in parts.items()]))
+
+        def listed(starts: np.ndarray, index: np.ndarray, weight: np.ndarray) -> list[pa.Array]:
+            place = pa.array(index.astype(np.int32))
+            entries = pa.StructArray.from_arrays([place, known.value[0].take(place), pa.array(weight)], list(parts))
+            return [pa.ListArray.from_arrays(pa.array(starts), entries)]
+
+        rows = self.mapped(docs.select(F.col(doc).alias("doc"), F.col(text).alias("_text")), "_text", ["doc"], [T.StructField("_found", found)], listed)
+        return rows.select("doc", F.inline("_found")).select("doc", "term", "id", "weight")
+
+    def _joined_weights(self, docs: DataFrame, doc: str, text: str) -> DataFrame:
+        tf = F.col("tf").cast("double")
+        known = term_counts(docs, doc, text, self.rules).join(self.terms, "term")
+        raw = known.withColumn("_w", (F.log(tf) + 1.0 if self.rules.sublinear else tf) * F.col("idf"))
+        norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("doc")))
+        return raw.select("doc", "term", (F.col("_w") / norm).alias("weight"))
+
     def save(self, path: str) -> None:
         self.terms.write.mode("overwrite").parquet(f"{path}/terms")
         stored = json.dumps({"rules": asdict(self.rules), "size": self.size})

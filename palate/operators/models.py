@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
@@ -13,15 +16,18 @@ from pyspark.ml.classification import (
     NaiveBayes,
     NaiveBayesModel,
 )
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palate.functions import labels
 from palate.functions.polarity import polarity as polarity_of
 from palate.functions.text import review_sentences
-from palate.operators import metrics
+from palate.operators import linear, metrics
 from palate.operators.features import TermRules, Tfidf, class_weights, fit_tfidf
 from palate.sources.staging import stage, staging_path
 
@@ -30,6 +36,9 @@ HASH_BUCKETS = 1 << 16
 RESEARCH_ITERATIONS, RESEARCH_PENALTY = 50, 0.01
 TOLERANCE = 1e-4
 
+#: Largest entry of the gradient at which the joint solver stops.
+LINEAR_TOLERANCE = 1e-5
+
 #: Steps of the quasi-Newton solvers; each is one pass over the stored feature rows.
 MAX_STEPS = 100
 
@@ -127,11 +136,15 @@ def logistic_regression(rows: DataFrame, c: float = 1.0, balanced: bool = False,
     return bare(estimator.fit(rows), rows.sparkSession)
 
 
-def linear_svm(rows: DataFrame, c: float = 1.0, label: str = "label"):
-    estimator = LinearSVC(
-        labelCol=label, regParam=1.0 / (c * rows.count()), standardization=False, maxIter=MAX_STEPS, tol=TOLERANCE
-    )
-    return bare(estimator.fit(rows), rows.sparkSession)
+def linear_svm(rows: DataFrame, c: float = 1.0, label: str = "label", tolerance: float = TOLERANCE) -> LinearSVCModel:
+    """Support vector machine with the squared hinge loss, intercept penalised like a weight. Spark's
+    own estimator has the plain hinge; its model class takes the fitted plane."""
+    width = F.max(F.coalesce(F.col("features.size"), F.size("features.values")))
+    size = rows.select(F.unwrap_udt("features").alias("features")).agg(width).first()[0] or 0
+    fitted = linear.fit_linear(linear.blocks_of(rows, [label], size), linear.SQUARED_HINGE, c, penalise_intercept=True, tolerance=tolerance, steps=MAX_STEPS)
+    jvm = rows.sparkSession._jvm
+    plane = _py2java(rows.sparkSession.sparkContext, Vectors.dense(fitted.weights[:, 0]))
+    return LinearSVCModel(jvm.org.apache.spark.ml.classification.LinearSVCModel(f"linear_svm_{uuid.uuid4().hex[:12]}", plane, float(fitted.intercepts[0])))
 
 
 def naive_bayes(rows: DataFrame, smoothing: float = 1.0, label: str = "label"):
@@ -234,42 +247,52 @@ def score_json(model: TextModel, df: DataFrame, key: str, body: str = "body") ->
 
 @dataclass(frozen=True)
 class AspectModel:
-    """One classifier per aspect over shared features."""
+    """A logistic classifier per aspect over shared features, all as one matrix."""
 
     features: Tfidf
-    classifiers: dict[str, object] = field(default_factory=dict)
+    aspects: tuple[str, ...]
+    weights: np.ndarray
+    intercepts: np.ndarray
     threshold: float = 0.50
+    passes: int = 0
 
     def probabilities(self, df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-        """``keep`` columns and ``detected``: ``(aspect, probability)`` for all aspects. Narrow."""
-        rows = self.features.vectors(df, text, keep)
-        for aspect, model in self.classifiers.items():
-            done = model.transform(rows)
-            rows = done.withColumn(f"_p_{aspect}", vector_to_array("probability")[1]).drop(
-                "rawPrediction", "probability", "prediction"
-            )
-        pairs = [F.struct(F.lit(a).alias("aspect"), F.col(f"_p_{a}").alias("probability")) for a in self.classifiers]
-        return rows.select(*keep, F.array(*pairs).alias("detected"))
+        """``keep`` columns and ``detected``: ``(aspect, probability)`` for all aspects. Narrow: terms,
+        features and all classifiers in one pass over Arrow batches."""
+        names, k = self.aspects, len(self.aspects)
+        shared = df.sparkSession.sparkContext.broadcast((self.weights, self.intercepts))
+        pair = T.StructType([T.StructField("aspect", T.StringType(), False), T.StructField("probability", T.DoubleType())])
+
+        def detect(starts: np.ndarray, index: np.ndarray, weight: np.ndarray) -> list[pa.Array]:
+            found = linear.probabilities(starts, index, weight, *shared.value)
+            pairs = pa.StructArray.from_arrays([pa.array(list(names) * len(found), pa.string()), pa.array(found.ravel())], ["aspect", "probability"])
+            return [pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * k), pairs)]
+
+        return self.features.mapped(df, text, keep, [T.StructField("detected", T.ArrayType(pair))], detect)
 
     def save(self, path: str) -> None:
+        """Features, weights, aspects and threshold: the stored model needs nothing else to be loaded."""
         self.features.save(f"{path}/features")
-        for aspect, model in self.classifiers.items():
-            model.write().overwrite().save(f"{path}/aspects/{aspect}")
+        rows = [(i, a, float(self.threshold), float(b), w.tolist()) for i, (a, b, w) in enumerate(zip(self.aspects, self.intercepts, self.weights.T))]
+        schema = "position int, aspect string, threshold double, intercept double, weights array<double>"
+        self.features.terms.sparkSession.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{path}/aspects")
 
     @staticmethod
-    def load(spark: SparkSession, path: str, aspects: list[str], threshold: float = 0.50) -> AspectModel:
-        models = {a: LogisticRegressionModel.load(f"{path}/aspects/{a}") for a in aspects}
-        return AspectModel(Tfidf.load(spark, f"{path}/features"), models, threshold)
+    def load(spark: SparkSession, path: str) -> AspectModel:
+        rows = spark.read.parquet(f"{path}/aspects").orderBy("position").collect()  # a row per aspect
+        weights = np.array([r["weights"] for r in rows]).T
+        return AspectModel(Tfidf.load(spark, f"{path}/features"), tuple(r["aspect"] for r in rows), weights, np.array([r["intercept"] for r in rows]), rows[0]["threshold"])
 
 
 def fit_aspects(
-    labelled: DataFrame, aspects: list[str], text: str = "sentence_text", rules: TermRules = ASPECT_RULES
+    labelled: DataFrame, aspects: list[str], text: str = "sentence_text", rules: TermRules = ASPECT_RULES, c: float = 1.0, tolerance: float = LINEAR_TOLERANCE
 ) -> AspectModel:
-    """One balanced logistic regression per aspect, all on the same stored features."""
+    """One balanced logistic regression per aspect, all in the same passes over the stored features."""
     features = fit_tfidf(labelled, text, rules)
-    rows = stage(features.vectors(labelled, text, [f"weak_{a}" for a in aspects]), "aspect_vectors")
-    models = {a: logistic_regression(rows, c=1.0, balanced=True, label=f"weak_{a}") for a in aspects}
-    return AspectModel(features, models)
+    flags = [f"weak_{a}" for a in aspects]
+    blocks = linear.blocks_of(features.vectors(labelled, text, flags), flags, features.size)
+    fitted = linear.fit_linear(blocks, linear.LOGISTIC, c, balanced=True, tolerance=tolerance, steps=MAX_STEPS)
+    return AspectModel(features, tuple(aspects), fitted.weights, fitted.intercepts, passes=fitted.passes)
 
 
 def predict_aspects(

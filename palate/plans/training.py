@@ -102,7 +102,7 @@ def write_aspect_run(run: AspectRun, path: str) -> None:
     for name in ("report", "summary", "mix", "topics"):
         if getattr(run, name) is not None:
             write_report(getattr(run, name), f"{path}/{name}")
-    about = [(list(run.model.classifiers), run.model.threshold, run.model.features.size, json.dumps(asdict(run.model.features.rules)))]
+    about = [(list(run.model.aspects), run.model.threshold, run.model.features.size, json.dumps(asdict(run.model.features.rules)))]
     schema = "aspects array<string>, threshold double, features int, rules string"
     write_metrics(run.report.sparkSession.createDataFrame(about, schema), f"{path}/metadata")
 
