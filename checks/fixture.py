@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palate.functions.polarity import PolarityRules
 from palate.plans import layers
 from palate.session import configure
 from palate.sources.staging import spread
 
+# Words that occur in the generated prose of the test tables.
+ASPECTS = {
+    "taste": ["with", "this"],
+    "freshness": ["from"],
+    "packaging": ["was", "are"],
+    "delivery": ["that"],
+    "price": ["for"],
+}
+POLARITY = PolarityRules(
+    valence={"this": 2.0, "with": 0.8, "for": 1.0, "that": -1.5, "was": -2.0, "from": -0.5},
+    negators=["are", "in"],
+    boosters={"and": 0.293, "to": 0.293, "of": -0.293},
+    contrast=["by"],
+)
+
+
+def long_lists() -> dict[str, list[str]]:
+    """Some 35,000 phrases: all of three letters, and each after the word "of"."""
+    three = [a + b + c for a in string.ascii_lowercase for b in string.ascii_lowercase for c in string.ascii_lowercase]
+    return {"three": three, "of_three": [f"of {t}" for t in three]}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{folder}/{name}.parquet")
 

@@ -6,7 +6,8 @@ question needs, in order, before it.
 
 from __future__ import annotations
 
-from palate import lexicons
+from checks import fixture
+from palate.functions import polarity as rules
 
 ORACLE: dict[str, str] = {}
 
@@ -69,16 +70,34 @@ def values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
 
 
-ASPECTS = list(lexicons.FIXTURE_ASPECTS)
+ASPECTS = list(fixture.ASPECTS)
 FLAGS = ", ".join(
-    f"CAST({mention('sentence_text', terms)} AS INTEGER) AS weak_{a}" for a, terms in lexicons.FIXTURE_ASPECTS.items()
+    f"CAST({mention('sentence_text', terms)} AS INTEGER) AS weak_{a}" for a, terms in fixture.ASPECTS.items()
 )
 ASPECT_LIST = "concat_ws(',', " + ", ".join(f"CASE WHEN weak_{a} = 1 THEN '{a}' END" for a in ASPECTS) + ")"
 LEXICON_ROWS = values(
-    [(a, i, t) for i, (a, terms) in enumerate(lexicons.FIXTURE_ASPECTS.items(), 1) for t in terms]
+    [(a, i, t) for i, (a, terms) in enumerate(fixture.ASPECTS.items(), 1) for t in terms]
 )
-VALENCE_ROWS = values(list(lexicons.FIXTURE_VALENCE.items()))
-NEGATORS = ", ".join(repr(n) for n in lexicons.FIXTURE_NEGATORS)
+VALENCE_ROWS = values(list(fixture.POLARITY.valence.items()))
+BOOSTS = " ".join(f"WHEN {w!r} THEN {b}" for w, b in fixture.POLARITY.boosters.items())
+NEGATORS = ", ".join(repr(n) for n in fixture.POLARITY.negators)
+CONTRAST = ", ".join(repr(n) for n in fixture.POLARITY.contrast)
+
+
+def stepped(inner: str, n: int, factor: float) -> str:
+    """The valence after the word ``n`` places before it."""
+    loud = f"CASE WHEN mixed AND c{n} THEN {rules.CAPITALS} ELSE 0 END"
+    boost = f"CASE t{n} {BOOSTS} END"
+    return f"""SELECT * REPLACE ((v + coalesce(sign(v) * {factor} * ({boost} + {loud}), 0)) * CASE WHEN t{n} IN ({NEGATORS}) THEN {rules.NEGATION_FACTOR} ELSE 1 END AS v) FROM ({inner})"""
+
+
+STEPS = f"""SELECT s.*, x.valence + sign(x.valence) * CASE WHEN mixed AND capitals THEN {rules.CAPITALS} ELSE 0 END AS v
+  FROM (SELECT *, {", ".join(f"lag(token, {n}) OVER w AS t{n}, lag(capitals, {n}) OVER w AS c{n}" for n in (1, 2, 3))},
+          bool_or(capitals) OVER a AND bool_or(NOT capitals) OVER a AS mixed, min(CASE WHEN token IN ({CONTRAST}) THEN pos END) OVER a AS turn
+        FROM spoken WINDOW w AS (PARTITION BY sentence_id ORDER BY pos), a AS (PARTITION BY sentence_id)) s
+  JOIN (SELECT column0 AS term, CAST(column1 AS DOUBLE) AS valence FROM (VALUES {VALENCE_ROWS}) v(column0, column1)) x ON s.token = x.term"""
+for _n, _factor in enumerate(rules.DISTANCE_FACTORS, 1):
+    STEPS = stepped(STEPS, _n, _factor)
 
 STAGES: dict[str, str] = {
     "base": """
@@ -190,20 +209,20 @@ STAGES: dict[str, str] = {
       FROM (SELECT *, substr(md5(record_id), 1, 8) AS h FROM sentences)""",
     "labelled": f"SELECT *, {FLAGS} FROM split_sentences",
     "spoken": r"""
-      SELECT sentence_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
-      FROM (SELECT sentence_id, regexp_extract_all(lower(sentence_text), '[\p{L}\p{N}_]+(?:''\p{L}+)?') AS w FROM sentences)""",
+      SELECT *, lower(raw) AS token, upper(raw) = raw AND lower(raw) <> raw AS capitals
+      FROM (SELECT sentence_id, unnest(w) AS raw, generate_subscripts(w, 1) AS pos
+            FROM (SELECT sentence_id, regexp_extract_all(sentence_text, '[\p{L}\p{N}_]+(?:''\p{L}+)?') AS w FROM sentences))""",
     "signed": f"""
-      SELECT sentence_id, sum(v.valence * CASE WHEN n1 OR n2 OR n3 THEN -0.74 ELSE 1.0 END) AS s
-      FROM (SELECT *, coalesce(lag(token IN ({NEGATORS}), 1) OVER w, false) AS n1,
-                   coalesce(lag(token IN ({NEGATORS}), 2) OVER w, false) AS n2,
-                   coalesce(lag(token IN ({NEGATORS}), 3) OVER w, false) AS n3
-            FROM spoken WINDOW w AS (PARTITION BY sentence_id ORDER BY pos)) t
-      JOIN (SELECT column0 AS term, CAST(column1 AS DOUBLE) AS valence FROM (VALUES {VALENCE_ROWS}) x(column0, column1)) v
-        ON t.token = v.term
-      GROUP BY sentence_id""",
-    "polar": """
-      SELECT l.*, coalesce(s / sqrt(s * s + 15.0), 0.0) AS polarity
-      FROM labelled l LEFT JOIN signed USING (sentence_id)""",
+      SELECT sentence_id, sum(v * CASE WHEN turn IS NULL OR pos = turn THEN 1.0 WHEN pos < turn THEN {rules.BEFORE_CONTRAST} ELSE {rules.AFTER_CONTRAST} END) AS s
+      FROM ({STEPS}) GROUP BY sentence_id""",
+    "polar": f"""
+      SELECT * EXCLUDE (s, marks, e), coalesce(e / sqrt(e * e + {rules.NORMALIZER}), 0.0) AS polarity
+      FROM (SELECT *, s + sign(s) * marks AS e
+            FROM (SELECT l.*, s, {rules.EXCLAMATION} * least(length(sentence_text) - length(replace(sentence_text, '!', '')), {rules.MOST_EXCLAMATIONS})
+                    + CASE WHEN length(sentence_text) - length(replace(sentence_text, '?', '')) <= 1 THEN 0
+                           WHEN length(sentence_text) - length(replace(sentence_text, '?', '')) <= {rules.MOST_QUESTIONS} THEN {rules.QUESTION} * (length(sentence_text) - length(replace(sentence_text, '?', '')))
+                           ELSE {rules.MANY_QUESTIONS} END AS marks
+                  FROM labelled l LEFT JOIN signed USING (sentence_id)))""",
     "long": " UNION ALL ".join(
         f"""SELECT r._record_id, r.product_id, r.helpfulness_numerator, r.review_timestamp, '{a}' AS aspect, m.compound,
                    CASE WHEN m.compound IS NULL THEN 'not_mentioned' ELSE {bucket('m.compound')} END AS sentiment
@@ -504,6 +523,11 @@ sql("sentence_aspects", "labelled", " UNION ALL ".join(
 sql("lexicon_hits", "sentences lexicon", f"""
     SELECT aspect, term, count(*) AS hits, count(DISTINCT sentence_id) AS rows_hit
     FROM (SELECT sentence_id, unnest({words('sentence_text')}) AS term FROM sentences) JOIN lexicon USING (term) GROUP BY ALL""")
+sql("long_word_lists", "sentences", r"""
+    SELECT sentence_id,
+           CAST(regexp_matches(sentence_text, '(?i)(?:^|[^\p{L}\p{N}_])[a-z]{3}(?:[^\p{L}\p{N}_]|$)') AS INTEGER) AS three,
+           CAST(regexp_matches(sentence_text, '(?i)(?:^|[^\p{L}\p{N}_])of [a-z]{3}(?:[^\p{L}\p{N}_]|$)') AS INTEGER) AS of_three
+    FROM sentences""")
 sql("polarity", "polar", f"SELECT sentence_id, {r6('polarity')}, {bucket('polarity')} AS polarity_class FROM polar")
 sql("aspect_sentiment", "long", f"SELECT _record_id, aspect, {r6('compound')}, sentiment FROM long")
 sql("aspect_sentiment_wide", "long", "SELECT _record_id, " + ", ".join(

@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
-from palate import lexicons
 from palate.functions import keys, labels, text
-from palate.functions.polarity import polarity as polarity_of
 from palate.operators import aspects, features, metrics, models, quality, sampling, topics
 from palate.operators.features import TermRules
 from palate.plans import insights, layers, research, training
@@ -20,9 +18,8 @@ from palate.sources.staging import stage, staging_path
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-LEXICON = lexicons.FIXTURE_ASPECTS
-VALENCE = lexicons.FIXTURE_VALENCE
-NEGATORS = lexicons.FIXTURE_NEGATORS
+LEXICON = fx.ASPECTS
+POLARITY = fx.POLARITY
 ASPECTS = list(LEXICON)
 VOCABULARY_RULES = TermRules(min_df=3, max_df=0.9, max_features=2_000, stop_words=["the", "and"])
 TFIDF_RULES = TermRules(low=1, high=2, min_df=3, max_df=0.98, max_features=2_000)
@@ -348,6 +345,14 @@ def sentence_aspects(spark, d):
     return aspects.sentence_aspects(_labelled(spark, d).select("sentence_id", "seed_aspects"))
 
 
+@query
+def long_word_lists(spark, d):
+    """Two lists of 17,576 phrases each, searched in every sentence."""
+    rows = fx.sentences(spark, d).select("sentence_id", "sentence_text")
+    lists = fx.long_lists()
+    return aspects.with_mentions(rows, lists, {name: name for name in lists}, "sentence_text").drop("sentence_text")
+
+
 @query
 def lexicon_hits(spark, d):
     return aspects.lexicon_hits(fx.sentences(spark, d), LEXICON)
@@ -355,13 +360,13 @@ def lexicon_hits(spark, d):
 
 @query
 def polarity(spark, d):
-    scored = aspects.sentence_polarity(fx.sentences(spark, d).select("sentence_id", "sentence_text"), VALENCE, NEGATORS)
+    scored = aspects.sentence_polarity(fx.sentences(spark, d).select("sentence_id", "sentence_text"), POLARITY)
     return rounded(scored.drop("sentence_text"), "polarity")
 
 
 def _long(spark, d) -> DataFrame:
     columns = ["_record_id", "product_id", "helpfulness_numerator", "review_timestamp", "review_text_clean"]
-    rows = aspects.aspect_sentiment(fx.silver(spark, d).select(*columns), LEXICON, VALENCE, NEGATORS)
+    rows = aspects.aspect_sentiment(fx.silver(spark, d).select(*columns), LEXICON, POLARITY)
     return rows.drop("review_text_clean")
 
 
@@ -373,7 +378,7 @@ def aspect_sentiment(spark, d):
 @query
 def aspect_sentiment_wide(spark, d):
     rows = fx.silver(spark, d).select("_record_id", "review_text_clean")
-    wide = aspects.aspect_sentiment(rows, LEXICON, VALENCE, NEGATORS, wide=True).drop("review_text_clean")
+    wide = aspects.aspect_sentiment(rows, LEXICON, POLARITY, wide=True).drop("review_text_clean")
     return rounded(wide, *ASPECTS)
 
 
@@ -385,7 +390,7 @@ def aspect_coverage(spark, d):
 def _seeded(spark, d) -> DataFrame:
     """Seeded aspects of every sentence, with a stand-in for the detector's probability."""
     rows = _labelled(spark, d).select("sentence_id", "sentence_index", "sentence_text", "seed_aspects")
-    scored = aspects.sentence_polarity(aspects.sentence_aspects(rows), VALENCE, NEGATORS)
+    scored = aspects.sentence_polarity(aspects.sentence_aspects(rows), POLARITY)
     return scored.withColumn("aspect_probability", (F.col("sentence_index") * 37 % 101) / 100.0)
 
 
@@ -753,7 +758,7 @@ def split_with_null_labels(spark, d):
 @query
 def insight_headlines(spark, d):
     """The whole report plan: reviews scored once, headlines from the ranking."""
-    found = insights.insights(fx.silver(spark, d), LEXICON, VALENCE, NEGATORS)
+    found = insights.insights(fx.silver(spark, d), LEXICON, POLARITY)
     return rounded(found.headlines, "value")
 
 
@@ -765,7 +770,7 @@ def aspect_topics(spark, d):
 
 @_once_per_session
 def _aspect_layer(spark, d) -> training.AspectRun:
-    return training.aspect_layer(fx.sentences(spark, d), LEXICON, VALENCE, NEGATORS, MODEL_RULES, kind="md5")
+    return training.aspect_layer(fx.sentences(spark, d), LEXICON, POLARITY, MODEL_RULES, kind="md5")
 
 
 @query
@@ -782,4 +787,4 @@ def predict_aspects(spark, d):
 @query
 def score_reviews(spark, d):
     model = _aspect_layer(spark, d).model
-    return models.score_reviews(model, fx.reviews(spark, d).select("Id", "Text"), "Id", "Text", VALENCE, NEGATORS)
+    return models.score_reviews(model, fx.reviews(spark, d).select("Id", "Text"), "Id", "Text", POLARITY)

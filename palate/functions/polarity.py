@@ -1,51 +1,68 @@
 """Sentence polarity from a valence lexicon, inside the row.
 
-Sum of word valences, a valence turned round and damped when one of the three words
-before it negates, squashed to (-1, 1) by ``s / sqrt(s^2 + 15)`` (Hutto & Gilbert 2014).
-A sentence never leaves its row: no token explode, no window, no shuffle.
+The rules are those of Hutto & Gilbert (2014). A word's valence grows when it is in capitals among
+words that are not; the three words before it are then looked at from near to far: a booster adds or
+takes away, the less the further off, and a negator turns the valence round and damps it. What stands
+before a contrast word ("but") counts half, what follows half as much again. Exclamation and question
+marks add to the sum, which is squashed to (-1, 1) by ``s / sqrt(s^2 + 15)``.
+
+Each valence is a fold over the words before it, and all of it happens inside the row: no token
+explode, no window, no shuffle. Word lists are plain data and may be long.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from dataclasses import dataclass, field
 
-from palate.functions.text import SPOKEN_WORD_PATTERN, let
+from palate.functions.sqltext import let, member, number_of, quoted
+from palate.functions.text import SPOKEN_WORD_PATTERN
 
 # Fixed values of the published method.
 NEGATION_FACTOR = -0.74
-NEGATION_WINDOW = 3
+CAPITALS = 0.733
+DISTANCE_FACTORS = (1.0, 0.95, 0.9)
+BEFORE_CONTRAST, AFTER_CONTRAST = 0.5, 1.5
+EXCLAMATION, MOST_EXCLAMATIONS = 0.292, 4
+QUESTION, MOST_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96
 NORMALIZER = 15.0
 
 
-def valence(token: Column, lexicon: dict[str, float]) -> Column:
-    """One hashed set test per distinct valence, so a large lexicon stays cheap."""
-    terms_of: dict[float, list[str]] = defaultdict(list)
-    for term, value in lexicon.items():
-        terms_of[float(value)].append(term)
-    cases = [F.when(token.isin(terms), F.lit(value)) for value, terms in terms_of.items()]
-    return F.coalesce(*cases, F.lit(0.0))
-
-
-def polarity(text: Column, lexicon: dict[str, float], negators: list[str]) -> Column:
-    """Polarity of a sentence in (-1, 1); 0.0 when no word of it is in the lexicon."""
-    vocabulary = list(lexicon)
+@dataclass(frozen=True)
+class PolarityRules:
+    """Valences by word, words that negate, what boosters add to a valence's size, contrast words.
+    All in lower case. A booster has no valence of its own."""
 
-    def score(tokens: Column) -> Column:
-        def signed(token: Column, i: Column) -> Column:
-            before = F.slice(
-                tokens, F.greatest(i - NEGATION_WINDOW + 1, F.lit(1)), F.least(i, F.lit(NEGATION_WINDOW))
-            )
-            factor = F.when(F.exists(before, lambda t: t.isin(negators)), NEGATION_FACTOR).otherwise(1.0)
-            return F.when(token.isin(vocabulary), valence(token, lexicon) * factor).otherwise(0.0)
+    valence: dict[str, float]
+    negators: list[str] = field(default_factory=list)
+    boosters: dict[str, float] = field(default_factory=dict)
+    contrast: list[str] = field(default_factory=lambda: ["but"])
 
-        return F.aggregate(
-            F.transform(tokens, signed),
-            F.lit(0.0),
-            lambda total, value: total + value,
-            lambda total: total / F.sqrt(total * total + NORMALIZER),
-        )
 
-    return let(F.regexp_extract_all(F.lower(text), F.lit(SPOKEN_WORD_PATTERN), 0), score)
+def polarity(text: str, rules: PolarityRules) -> str:
+    """Polarity of a sentence in (-1, 1) as SQL; ``text`` is a column or expression in SQL. 0.0 when no
+    word is in the lexicon; null for null."""
+    words = {w: v for w, v in rules.valence.items() if w not in rules.boosters}
+    listed = f"transform(regexp_extract_all({text}, {quoted(SPOKEN_WORD_PATTERN)}, 0), pw -> struct(lower(pw) AS w, upper(pw) = pw AND lower(pw) <> pw AS capitals))"
+    known = member("pk.w", words)
+    # capitals stand out only next to other words; the first contrast word divides the sentence
+    facts = (
+        "struct(pl AS l, exists(pl, pc -> pc.capitals) AND exists(pl, pd -> NOT pd.capitals) AS mixed, "
+        f"array_position(transform(pl, pb -> {member('pb.w', rules.contrast)}), true) AS turn)"
+    )
+    loud = f"IF(pz.mixed AND {{word}}.capitals, {CAPITALS}D, 0D)"
+    start = let("pv", number_of("px.w", words), f"pv + sign(pv) * {loud.format(word='px')}")
+    factor = f"element_at(array({', '.join(f'{f}D' for f in DISTANCE_FACTORS)}), pn)"
+    boost = number_of("pp.w", rules.boosters, "NULL")
+    added = let("pq", boost, f"pa + coalesce(sign(pa) * {factor} * (pq + {loud.format(word='pp')}), 0D)")
+    negated = f"IF({member('pp.w', rules.negators)}, {NEGATION_FACTOR}D, 1D)"
+    step = let("pp", "get(pz.l, pi - pn)", f"IF(pp IS NULL, pa, {added} * {negated})")
+    near = ", ".join(str(n) for n in range(1, len(DISTANCE_FACTORS) + 1))
+    weight = f"CASE WHEN pz.turn = 0 OR pi + 1 = pz.turn THEN 1D WHEN pi + 1 < pz.turn THEN {BEFORE_CONTRAST}D ELSE {AFTER_CONTRAST}D END"
+    value = f"IF({member('px.w', words)}, {weight} * aggregate(array({near}), {start}, (pa, pn) -> {step}), 0D)"
+    total = f"aggregate(transform(pz.l, (px, pi) -> {value}), 0D, (ps, pt) -> ps + pt)"
+    count = lambda mark: f"(length({text}) - length(replace({text}, '{mark}', '')))"
+    questions = f"CASE WHEN {count('?')} <= 1 THEN 0D WHEN {count('?')} <= {MOST_QUESTIONS} THEN {QUESTION}D * {count('?')} ELSE {MANY_QUESTIONS}D END"
+    marks = f"({EXCLAMATION}D * least({count('!')}, {MOST_EXCLAMATIONS}) + {questions})"
+    squashed = let("pe", let("pf", total, f"pf + sign(pf) * {marks}"), f"pe / sqrt(pe * pe + {NORMALIZER}D)")
+    whole = let("pl", listed, f"IF(exists(pl, pk -> {known}), {let('pz', facts, squashed)}, 0D)")
+    return f"IF({text} IS NULL, CAST(NULL AS DOUBLE), {whole})"

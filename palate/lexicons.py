@@ -76,13 +76,10 @@ SEED_NEGATORS = [
     "won't", "wouldn't", "couldn't", "shouldn't", "hardly", "rarely",
 ]
 
-# Words that occur in the generated prose of the test tables.
-FIXTURE_ASPECTS = {
-    "taste": ["with", "this"],
-    "freshness": ["from"],
-    "packaging": ["was", "are"],
-    "delivery": ["that"],
-    "price": ["for"],
+# What a booster adds to a valence's size, or takes from it; a small seed of each.
+BOOST = 0.293
+SEED_BOOSTERS = {
+    **dict.fromkeys(["absolutely", "amazingly", "completely", "deeply", "especially", "exceptionally", "extremely", "highly", "incredibly",
+                     "more", "most", "particularly", "really", "remarkably", "so", "totally", "truly", "unbelievably", "utterly", "very"], BOOST),
+    **dict.fromkeys(["almost", "barely", "less", "little", "marginally", "occasionally", "partly", "scarcely", "slightly", "somewhat"], -BOOST),
 }
-FIXTURE_VALENCE = {"this": 2.0, "with": 0.8, "for": 1.0, "that": -1.5, "was": -2.0, "from": -0.5}
-FIXTURE_NEGATORS = ["are"]

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palate.functions import labels, text
+from palate.functions.phrases import Lexicon, Phrases
+from palate.functions.polarity import PolarityRules
 from palate.functions.polarity import polarity as polarity_of
-
-Lexicon = dict[str, list[str]]
+from palate.functions.sqltext import let, member, name, quoted
 
 
 def lexicon_table(spark, lexicon: Lexicon) -> DataFrame:
@@ -26,25 +27,35 @@ def lexicon_table(spark, lexicon: Lexicon) -> DataFrame:
 def lexicon_hits(df: DataFrame, lexicon: Lexicon, text_column: str = "sentence_text") -> DataFrame:
     """How often each lexicon term occurs, and in how many rows."""
     table = lexicon_table(df.sparkSession, lexicon)
-    terms = list({t.lower() for listed in lexicon.values() for t in listed})
+    terms = sorted({t.lower() for listed in lexicon.values() for t in listed})
 
     def marks(found: Column) -> Column:
         return F.transform(found, lambda t, i: F.struct(t.alias("term"), F.when(F.get(found, i - 1) == t, 0).otherwise(1).alias("first")))
 
     # known terms are found and marked inside the row; a task sends one partial row per term
-    known = F.sort_array(F.filter(text.words(F.col(text_column)), lambda t: t.isin(terms)))
+    words = f"regexp_extract_all(lower({name(text_column)}), {quoted(text.WORD_PATTERN)}, 0)"
+    known = F.sort_array(F.expr(f"filter({words}, t -> {member('t', terms)})"))
     hits = df.select(F.inline(text.let(known, marks))).groupBy("term").agg(F.count(F.lit(1)).alias("hits"), F.sum("first").alias("rows_hit"))
     return hits.join(F.broadcast(table), "term").select("aspect", "term", "hits", "rows_hit")
 
 
 def weak_labels(df: DataFrame, lexicon: Lexicon, text_column: str = "sentence_text") -> DataFrame:
     """One 0/1 column ``weak_<aspect>`` per aspect, and the list of aspects found."""
-    flagged = df.withColumns(
-        {f"weak_{a}": text.mentions(F.col(text_column), terms).cast("int") for a, terms in lexicon.items()}
-    )
+    flagged = with_mentions(df, lexicon, {a: f"weak_{a}" for a in lexicon}, text_column)
     return flagged.withColumn("seed_aspects", aspect_list({a: F.col(f"weak_{a}") == 1 for a in lexicon}))
 
 
+def with_mentions(df: DataFrame, lexicon: Lexicon, into: dict[str, str], text_column: str) -> DataFrame:
+    """``df`` with a 0/1 column per list of phrases: whether the text mentions one of it; null for a null
+    text. The text is searched once for all lists, at a cost that does not depend on their length."""
+    phrases, column = Phrases(lexicon), name(text_column)
+    flags = ", ".join(f"CAST({phrases.found(a, column, 'hm')} AS INT) AS {name(flag)}" for a, flag in into.items())
+    none = ", ".join(f"CAST(NULL AS INT) AS {name(flag)}" for flag in into.values())
+    every = f"IF({column} IS NULL, struct({none}), {let('hm', phrases.hits(column), f'struct({flags})')})"
+    found = df.withColumn("_mentions", F.expr(every))
+    return found.withColumns({flag: F.col("_mentions")[flag] for flag in into.values()}).drop("_mentions")
+
+
 def aspect_list(flags: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(flag, F.lit(aspect)) for aspect, flag in flags.items()]))
 
@@ -90,35 +101,28 @@ def check_aspect_support(labelled: DataFrame, aspects: list[str], minimum: int =
     return labelled
 
 
-def sentence_polarity(
-    df: DataFrame, valence: dict[str, float], negators: list[str], text_column: str = "sentence_text"
-) -> DataFrame:
+def sentence_polarity(df: DataFrame, rules: PolarityRules, text_column: str = "sentence_text") -> DataFrame:
     """Adds ``polarity`` and its class; narrow."""
-    scored = df.withColumn("polarity", polarity_of(F.col(text_column), valence, negators))
+    scored = df.withColumn("polarity", F.expr(polarity_of(name(text_column), rules)))
     return scored.withColumn("polarity_class", labels.polarity_class(F.col("polarity")))
 
 
-def aspect_sentiment_wide(
-    df: DataFrame, lexicon: Lexicon, valence: dict[str, float], negators: list[str], text_column: str
-) -> DataFrame:
+def aspect_sentiment_wide(df: DataFrame, lexicon: Lexicon, rules: PolarityRules, text_column: str) -> DataFrame:
     """Per review and aspect, the mean polarity of the sentences that mention the aspect
     (null when none does) and its class under ``<aspect>_sent``. Narrow: no shuffle."""
-    scored = df.withColumn(
-        "_scored",
-        F.transform(
-            text.spoken_sentences(F.col(text_column)),
-            lambda s: F.struct(s.alias("s"), polarity_of(s, valence, negators).alias("p")),
-        ),
-    )
+    phrases = Phrases(lexicon)
+    split = df.withColumn("_sentences", text.spoken_sentences(F.col(text_column)))
+    found = let("hm", phrases.hits("s"), "struct(" + ", ".join(f"{phrases.found(a, 's', 'hm')} AS {name(a)}" for a in lexicon) + ")")
+    scored = split.withColumn("_scored", F.expr(f"transform(_sentences, s -> struct({found} AS found, {polarity_of('s', rules)} AS p))"))
 
-    def mean_over(terms: list[str]) -> Column:
-        hits = F.transform(F.filter("_scored", lambda x: text.mentions(x["s"], terms)), lambda x: x["p"])
+    def mean_over(aspect: str) -> Column:
+        hits = F.transform(F.filter("_scored", lambda x: x["found"][aspect]), lambda x: x["p"])
         return text.let(
             hits,
             lambda h: F.when(F.size(h) > 0, F.aggregate(h, F.lit(0.0), lambda a, b: a + b) / F.size(h)),
         )
 
-    means = scored.withColumns({a: mean_over(terms) for a, terms in lexicon.items()}).drop("_scored")
+    means = scored.withColumns({a: mean_over(a) for a in lexicon}).drop("_scored", "_sentences")
     return means.withColumns({f"{a}_sent": labels.polarity_bucket(F.col(a)) for a in lexicon})
 
 
@@ -135,13 +139,12 @@ def to_long(wide: DataFrame, aspects: list[str]) -> DataFrame:
 def aspect_sentiment(
     df: DataFrame,
     lexicon: Lexicon,
-    valence: dict[str, float],
-    negators: list[str],
+    rules: PolarityRules,
     text_column: str = "review_text_clean",
     wide: bool = False,
 ) -> DataFrame:
     """Per-review, per-aspect sentiment, long or wide."""
-    columns = aspect_sentiment_wide(df, lexicon, valence, negators, text_column)
+    columns = aspect_sentiment_wide(df, lexicon, rules, text_column)
     return columns if wide else to_long(columns, list(lexicon))
 
 

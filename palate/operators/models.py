@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palate.functions import labels
+from palate.functions.polarity import PolarityRules
 from palate.functions.polarity import polarity as polarity_of
 from palate.functions.text import review_sentences
 from palate.operators import linear, metrics
@@ -326,7 +327,7 @@ NO_TEXT = "no text"
 
 
 def score_reviews(
-    model: AspectModel, df: DataFrame, key: str, text: str, valence: dict[str, float], negators: list[str]
+    model: AspectModel, df: DataFrame, key: str, text: str, rules: PolarityRules
 ) -> DataFrame:
     """Sentences of whole reviews with their aspects, confidence and polarity; a sentence
     without an aspect keeps its best score under a row of its own, and a null or blank review
@@ -340,7 +341,7 @@ def score_reviews(
     best = F.array_max(F.transform("detected", lambda d: d["probability"]))
     nothing = F.array(F.struct(F.lit(NO_ASPECT).alias("aspect"), best.alias("probability")))
     blank = F.array(F.struct(F.lit(NO_TEXT).alias("aspect"), F.lit(None).cast("double").alias("probability")))
-    polarity = polarity_of(F.col("sentence"), valence, negators)
+    polarity = F.expr(polarity_of("sentence", rules))
     return (
         found.withColumn("_hits", F.when(F.col("sentence").isNull(), blank).when(F.size(hits) > 0, hits).otherwise(nothing))
         .withColumns({"sentiment_score": F.when(F.col("sentence").isNotNull(), polarity)})

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palate.functions import labels
+from palate.functions.polarity import PolarityRules
 from palate.operators import aspects
 from palate.sources.staging import stage
 from palate.sources.tables import write_metrics, write_report
@@ -117,10 +118,10 @@ class Insights:
     headlines: DataFrame
 
 
-def insights(reviews: DataFrame, lexicon: aspects.Lexicon, valence: dict[str, float], negators: list[str], text: str = "review_text_clean") -> Insights:
+def insights(reviews: DataFrame, lexicon: aspects.Lexicon, rules: PolarityRules, text: str = "review_text_clean") -> Insights:
     """Score reviews once, keep the narrow result, derive every report from it."""
     columns = ["_record_id", "product_id", "helpfulness_numerator", "review_timestamp", text]
-    scored = aspects.aspect_sentiment(reviews.select(*columns), lexicon, valence, negators)
+    scored = aspects.aspect_sentiment(reviews.select(*columns), lexicon, rules)
     long = stage(scored.drop(text), "insights")
     ranking = aspect_ranking(long)
     return Insights(aspect_coverage(long), ranking, aspect_trend(long), worst_trends(long), product_breakdown(long, list(lexicon)), headlines(ranking))

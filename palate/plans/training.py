@@ -8,6 +8,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palate.functions.polarity import PolarityRules
 from palate.operators import aspects, metrics, models, quality, sampling, topics
 from palate.operators.features import TermRules
 from palate.sources.staging import stage
@@ -116,8 +117,7 @@ PREDICTION_CONTEXT = [
 def aspect_layer(
     sentences: DataFrame,
     lexicon: aspects.Lexicon,
-    valence: dict[str, float],
-    negators: list[str],
+    polarity: PolarityRules,
     rules: TermRules = models.ASPECT_RULES,
     max_rows: int | None = FIT_SENTENCES,
     topic_rules: TermRules | None = None,
@@ -143,7 +143,7 @@ def aspect_layer(
         for r in metrics.aspect_report(outcomes).collect():  # one row per aspect
             report += [(name, f"{r['aspect']} {k}", float(r[k])) for k in ("precision", "recall", "f1", "support")]
     predictions = models.predict_aspects(model, labelled, PREDICTION_CONTEXT)
-    scored = stage(aspects.sentence_polarity(predictions, valence, negators), "predictions")
+    scored = stage(aspects.sentence_polarity(predictions, polarity), "predictions")
     found = topics.map_topics(topics.fit_topics(known, "sentence_text", topic_rules), lexicon) if topic_rules else None
     schema = "part string, measure string, value double"
     table = labelled.sparkSession.createDataFrame(report, schema)

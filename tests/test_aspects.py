@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from palate import lexicons
+from palate.functions.polarity import PolarityRules
 from palate.functions.text import split_sentences
 from palate.operators import aspects, topics
 from palate.plans import insights
 
-VALENCE, NEGATORS = lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS
+RULES = PolarityRules(lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS, lexicons.SEED_BOOSTERS)
 REVIEWS = [
     (1, "p", 4, "2010-05-01", "The coffee tastes rich and fresh. I would love to buy it again!"),
     (2, "p", 0, "2010-06-01", "The package arrived crushed. The food was stale and inedible."),
@@ -29,7 +30,7 @@ def reviews(spark):
 
 @pytest.fixture(scope="module")
 def long(reviews):
-    return aspects.aspect_sentiment(reviews, lexicons.REVIEW_ASPECTS, VALENCE, NEGATORS).cache()
+    return aspects.aspect_sentiment(reviews, lexicons.REVIEW_ASPECTS, RULES).cache()
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +59,7 @@ def test_phrases_of_two_words(spark):
 
 
 def test_review_sentiment_equals_mean_over_sentences(spark, long, sentences):
-    scored = aspects.sentence_polarity(sentences, VALENCE, NEGATORS)
+    scored = aspects.sentence_polarity(sentences, RULES)
     flagged = aspects.weak_labels(scored, lexicons.REVIEW_ASPECTS).collect()
     found = {(r["_record_id"], r["aspect"]): r for r in long.collect()}
     assert len(found) == len(REVIEWS) * len(lexicons.REVIEW_ASPECTS)
@@ -71,7 +72,7 @@ def test_review_sentiment_equals_mean_over_sentences(spark, long, sentences):
 
 
 def test_long_form_needs_no_shuffle(long, reviews, capsys):
-    aspects.aspect_sentiment(reviews, lexicons.REVIEW_ASPECTS, VALENCE, NEGATORS).explain()
+    aspects.aspect_sentiment(reviews, lexicons.REVIEW_ASPECTS, RULES).explain()
     assert "Exchange" not in capsys.readouterr().out
 
 

@@ -126,33 +126,6 @@ def test_record_id_layout(spark):
     assert row.select(keys.record_id(F.col("a"), F.col("b"), F.col("c"))).first()[0] == expected
 
 
-def brute_polarity(sentence, lexicon, negators):
-    tokens = re.findall(r"\w+(?:'[^\W\d_]+)?", sentence.lower())
-    total = 0.0
-    for i, token in enumerate(tokens):
-        if token in lexicon:
-            negated = any(t in negators for t in tokens[max(0, i - 3) : i])
-            total += lexicon[token] * (-0.74 if negated else 1.0)
-    return total / math.sqrt(total * total + 15)
-
-
-@pytest.mark.parametrize(
-    "sentence",
-    [
-        "The coffee tastes rich and fresh, and I would love it again.",
-        "Not good.",
-        "It isn't really very good, it is the worst",
-        "not one two three good",
-        "nothing here",
-        "",
-        "Good good good!",
-    ],
-)
-def test_polarity_equals_brute_force(column, sentence):
-    found = column(lambda c: polarity(c, lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS), sentence)
-    assert found == pytest.approx(brute_polarity(sentence, lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS), abs=1e-12)
-
-
 @pytest.mark.parametrize("kind", ["xxhash64", "md5", "sha2"])
 def test_hash_order_is_kept_by_buckets_and_nested_by_fraction(spark, kind):
     rows = spark.range(2000).select(keys.order_hash(F.col("id"), kind=kind).alias("h"))

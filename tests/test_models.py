@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palate import lexicons
+from palate.functions.polarity import PolarityRules
 from palate.operators import aspects, features, metrics, models, sampling, topics
 from palate.operators.features import TermRules
 from palate.plans import training
@@ -241,16 +242,16 @@ def test_aspect_layer_and_review_scoring(spark):
     sentences = sentences.withColumns({c: F.lit(1) for c in context})
     lexicon = {"taste": ["taste"], "packaging": ["box"]}
     run = training.aspect_layer(
-        sentences, lexicon, lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS, TermRules(min_df=2, max_features=100, accents=False)
+        sentences, lexicon, PolarityRules(lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS), TermRules(min_df=2, max_features=100, accents=False)
     )
     measures = {(r["part"], r["measure"]): r["value"] for r in run.report.collect()}
     assert measures["test", "micro_f1"] > 0.95 and measures["validation", "hamming_loss"] < 0.05
     assert {r["aspect"] for r in run.summary.collect()} == {"taste", "packaging"}
     reviews = spark.createDataFrame([(1, "Great taste!\nThe box was broken. Nothing here, i like it.")], "id int, text string")
-    found = models.score_reviews(run.model, reviews, "id", "text", lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS)
+    found = models.score_reviews(run.model, reviews, "id", "text", PolarityRules(lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS))
     by_sentence = {r["sentence_number"]: r for r in found.collect()}
     blank = spark.createDataFrame([(2, None), (3, " \n ")], "id int, text string")
-    answers = models.score_reviews(run.model, blank, "id", "text", lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS).collect()
+    answers = models.score_reviews(run.model, blank, "id", "text", PolarityRules(lexicons.SEED_VALENCE, lexicons.SEED_NEGATORS)).collect()
     assert sorted((r["id"], r["aspect"], r["sentiment"]) for r in answers) == [(2, models.NO_TEXT, None), (3, models.NO_TEXT, None)]
     assert run.predictions.select("sentence_id").distinct().count() > 400
     assert [by_sentence[n]["aspect"] for n in (1, 2, 3)] == ["taste", "packaging", models.NO_ASPECT]
