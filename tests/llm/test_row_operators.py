@@ -200,11 +200,29 @@ def test_bpe_equals_the_library(spark):
 
 
 def test_bpe_memory_may_be_emptied(monkeypatch):
+    text = "the cat, and the dog and the cat " * 3 + "y" * 100
+    whole = bpe_prefix.PrefixBpe.from_file(WORD_BPE).encode(text)
     monkeypatch.setattr(bpe_prefix, "REMEMBERED", 2)
+    monkeypatch.setattr(bpe_prefix, "REMEMBERED_PAIRS", 3)
     one = bpe_prefix.PrefixBpe.from_file(WORD_BPE)
-    text = "the cat and the dog and the cat"
-    monkeypatch.undo()
-    assert one.encode(text) == bpe_prefix.PrefixBpe.from_file(WORD_BPE).encode(text)
+    assert one.encode(text) == whole and len(one._pieces) <= 2 and len(one._pieces.older) <= 2 and sum(map(len, one._pairs)) <= 3
+
+
+@pytest.mark.parametrize("form", ["a?b", " ? ", "??1", "É?\x1c"])
+def test_bpe_equals_the_library_at_every_code_point(form):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORD_BPE)
+    library.no_truncation()
+    library.no_padding()
+    bpe = bpe_prefix.loaded(WORD_BPE)
+    points = [c for c in range(1, 0x40000) if not 0xD800 <= c <= 0xDFFF and chr(c) != "?"]
+    for i in range(0, len(points), 8_192):
+        text = " x ".join(form.replace("?", chr(c)) for c in points[i : i + 8_192])
+        raw, back = bpe.encode(text)
+        found = library.encode(text, add_special_tokens=False).ids
+        assert raw == struct.pack(f"<{len(found)}I", *found), hex(points[i])
+        assert back == library.decode(found, skip_special_tokens=False)
 
 
 def test_every_prefix_has_its_last_token():
