@@ -633,3 +633,6 @@ sql("aspect_report", "pair_sums", f"""
 sql("error_review", "scores", """
     SELECT doc_id, y, p, score, CASE WHEN p = 1 THEN 'false_positive' ELSE 'false_negative' END AS error FROM scores WHERE y <> p
     QUALIFY row_number() OVER (PARTITION BY p ORDER BY CASE WHEN p = 1 THEN -score ELSE score END, doc_id) <= 10""")
+sql("quota_with_times", "reviews", """
+    SELECT Score, least(n, q) AS taken, least(n, q) AS with_time
+    FROM (SELECT Score, count(*) AS n FROM reviews GROUP BY Score) JOIN (VALUES ('1', 30), ('4', 77), ('x', 5)) w(Score, q) USING (Score)""")

@@ -788,3 +788,11 @@ def predict_aspects(spark, d):
 def score_reviews(spark, d):
     model = _aspect_layer(spark, d).model
     return models.score_reviews(model, fx.reviews(spark, d).select("Id", "Text"), "Id", "Text", POLARITY)
+
+
+@query
+def quota_with_times(spark, d):
+    """Exact quotas of rows that carry the time of the run and a map, with many rows a key."""
+    rows = fx.reviews(spark, d).select("Score", "UserId", F.current_timestamp().alias("seen_at"), F.create_map(F.lit("votes"), F.col("HelpfulnessNumerator")).alias("more"))
+    taken = sampling.take_quota(rows, "Score", {"1": 30, "4": 77, "x": 5}, "UserId", kind="md5")
+    return taken.groupBy("Score").agg(F.count(F.lit(1)).alias("taken"), F.count("seen_at").alias("with_time"))

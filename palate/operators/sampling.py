@@ -5,25 +5,32 @@ window over the label would sort each class in one task. Here the cut is found i
 of the ranks: rows are counted per hash bucket, the bucket that holds the cut is ranked
 alone, and every row is then compared with the order value found. The table itself is
 neither sorted nor shuffled, and the result is that of the window, to the row.
+
+The input is evaluated once: its rows are stored with their order, the search for the cuts reads
+the order columns alone, and the result reads the stored rows. So a plan below that is costly, or
+that gives another time or hash each time it runs, is no matter.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palate.functions.keys import hash_below, order_bucket, order_hash
 from palate.operators.dedup import first_per_group
+from palate.operators.ranks import ranked_within
 from palate.sources.staging import checked_broadcast, stage
 
-#: Groups whose cuts are found by bucket counts. With more, each is small and a window finds the
-#: same rows.
+#: Groups whose cuts are found by bucket counts on the driver. With more, rows are ranked over ranges.
 MAX_CUT_GROUPS = 10_000
 
-#: Order of rows within a group: hash of the key, hash of the tie column, hash of the whole row.
-ORDER = ["_order", "_tie", "_row"]
+#: Order of rows within a group: hash of the key, hash of the tie column, hash of the whole row, and
+#: a hash of the stored row's number, which no two rows share (the hash maps longs one to one).
+ORDER = ["_order", "_tie", "_row", "_place"]
 _LAST = 2**63 - 1
 
 
@@ -32,15 +39,31 @@ def _group_key(value: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("null"))
 
 
-def _with_order(df: DataFrame, by: str, key: str, tie: str | None, kind: str, seed: int | None) -> DataFrame:
-    return df.withColumns(
+def _unhashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_unhashable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _unhashable(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """Hash of a whole row; maps and variants by their JSON, as Spark hashes neither."""
+    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if _unhashable(f.dataType) else F.col(f"`{f.name}`") for f in df.schema])
+
+
+def _ordered(df: DataFrame, by: str, key: str, tie: str | None, kind: str, seed: int | None, name: str) -> DataFrame:
+    """The rows with group and order, stored."""
+    rows = df.withColumns(
         {
             "_by": _group_key(F.col(by)) if by else F.lit("="),
             "_order": order_hash(F.col(key), kind=kind, seed=seed),
             "_tie": F.xxhash64(F.col(tie or key)),
-            "_row": F.xxhash64(*df.columns),
+            "_row": _row_hash(df),
+            "_place": F.xxhash64(F.monotonically_increasing_id()),
         }
     )
+    return stage(rows, name)
 
 
 def _locate(rows: DataFrame, targets: DataFrame, value: str, bucket: Column) -> DataFrame:
@@ -69,15 +92,14 @@ def _locate(rows: DataFrame, targets: DataFrame, value: str, bucket: Column) ->
     )
 
 
-def _cuts(rows: DataFrame, narrow: DataFrame, targets: list[tuple], kind: str) -> list[dict]:
-    """Order values at the wanted ranks: one entry per (group, cut, rank), with ``_order``,
-    ``_tie`` and ``_row`` as far down as needed to tell the rows at the cut apart.
+def _cuts(narrow: DataFrame, targets: list[tuple], kind: str) -> list[dict]:
+    """Order values at the wanted ranks: one entry per (group, cut, rank), with the columns of ORDER as
+    far down as needed to tell the rows at the cut apart.
 
     Rows that share a value are looked at one level deeper; each level counts in buckets like
-    the first, so they never meet in one task. ``rank`` of ``ties`` rows with equal values fall
-    within the cut: more than one is left open only where whole rows repeat.
+    the first, so they never meet in one task. No two rows share the last one.
     """
-    spark = rows.sparkSession
+    spark = narrow.sparkSession
     wanted = spark.createDataFrame(targets, "_by string, cut int, rank bigint")
     found = [r.asDict() for r in _locate(narrow, wanted, "_order", order_bucket(F.col("_order"), kind)).collect()]
     for depth, level in enumerate(ORDER[1:], 1):
@@ -85,14 +107,13 @@ def _cuts(rows: DataFrame, narrow: DataFrame, targets: list[tuple], kind: str) -
         if not shared:
             break
         above = ORDER[:depth]
-        kinds = {"_order": rows.schema["_order"].dataType.simpleString()}
+        kinds = {"_order": narrow.schema["_order"].dataType.simpleString()}
         at = spark.createDataFrame(
             [(f["_by"], f"{f['cut']}", *[f[c] for c in above]) for f in shared],
             ", ".join(["_by string", "_cut_name string", *[f"{c} {kinds.get(c, 'bigint')}" for c in above]]),
         )
-        # one row per group and cut; whole rows are read only on the last level
-        source = (rows if level == "_row" else narrow).select("_by", *ORDER[: depth + 1])
-        same = source.join(F.broadcast(at), ["_by", *above]).withColumn("_by", F.concat_ws("#", "_by", "_cut_name"))
+        # one row per group and cut
+        same = narrow.select("_by", *ORDER[: depth + 1]).join(F.broadcast(at), ["_by", *above]).withColumn("_by", F.concat_ws("#", "_by", "_cut_name"))
         again = spark.createDataFrame([(f"{f['_by']}#{f['cut']}", f["cut"], f["rank"]) for f in shared], "_by string, cut int, rank bigint")
         located = {r["_by"]: r for r in _locate(same, again, level, order_bucket(F.col(level), "xxhash64")).collect()}
         for f in shared:
@@ -101,40 +122,33 @@ def _cuts(rows: DataFrame, narrow: DataFrame, targets: list[tuple], kind: str) -
     return found
 
 
-def _mark(rows: DataFrame, narrow: DataFrame, ranks: dict, kind: str) -> DataFrame:
-    """Adds ``_cut``: the first cut a row falls within, null beyond the last.
+def _mark(rows: DataFrame, ranks: dict, kind: str) -> DataFrame:
+    """Adds ``_cut``: the first cut a stored row falls within, null beyond the last.
 
     ``ranks`` maps a group to its cumulative ranks, one per cut.
     """
     spark = rows.sparkSession
-    found = _cuts(rows, narrow, [(g, i, int(r)) for g, cuts in ranks.items() for i, r in enumerate(cuts) if r > 0], kind)
-    entries = [(f["_by"], f["cut"], f["_order"], f.get("_tie", _LAST), f.get("_row", _LAST), f["rank"] if f["rank"] < f["ties"] else None) for f in found]
+    found = _cuts(rows.select("_by", *ORDER), [(g, i, int(r)) for g, cuts in ranks.items() for i, r in enumerate(cuts) if r > 0], kind)
+    entries = [(f["_by"], f["cut"], f["_order"], *[f.get(c, _LAST) for c in ORDER[1:]]) for f in found]
     order_type = rows.schema["_order"].dataType.simpleString()
-    schema = f"_by string, cut int, o {order_type}, t bigint, r bigint, copies bigint"
+    schema = f"_by string, cut int, _order {order_type}, " + ", ".join(f"{c} bigint" for c in ORDER[1:])
     # one row per group: an array of its bounds in cut order
-    bounds = spark.createDataFrame(entries, schema).groupBy("_by").agg(F.sort_array(F.collect_list(F.struct("cut", "o", "t", "r", "copies"))).alias("_bounds"))
-    copy = F.lit(1).cast("bigint")
-    if any(e[-1] is not None for e in entries):
-        # whole rows repeat at a cut: equal rows are numbered, which only their group needs
-        copy = F.row_number().over(Window.partitionBy("_by", *ORDER).orderBy(F.lit(0))).cast("bigint")
-    o, t, r = (F.col(c) for c in ORDER)
-    within = F.filter(
-        F.col("_bounds"),
-        lambda b: (o < b["o"])
-        | ((o == b["o"]) & ((t < b["t"]) | ((t == b["t"]) & ((r < b["r"]) | ((r == b["r"]) & (F.col("_copy") <= F.coalesce(b["copies"], F.col("_copy")))))))),
-    )
-    marked = rows.withColumn("_copy", copy).join(checked_broadcast(bounds), "_by", "left")
-    return marked.withColumn("_cut", F.get(within, F.lit(0))["cut"]).drop("_copy")
+    bounds = spark.createDataFrame(entries, schema).groupBy("_by").agg(F.sort_array(F.collect_list(F.struct("cut", *ORDER))).alias("_bounds"))
 
+    def upto(bound: Column) -> Column:
+        """Not beyond the bound, level by level."""
+        test = F.col(ORDER[-1]) <= bound[ORDER[-1]]
+        for c in reversed(ORDER[:-1]):
+            test = (F.col(c) < bound[c]) | ((F.col(c) == bound[c]) & test)
+        return test
 
-def _narrow(rows: DataFrame, name: str) -> DataFrame:
-    """Group and order of every row, stored: what finding cuts needs, without the row itself."""
-    return stage(rows.select("_by", "_order", "_tie"), name)
+    marked = rows.join(checked_broadcast(bounds), "_by", "left")
+    return marked.withColumn("_cut", F.get(F.filter("_bounds", upto), F.lit(0))["cut"]).drop("_bounds")
 
 
-def _group_sizes(narrow: DataFrame) -> dict | None:
+def _group_sizes(rows: DataFrame) -> dict | None:
     """Rows per group, or None when there are too many groups to list."""
-    sizes = narrow.groupBy("_by").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CUT_GROUPS + 1).collect()
+    sizes = rows.groupBy("_by").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CUT_GROUPS + 1).collect()
     return {r["_by"]: r["n"] for r in sizes} if len(sizes) <= MAX_CUT_GROUPS else None
 
 
@@ -163,25 +177,26 @@ def stratified_split(
     ``rest``. ``tie`` orders rows that share a key.
     """
     cuts = cuts or {"train": 0.80, "validation": 0.90}
-    rows = _with_order(df, label, key, tie, kind, seed)
-    narrow = _narrow(rows, "split")
+    rows = _ordered(df, label, key, tie, kind, seed, "split")
     names, shares = list(cuts), list(cuts.values())
-    sizes = _group_sizes(narrow)
+    sizes = _group_sizes(rows)
     if sizes is None:
-        group = Window.partitionBy("_by")
-        rank = F.row_number().over(group.orderBy(*ORDER))
-        share = rank.cast("double") / F.count(F.lit(1)).over(group)
+        ranks = ranked_within(rows.select("_by", *ORDER), "_by", *[F.col(c) for c in ORDER]).select("_place", "rank", "total")
+        share = F.col("rank").cast("double") / F.col("total")
         name = reduce(lambda e, c: e.when(share <= c[1], c[0]), list(cuts.items())[1:], F.when(share <= shares[0], names[0]))
-        return rows.withColumn(into, name.otherwise(rest)).drop("_by", *ORDER)
-    marked = _mark(rows, narrow, {g: [share_rank(s, n) for s in shares] for g, n in sizes.items()}, kind)
+        return rows.join(ranks.select("_place", name.otherwise(rest).alias(into)), "_place").drop("_by", *ORDER)
+    marked = _mark(rows, {g: [share_rank(s, n) for s in shares] for g, n in sizes.items()}, kind)
     name = F.coalesce(F.get(F.lit(names), F.col("_cut")), F.lit(rest))
-    return marked.withColumn(into, name).drop("_by", *ORDER, "_bounds", "_cut")
+    return marked.withColumn(into, name).drop("_by", *ORDER, "_cut")
+
+
+Quotas = dict | Callable[[dict], dict]
 
 
 def take_quota(
     df: DataFrame,
     by: str,
-    quotas: dict,
+    quotas: Quotas,
     key: str,
     kind: str = "xxhash64",
     seed: int | None = None,
@@ -190,33 +205,33 @@ def take_quota(
     """Exactly ``quotas[group]`` rows of each group (all of a smaller one), in hash order.
 
     Rows that share a key are taken in the order of ``tie`` and then of the whole row, so a
-    quota is exact at any size, however often a key repeats. None names the null group.
+    quota is exact at any size, however often a key repeats. None names the null group. ``quotas``
+    may be a function of the groups' sizes, so that counting them needs no pass of its own.
     """
-    known = [g for g in quotas if g is not None]
-    wanted = F.col(by).isin(known) if known else F.lit(False)
-    wanted = F.coalesce(wanted, F.lit(False)) | F.col(by).isNull() if None in quotas else wanted
-    rows = _with_order(df.filter(wanted), by, key, tie, kind, seed)
-    narrow = _narrow(rows, "quota")
-    spark = df.sparkSession
-    names = spark.createDataFrame([(g,) for g in quotas], f"g {df.schema[by].dataType.simpleString()}").select("g", _group_key(F.col("g")).alias("_by"))
-    key_of = {r["g"]: r["_by"] for r in names.collect()}  # a row per quota
-    sizes = {r["_by"]: r["n"] for r in narrow.groupBy("_by").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ranks = {key_of[g]: [min(q, sizes[key_of[g]])] for g, q in quotas.items() if key_of[g] in sizes}
-    return _mark(rows, narrow, ranks, kind).filter(F.col("_cut") == 0).drop("_by", *ORDER, "_bounds", "_cut")
+    if not callable(quotas):
+        known = [g for g in quotas if g is not None]
+        wanted = F.col(by).isin(known) if known else F.lit(False)
+        df = df.filter(F.coalesce(wanted, F.lit(False)) | F.col(by).isNull() if None in quotas else wanted)
+    rows = _ordered(df, by, key, tie, kind, seed, "quota")
+    found = rows.groupBy(F.col(by).alias("g"), "_by").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per group
+    sizes = {r["g"]: r["n"] for r in found}
+    chosen = quotas(sizes) if callable(quotas) else quotas
+    ranks = {r["_by"]: [min(chosen[r["g"]], r["n"])] for r in found if r["g"] in chosen}
+    return _mark(rows, ranks, kind).filter(F.col("_cut") == 0).drop("_by", *ORDER, "_cut")
 
 
 def balanced_sample(
     df: DataFrame, by: str, n: int, groups: list, key: str, kind: str = "xxhash64", seed: int = 42, tie: str | None = None
 ) -> DataFrame:
     """``n`` rows of every group, shuffled; an error names groups that hold fewer."""
-    sizes = {
-        r[0]: r[1]
-        for r in df.filter(F.col(by).isin(groups)).groupBy(by).agg(F.count(F.lit(1))).collect()
-    }
-    short = {g: sizes.get(g, 0) for g in groups if sizes.get(g, 0) < n}
-    if short:
-        raise ValueError(f"not enough rows for a balanced sample of {n}: {short}")
-    return shuffle(take_quota(df, by, {g: n for g in groups}, key, kind, seed, tie), key, kind, seed + 1)
+
+    def quotas(sizes: dict) -> dict:
+        short = {g: sizes.get(g, 0) for g in groups if sizes.get(g, 0) < n}
+        if short:
+            raise ValueError(f"not enough rows for a balanced sample of {n}: {short}")
+        return {g: n for g in groups}
+
+    return shuffle(take_quota(df.filter(F.col(by).isin(groups)), by, quotas, key, kind, seed, tie), key, kind, seed + 1)
 
 
 def shuffle(df: DataFrame, key: str, kind: str = "xxhash64", seed: int = 42) -> DataFrame:
@@ -271,9 +286,7 @@ def balance_train(
     df: DataFrame, label: str = "label", key: str = "record_id", cap: int = 75_000, kind: str = "xxhash64", seed: int = 42
 ) -> DataFrame:
     """Equal rows of each class: the smallest class sets the number, up to ``cap``."""
-    sizes = {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
-    quota = min([*sizes.values(), cap])
-    return take_quota(df, label, {g: quota for g in sizes}, key, kind, seed)
+    return take_quota(df, label, lambda sizes: {g: min([*sizes.values(), cap]) for g in sizes}, key, kind, seed)
 
 
 def realistic_quotas(positives: int, negatives: int, share: float = 0.78, max_rows: int | None = 8_000) -> dict[int, int]:
@@ -297,8 +310,7 @@ def realistic_sample(
     seed: int = 42,
 ) -> DataFrame:
     """Holdout at a natural class balance instead of the training balance."""
-    sizes = {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
-    return take_quota(df, label, realistic_quotas(sizes.get(1, 0), sizes.get(0, 0), share, max_rows), key, kind, seed)
+    return take_quota(df, label, lambda sizes: realistic_quotas(sizes.get(1, 0), sizes.get(0, 0), share, max_rows), key, kind, seed)
 
 
 def pool_outside(df: DataFrame, by: str, fractions: dict, key: str, kind: str = "xxhash64", seed: int = 42) -> DataFrame:

@@ -81,13 +81,61 @@ def test_null_labels_are_a_class_like_any_other(spark, monkeypatch, groups):
     assert Counter(r["label"] for r in sampling.take_quota(rows, "label", {None: 30, 1: 20}, "k").collect()) == {None: 30, 1: 20}
 
 
-def test_split_stores_no_text(spark, monkeypatch):
-    stored = []
-    keep = sampling.stage
-    monkeypatch.setattr(sampling, "stage", lambda df, name: stored.extend(df.columns) or keep(df, name))
+def counted(spark, df):
+    """``df``, and a function that tells how often a row of it was made since it was last asked."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    made = [0]
+
+    def asked():
+        made[0], since = seen.value, seen.value - made[0]
+        return since
+
+    return df.mapInArrow(run, df.schema), asked
+
+
+def test_splits_and_quotas_evaluate_their_input_once(spark):
+    rows, asked = counted(spark, keyed(spark, 600, 2))
+    assert sampling.stratified_split(rows, "label", "record_id").count() == 600 and asked() == 600
+    assert sampling.take_quota(rows, "label", {0: 100, 1: 50}, "record_id").count() == 150 and asked() == 600
+    assert sampling.balance_train(rows, cap=120).count() == 240 and asked() == 600
+    assert sampling.realistic_sample(rows, 0.78, 100, key="record_id").count() == 100 and asked() == 600
+    assert sampling.balanced_sample(rows, "label", 20, [0, 1], "record_id").count() == 40 and asked() == 600
+    split = sampling.stratified_split(rows, "label", "record_id").filter("dataset_split = 'train'")
+    assert sampling.balance_train(split).count() == 480 and asked() == 600
+
+
+def test_search_for_cuts_reads_no_other_columns(spark, monkeypatch):
+    read = []
+    locate = sampling._locate
+    monkeypatch.setattr(sampling, "_locate", lambda rows, *rest: read.extend(rows.columns) or locate(rows, *rest))
     rows = keyed(spark, 50).withColumn("clean_text", F.lit("long text"))
     assert sampling.stratified_split(rows, "label", "record_id", tie="clean_text").count() == 50
-    assert set(stored) == {"_by", "_order", "_tie"}
+    assert set(read) <= {"_by", *sampling.ORDER}
+
+
+@pytest.mark.parametrize("quota", [100, 333, 999])
+def test_rows_with_times_maps_and_repeats_give_exact_quotas(spark, quota):
+    rows = spark.range(3000).select(
+        (F.col("id") % 7).cast("string").alias("k"), (F.col("id") % 3).cast("int").alias("label"), F.current_timestamp().alias("at"), F.rand().alias("noise"),
+        F.create_map(F.lit("m"), F.col("id")).alias("m"), F.array(F.create_map(F.lit(1), F.lit(2))).alias("deep"), F.parse_json(F.lit("[1]")).alias("v"), F.lit(None).cast("string").alias("odd.name"),
+    )
+    found = sampling.take_quota(rows, "label", {0: quota, 2: 5}, "k")
+    assert found.columns == rows.columns and Counter(r["label"] for r in found.collect()) == {0: quota, 2: 5}
+    shares = Counter((r["label"], r["dataset_split"]) for r in sampling.stratified_split(rows, "label", "k").collect())
+    assert shares == {(g, p): n for g in range(3) for p, n in (("train", 800), ("validation", 100), ("test", 100))}
+
+
+def test_equal_rows_are_cut_without_meeting_in_a_task(spark):
+    rows = spark.range(900).select(F.lit("same").alias("k"), F.lit(1).alias("label"))
+    split = sampling.stratified_split(rows, "label", "k")
+    assert Counter(r["dataset_split"] for r in split.collect()) == {"train": 720, "validation": 90, "test": 90}
+    assert "Window" not in split._jdf.queryExecution().executedPlan().toString()
 
 
 def test_pool_is_what_the_sample_leaves(spark):
