@@ -6,8 +6,9 @@ count. ``xxhash64`` is the default; the hex digests exist in every SQL engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SEPARATOR = "||"
 
@@ -65,3 +66,19 @@ def text_key(text: Column) -> list[Column]:
 def text_digest(text: Column) -> Column:
     """32 bytes that stand for a whole text in distinct counts."""
     return F.unhex(F.sha2(text, 256))
+
+
+def _unhashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_unhashable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _unhashable(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a whole row, by column names and not by their order; maps and variants by their JSON,
+    as Spark hashes neither."""
+    fields = sorted(df.schema, key=lambda f: f.name)
+    named = {f.name: F.col("`" + f.name.replace("`", "``") + "`") for f in fields}
+    return F.xxhash64(*[F.to_json(F.struct(named[f.name])) if _unhashable(f.dataType) else named[f.name] for f in fields])

@@ -18,9 +18,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from palate.functions.keys import hash_below, order_bucket, order_hash
+from palate.functions.keys import hash_below, order_bucket, order_hash, row_hash
 from palate.operators.dedup import first_per_group
 from palate.operators.ranks import ranked_within
 from palate.sources.staging import checked_broadcast, stage
@@ -39,19 +38,6 @@ def _group_key(value: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("null"))
 
 
-def _unhashable(kind: T.DataType) -> bool:
-    if isinstance(kind, T.StructType):
-        return any(_unhashable(f.dataType) for f in kind.fields)
-    if isinstance(kind, T.ArrayType):
-        return _unhashable(kind.elementType)
-    return isinstance(kind, (T.MapType, T.VariantType))
-
-
-def _row_hash(df: DataFrame) -> Column:
-    """Hash of a whole row; maps and variants by their JSON, as Spark hashes neither."""
-    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if _unhashable(f.dataType) else F.col(f"`{f.name}`") for f in df.schema])
-
-
 def _ordered(df: DataFrame, by: str, key: str, tie: str | None, kind: str, seed: int | None, name: str) -> DataFrame:
     """The rows with group and order, stored."""
     rows = df.withColumns(
@@ -59,7 +45,7 @@ def _ordered(df: DataFrame, by: str, key: str, tie: str | None, kind: str, seed:
             "_by": _group_key(F.col(by)) if by else F.lit("="),
             "_order": order_hash(F.col(key), kind=kind, seed=seed),
             "_tie": F.xxhash64(F.col(tie or key)),
-            "_row": _row_hash(df),
+            "_row": row_hash(df),
             "_place": F.xxhash64(F.monotonically_increasing_id()),
         }
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from palate.functions import labels
 from palate.functions.polarity import PolarityRules
 from palate.operators import aspects
-from palate.sources.staging import stage
+from palate.sources.staging import scope, stage
 from palate.sources.tables import write_metrics, write_report
 
 
@@ -127,6 +127,12 @@ def insights(reviews: DataFrame, lexicon: aspects.Lexicon, rules: PolarityRules,
     return Insights(aspect_coverage(long), ranking, aspect_trend(long), worst_trends(long), product_breakdown(long, list(lexicon)), headlines(ranking))
 
 
+def run_insights(reviews: DataFrame, path: str, lexicon: aspects.Lexicon, rules: PolarityRules, text: str = "review_text_clean") -> None:
+    """Score the reviews and store every report below ``path``; what was staged is deleted."""
+    with scope(reviews.sparkSession):
+        write_insights(insights(reviews, lexicon, rules, text), path)
+
+
 def write_insights(found: Insights, path: str) -> None:
     """One CSV report per table, and the headlines as JSON."""
     for name in ("coverage", "ranking", "trend", "worst", "products"):

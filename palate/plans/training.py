@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from palate.functions.polarity import PolarityRules
 from palate.operators import aspects, metrics, models, quality, sampling, topics
 from palate.operators.features import TermRules
-from palate.sources.staging import stage
+from palate.sources.staging import scope, stage
 from palate.sources.tables import write_layer, write_metrics, write_report
 
 # Rows that models are fitted on, at most. Measures and predictions use all rows.
@@ -32,6 +32,18 @@ class SentimentRun:
     errors: DataFrame
 
 
+def run_sentiment(model_input: DataFrame, path: str, **options) -> None:
+    """Train, measure and store below ``path``; what was staged on the way is deleted."""
+    with scope(model_input.sparkSession):
+        write_sentiment_run(train_sentiment(model_input, **options), path)
+
+
+def run_aspects(sentences: DataFrame, path: str, lexicon: aspects.Lexicon, polarity: PolarityRules, **options) -> None:
+    """Fit, measure and apply the detector, store all below ``path``; what was staged is deleted."""
+    with scope(sentences.sparkSession):
+        write_aspect_run(aspect_layer(sentences, lexicon, polarity, **options), path)
+
+
 def write_sentiment_run(run: SentimentRun, path: str) -> None:
     """The artifact and every report of a run below ``path``."""
     models.save_model(run.model, f"{path}/model")

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,12 +44,22 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete the tables staged so far, once no result needs them any more."""
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end: write or collect every result before that."""
+    start = len(_staged)
+    try:
+        yield
+    finally:
+        drop_staged(spark, start)
+
+
+def drop_staged(spark: SparkSession, start: int = 0) -> int:
+    """Delete the tables staged so far (from the ``start``-th), once no result needs them any more."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     settings = spark.sparkContext._jsc.hadoopConfiguration()
     dropped = 0
-    while _staged:
+    while len(_staged) > start:
         path = hadoop(_staged.pop())
         dropped += path.getFileSystem(settings).delete(path, True)
     return dropped

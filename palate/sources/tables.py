@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from palate.sources.publish import located, publish
 from palate.sources.staging import spread
 
 # Columns of a raw review file, in file order.
@@ -48,44 +49,36 @@ def read_raw(spark: SparkSession, path: str, infer: bool = False, corrupt_column
 
 
 def read_layer(spark: SparkSession, path: str, columns: Iterable[str] = ()) -> DataFrame:
-    """A Parquet layer; ``columns`` is the contract the caller relies on."""
-    return require_columns(spark.read.parquet(path), columns, path)
+    """A Parquet layer, or its published version; ``columns`` is the contract the caller relies on."""
+    return require_columns(spark.read.parquet(located(spark, path)), columns, path)
 
 
 def read_columns(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """The named columns of every Parquet file at any depth below ``path``."""
-    files = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.parquet").parquet(path)
+    files = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.parquet").parquet(located(spark, path))
     return require_columns(files, columns, path).select(*columns)
 
 
 def read_splits(spark: SparkSession, path: str, *splits: str) -> DataFrame:
     """A table partitioned by ``dataset_split``; other splits' folders are not listed."""
-    table = require_columns(spark.read.parquet(path), ["dataset_split"], path)
+    table = require_columns(spark.read.parquet(located(spark, path)), ["dataset_split"], path)
     return table.filter(F.col("dataset_split").isin(*splits)) if splits else table
 
 
 def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """A plain folder of files that replaces what stood there; see :func:`verified_write` for layers
+    that others read."""
     writer = df.write.mode("overwrite").option("compression", "snappy")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def verified_write(
-    df: DataFrame, path: str, partition_by: list[str] | None = None, expect: int | None = None
+    df: DataFrame, path: str, partition_by: list[str] | None = None, expect: int | None = None, rules: Mapping[str, Column] | None = None
 ) -> int:
-    """Write a layer and prove it: not empty, as many rows read back as were written, and
-    as many as ``expect`` where given. The rows are counted while they are written, so the
-    plan runs once; the read-back count touches file footers only."""
-    seen = Observation()
-    write_layer(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
-    written = seen.get["rows"]
-    stored = df.sparkSession.read.schema(df.schema).parquet(path).count()
-    if written == 0:
-        raise ValueError(f"nothing to write to {path}")
-    if stored != written:
-        raise ValueError(f"{path}: wrote {written} rows, read back {stored}")
-    if expect is not None and stored != expect:
-        raise ValueError(f"{path}: expected {expect} rows, got {stored}")
-    return stored
+    """Publish a layer and prove it: not empty, the same rows and values read back as were written, as
+    many as ``expect`` and all within ``rules`` where these are given. The plan runs once. Until all of
+    that holds, readers see the former layer; a write that fails leaves it as it was."""
+    return publish(df, path, partition_by, expect, rules).rows
 
 
 def write_report(df: DataFrame, path: str) -> None:
