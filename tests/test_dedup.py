@@ -1,0 +1,67 @@
+"""Dedup by text: the same rows on every path, and no text where keys are compared."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from palate.operators import dedup
+from palate.plans import layers
+
+
+def rows(spark):
+    rnd = random.Random(2)
+    made = []
+    for i in range(900):
+        text = "hot text" if i % 3 == 0 else None if i % 11 == 0 else f"text {rnd.randint(0, 150)}"
+        made.append((i, text, rnd.choice(["u", "v", None]), rnd.randint(0, 9), "x" * 50))
+    return made, spark.createDataFrame(made, "id long, t string, u string, votes int, _place_of string").repartition(6)
+
+
+def expected(made, keys, order):
+    best = {}
+    for r in made:
+        k = keys(r)
+        if k not in best or order(r) < order(best[k]):
+            best[k] = r
+    return sorted(r[0] for r in best.values())
+
+
+@pytest.mark.parametrize("most", [10_000, 850, 700, 0])
+def test_every_path_keeps_the_same_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(dedup, "MAX_BROADCAST_ROWS", most)
+    made, df = rows(spark)
+    found = dedup.first_per_text(df, "t", ["u"], [F.col("id")])
+    assert found.columns == df.columns
+    assert sorted(r["id"] for r in found.collect()) == expected(made, lambda r: (r[1], r[2]), lambda r: r[0])
+    by_votes = dedup.first_per_text(df, "t", [], [-F.col("votes"), F.col("id")])
+    assert sorted(r["id"] for r in by_votes.collect()) == expected(made, lambda r: r[1], lambda r: (-r[3], r[0]))
+
+
+def test_repeated_rows_leave_one(spark):
+    df = spark.createDataFrame([(1, "t", None)] * 40 + [(1, "t", "u")] * 3, "id long, t string, u string").repartition(5)
+    assert dedup.first_per_text(df, "t", ["u"], [F.col("id")]).count() == 2
+    assert dedup.first_per_text(df.limit(0), "t", ["u"], [F.col("id")]).count() == 0
+
+
+def test_no_text_is_shuffled_to_find_the_first(spark):
+    _, df = rows(spark)
+    found = dedup.first_per_text(df, "t", ["u"], [F.col("id")])
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    tree = plan.split("== Initial Plan ==")[0]
+    # under the exchange stand the digest, the keys and the number; the text is in the stored rows' own scan
+    window = tree[tree.index("Window") :]
+    assert "Exchange hashpartitioning(_text" in window
+    produced = window[: window.index("Scan parquet")]
+    assert " t#" not in produced.split("Project [")[0] and "_place_of" not in produced
+
+
+def test_layers_dedup_without_moving_texts(spark):
+    made = [(str(i % 40), "p", "u", "n", "1", "2", "5", "100", "s", f"same text {i % 40}") for i in range(120)]
+    names = ["Id", "ProductId", "UserId", "ProfileName", "HelpfulnessNumerator", "HelpfulnessDenominator", "Score", "Time", "Summary", "Text"]
+    raw = spark.createDataFrame(made, names)
+    silver = layers.to_silver(layers.to_bronze(raw, F.lit("f")))
+    assert silver.count() == 40 and layers.binary_reviews(silver).count() == 40
