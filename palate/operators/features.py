@@ -29,6 +29,11 @@ from palate.sources.staging import stage
 MAX_BROADCAST_TERMS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20
 
+#: Hash buckets of terms, whose counts the driver holds (a multiple of 64), and the documents from which
+#: n-grams are counted in buckets first: it pays once a task sees many more n-grams than buckets.
+BUCKETS = 1 << 18
+PRUNE_FROM = 2_000_000
+
 #: Rows whose terms a task looks up at a time.
 LOOKUP_ROWS = 512
 
@@ -79,12 +84,21 @@ def document_frequencies(docs: DataFrame, text: str, rules: TermRules) -> DataFr
     counted by document: each task sends one partial row per term it saw.
     """
 
+    return counted_terms(marked_terms(docs, text, rules))
+
+
+def marked_terms(docs: DataFrame, text: str, rules: TermRules) -> DataFrame:
+    """``(term, df)``: every occurrence of a term, the first of a document with df 1, the others 0."""
+
     def marks(ts: Column) -> Column:
         first = lambda t, i: F.when(F.get(ts, i - 1) == t, 0).otherwise(1)
         return F.transform(ts, lambda t, i: F.struct(t.alias("term"), first(t, i).alias("df")))
 
-    marked = tx.let(F.sort_array(rules.terms(F.col(text))), marks)
-    return docs.select(F.inline(marked)).groupBy("term").agg(F.sum("df").alias("df"), F.count(F.lit(1)).alias("cf"))
+    return docs.select(F.inline(tx.let(F.sort_array(rules.terms(F.col(text))), marks)))
+
+
+def counted_terms(marked: DataFrame) -> DataFrame:
+    return marked.groupBy("term").agg(F.sum("df").alias("df"), F.count(F.lit(1)).alias("cf"))
 
 
 def _as_documents(bound: float, n_docs: int) -> float:
@@ -92,11 +106,45 @@ def _as_documents(bound: float, n_docs: int) -> float:
     return bound * n_docs if isinstance(bound, float) else bound
 
 
+def frequent_terms(docs: DataFrame, text: str, rules: TermRules, least_df: float, most_df: float, buckets: int = BUCKETS) -> DataFrame:
+    """``(term, df, cf)`` of all terms that may be among the ``max_features`` most frequent ones within
+    the document bounds, and of few others. Exact: what is left out can't be among them.
+
+    A first pass counts hash buckets of terms: a bucket's counts bound those of each of its terms from
+    above. The terms of the largest buckets are then counted; the ``max_features``-th of them bounds from
+    below what a term needs, and only other buckets that reach this are counted too. So bucket counts
+    and few terms are shuffled, not every n-gram that a task sees.
+    """
+    marked = marked_terms(docs, text, rules)
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+    sums = marked.groupBy(bucket.alias("b")).agg(F.sum("df").alias("df"), F.count(F.lit(1)).alias("cf")).toArrow()  # a row per bucket
+    b, df, cf = (sums.column(c).to_numpy() for c in ("b", "df", "cf"))
+    b, df, cf = (x[df >= least_df] for x in (b, df, cf))
+    order = np.lexsort((b, -cf))
+    b, cf = b[order], cf[order]
+
+    def counted(chosen: np.ndarray) -> DataFrame:
+        """Exact counts of the terms of these buckets."""
+        bits = np.zeros(buckets, np.uint8)
+        bits[chosen] = 1
+        words = np.packbits(bits, bitorder="little").view(np.int64)
+        mask = F.expr(f"array({', '.join(f'{w}L' if w != -(2**63) else 'bigint(-9223372036854775808)' for w in words.tolist())})")
+        known = F.getbit(F.element_at(mask, F.shiftright(bucket, 6) + 1), bucket.bitwiseAND(F.lit(63))) == 1
+        return counted_terms(marked.filter(known)).filter((F.col("df") >= least_df) & (F.col("df") <= most_df))
+
+    first = stage(counted(b[: 2 * rules.max_features]), "frequent")
+    nth = ranked(first, F.desc("cf"), F.col("term")).filter(F.col("rank") == rules.max_features).select("cf").collect()
+    rest = b[2 * rules.max_features :][cf[2 * rules.max_features :] >= (nth[0]["cf"] if nth else 0)]
+    return first.union(counted(rest)) if len(rest) else first
+
+
 def vocabulary(docs: DataFrame, text: str, n_docs: int, rules: TermRules) -> DataFrame:
     """Terms within the document bounds; the ``max_features`` most frequent, ties by term."""
-    kept = document_frequencies(docs, text, rules).filter(
-        (F.col("df") >= _as_documents(rules.min_df, n_docs)) & (F.col("df") <= _as_documents(rules.max_df, n_docs))
-    )
+    least, most = _as_documents(rules.min_df, n_docs), _as_documents(rules.max_df, n_docs)
+    if rules.max_features is not None and rules.high > 1 and n_docs >= PRUNE_FROM:
+        kept = frequent_terms(docs, text, rules, least, most)
+    else:
+        kept = document_frequencies(docs, text, rules).filter((F.col("df") >= least) & (F.col("df") <= most))
     if rules.max_features is None:
         return kept
     return ranked(kept, F.desc("cf"), F.col("term")).filter(F.col("rank") <= rules.max_features).drop("rank")
