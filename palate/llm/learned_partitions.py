@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palate.functions.keys import hash_below
 from palate.sources.staging import stage
 
 #: Rows the graph and the network are fitted on, at most.
@@ -221,16 +222,19 @@ def nearest(vectors: DataFrame, is_query: Column, wanted: int = 5, id_column: st
     """query_id, rank, vec_id, score of the ``wanted`` nearest rows found for every distinct id and
     vector that satisfies ``is_query`` (over the column ``id``). ``probes`` overrides the measured number."""
     rows = usable(vectors, id_column, vector_column)
-    total = rows.count()
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    total, distinct = rows.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64("id", "v"), 0.02)).first()
+    # a hash threshold first, so that about SAMPLE rows are sorted and sent; copies of a row count once
+    drawn = F.xxhash64("id", "v")
+    near = rows.filter(hash_below(drawn, min(1.0, 1.2 * SAMPLE / max(distinct, 1)), "xxhash64")).distinct()
+    sample = near.orderBy(drawn, "id").limit(SAMPLE).collect()
     spark = vectors.sparkSession
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     router = fit_router(unit(np.array([r["v"] for r in sample])), total, wanted)
     schema = "id long, v array<double>, parts array<int>"
-    homes = stage(rows.mapInArrow(_routed(router, 1), schema).select("id", "v", F.get("parts", F.lit(0)).alias("part")), "homes")
+    homes = stage(rows.mapInArrow(_routed(router, 1), schema).select("id", "v", F.get("parts", F.lit(0)).alias("part"), F.monotonically_increasing_id().alias("row")), "homes")
     sizes = homes.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))  # a row per part
-    held = homes.join(F.broadcast(sizes), "part").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    held = homes.join(F.broadcast(sizes), "part").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))  # by row: an id may stand often
     gathered = lambda *columns: F.sort_array(F.collect_list(F.struct(*columns)))
     blocks = held.groupBy("part", "block").agg(gathered("id", "v").alias("x"))  # about BLOCK rows
     blocks = blocks.select("part", "block", F.transform("x", lambda r: r["id"]).alias("ids"), F.flatten(F.transform("x", lambda r: r["v"])).alias("vectors"))

@@ -4,30 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palate.llm.ordered import running
 from palate.sources.staging import stage
 
-#: Rows that are ranked together, about.
-BUCKET_ROWS = 100_000
-
 
 def numbered(df: DataFrame, group: str, key: str, number: str, order: Sequence[str] = ()) -> DataFrame:
     """``df`` with ``number``: 0, 1, 2, … within each ``group``.
 
-    Rows are dealt to hash buckets of the key, ranked inside (group, bucket) by the key and
-    the columns ``order``, and shifted by the rows of the group's earlier buckets. The number of
-    buckets follows the row count. Null groups and keys count as values like any other. The
-    frame is staged once: pass narrow columns only.
+    Rows are numbered by a hash of the key, then the key, then the columns ``order``, in ranges that
+    cut through any group and any key, also one that most rows share. Null groups and keys count as
+    values like any other; rows equal in all of it are interchangeable. The frame is staged: pass
+    narrow columns only.
     """
-    rows = stage(df, "numbered")
-    buckets = max(1, -(-rows.count() // BUCKET_ROWS))
-    rows = rows.withColumn("_numbered_bucket", F.pmod(F.xxhash64(F.col(key), F.lit("order")), F.lit(buckets)))
-    counts = rows.groupBy(F.col(group).alias("_numbered_group"), F.col("_numbered_bucket").alias("_numbered_at")).agg(F.count(F.lit(1)).alias("_numbered_rows"))
-    earlier = Window.partitionBy("_numbered_group").orderBy("_numbered_at").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_numbered_group", "_numbered_at", F.coalesce(F.sum("_numbered_rows").over(earlier), F.lit(0)).alias("_numbered_before"))
-    inside = F.row_number().over(Window.partitionBy(group, "_numbered_bucket").orderBy(key, *order))
-    placed = rows.withColumn("_numbered_rank", inside)
-    placed = placed.join(offsets, F.col(group).eqNullSafe(F.col("_numbered_group")) & (F.col("_numbered_bucket") == F.col("_numbered_at")))
-    return placed.withColumn(number, F.col("_numbered_before") + F.col("_numbered_rank") - 1).drop("_numbered_bucket", "_numbered_before", "_numbered_rank", "_numbered_group", "_numbered_at")
+    rows = stage(df.withColumn("_numbered_row", F.monotonically_increasing_id()), "numbered")
+    by = [F.xxhash64(F.col(key), F.lit("order")), F.col(key), *[F.col(c) for c in order], F.col("_numbered_row")]
+    return running(rows, by, number, group=group).drop("_numbered_row")

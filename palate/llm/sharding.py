@@ -4,8 +4,8 @@ Every (key, shard) pair has a pseudo-random number u in (0, 1); a record goes to
 the largest ``-weight / ln(u)``. So a shard's share of the keys follows its weight, and a new
 shard takes records only into itself: for all other shards nothing changed.
 
-Only keys move: a record is numbered within its shard by a hash bucket and a rank inside the
-bucket, so no task ever sorts a whole shard. Rows with equal keys share a shard and get
+Only keys move: a record is numbered within its shard by ranges of a hash order, so no task ever
+sorts a whole shard, nor all rows of one key. Rows with equal keys share a shard and get
 neighbouring slots. A null key is a key like any other. A shard of weight 0 gets nothing; at
 least one weight must be positive. Columns of the input other than those named pass through.
 """
@@ -33,6 +33,6 @@ def shard_of(key: Column, weights: Sequence[float]) -> Column:
 
 
 def sharded(df: DataFrame, key: str, weights: Sequence[float], shard: str = "shard", slot: str = "slot", order: Sequence[str] = ()) -> DataFrame:
-    """``df`` with its shard and a gapless number from 0 within the shard (order: bucket, then
-    key, then the columns ``order``). The frame is staged once; name narrow columns only."""
+    """``df`` with its shard and a gapless number from 0 within the shard (order: hash of the
+    key, then the key, then the columns ``order``). The frame is staged once; name narrow columns only."""
     return numbered(df.withColumn(shard, shard_of(F.col(key), weights)), shard, key, slot, order)

@@ -140,7 +140,6 @@ def test_repeats_keep_spacing_and_need_two_documents(spark):
 
 
 def test_numbers_are_gapless(spark, monkeypatch):
-    monkeypatch.setattr(numbering, "BUCKET_ROWS", 7)
     rows = [(i % 3 if i % 11 else None, i // 2 if i % 13 else None) for i in range(200)]
     got = collections.defaultdict(list)
     for r in numbering.numbered(spark.createDataFrame(rows, "g int, k long"), "g", "k", "n").collect():
