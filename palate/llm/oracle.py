@@ -110,3 +110,42 @@ over AS (
 SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified
 FROM top_climb_{_SOURCES - 1} JOIN (SELECT h FROM top_{_SOURCES}) ON true
 """
+
+# Words as text: a run of words joined by one space is told from every other run, as words hold none.
+ORACLE["op6_near_duplicates"] = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words),
+shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+linked AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT DISTINCT a AS doc_id, a AS other FROM linked
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN linked l ON r.other = l.a),
+components AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept
+FROM sets LEFT JOIN components USING (doc_id)
+"""
+
+ORACLE["op7_repeated_passages"] = r"""
+WITH words AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS passage
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words WHERE len(w) >= 13)),
+firsts AS (SELECT passage, min(doc_id) AS first FROM windows GROUP BY passage),
+covered AS (
+  SELECT DISTINCT doc_id, i + j AS at_word
+  FROM windows JOIN firsts USING (passage), range(13) AS r(j)
+  WHERE first < doc_id),
+gone AS (SELECT doc_id, list(at_word) AS places FROM covered GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN places IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id)
+"""
