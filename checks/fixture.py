@@ -28,6 +28,9 @@ POLARITY = PolarityRules(
 )
 
 
+STOP_WORDS = ["the", "of", "and", "that"]
+
+
 def long_lists() -> dict[str, list[str]]:
     """Some 35,000 phrases: all of three letters, and each after the word "of"."""
     three = [a + b + c for a in string.ascii_lowercase for b in string.ascii_lowercase for c in string.ascii_lowercase]

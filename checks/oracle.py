@@ -636,3 +636,38 @@ sql("error_review", "scores", """
 sql("quota_with_times", "reviews", """
     SELECT Score, least(n, q) AS taken, least(n, q) AS with_time
     FROM (SELECT Score, count(*) AS n FROM reviews GROUP BY Score) JOIN (VALUES ('1', 30), ('4', 77), ('x', 5)) w(Score, q) USING (Score)""")
+
+
+def murmur3(text: str) -> str:
+    """Murmur3 (32 bits, seed 42) of a text in UTF-8, as an unsigned number."""
+    bits = "4294967295"
+    turn = lambda x, n: f"((({x}) << {n}) & {bits} | (({x}) >> {32 - n}))"
+    times = lambda x, c: f"((({x}) * {c}::UBIGINT) & {bits})"
+    mixed = lambda k: times(turn(times(k, 3432918353), 15), 461845907)
+    byte = lambda at: f"CAST(('0x' || substr(hx, {at}, 2)) AS UBIGINT)"
+    block = " | ".join(f"({byte(f'8 * i + {2 * j + 1}')} << {8 * j})" for j in range(4))
+    step = f"({times(turn('xor(h, k)', 13), 5)} + 3864292196::UBIGINT) & {bits}"
+    blocks = f"[42::UBIGINT] || list_transform(range(n // 4), lambda i: {mixed(f'({block})')})"
+    body = f"list_reduce({blocks}, lambda h, k: {step})"
+    tail = " | ".join(f"CASE WHEN n % 4 > {j} THEN {byte(f'8 * (n // 4) + {2 * j + 1}')} << {8 * j} ELSE 0::UBIGINT END" for j in range(3))
+    final = lambda h: f"xor({h}, ({h}) >> 16)"
+    return f"""(SELECT xor(h5, h5 >> 16) FROM (SELECT {times('xor(h4, h4 >> 13)', 3266489909)} AS h5 FROM (
+      SELECT {times('xor(h3, h3 >> 16)', 2246822507)} AS h4 FROM (
+      SELECT xor(xor(h1, {mixed('t')}), n::UBIGINT) AS h3 FROM (SELECT n, {body} AS h1, ({tail}) AS t FROM (
+      SELECT lower(hex(encode({text}))) AS hx, strlen({text}) AS n))))))"""
+
+
+_STOP = ", ".join(repr(w) for w in fixture.STOP_WORDS)
+sql("hashed_tf", "research", f"""
+    SELECT row_id, coalesce(string_agg(bucket || ':' || n, ' ' ORDER BY bucket), '') AS tf
+    FROM research LEFT JOIN (
+      SELECT row_id, bucket, count(*) AS n
+      FROM (SELECT row_id, unnest(list_filter(regexp_split_to_array(lower(clean_text), '\\s+'), lambda t: length(t) >= 2 AND t NOT IN ({_STOP}))) AS token FROM research)
+      JOIN (SELECT token, {murmur3('token')} % 65536 AS bucket
+            FROM (SELECT DISTINCT unnest(regexp_split_to_array(lower(clean_text), '\\s+')) AS token FROM research) WHERE length(token) >= 2) USING (token)
+      GROUP BY row_id, bucket) USING (row_id)
+    GROUP BY row_id""")
+ASPECT_ROWS = ", ".join(f"({a!r})" for a in ASPECTS)
+sql("detector_recomputed", "sentences", f"SELECT aspect, count(*) AS scored, count(*) AS agreeing FROM sentences, (VALUES {ASPECT_ROWS}) a(aspect) GROUP BY aspect")
+sql("detector_fit_is_stationary", "labelled", " UNION ALL ".join(
+    f"SELECT '{a}' AS aspect, count(*) AS n, CAST(sum(weak_{a}) AS BIGINT) AS positives, true AS stationary FROM labelled WHERE development_split = 'train'" for a in ASPECTS))

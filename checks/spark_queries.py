@@ -583,7 +583,9 @@ def _research(spark, d) -> DataFrame:
 
 @query
 def hashed_tf(spark, d):
-    return models.hashed_tf(research.research_clean(fx.reviews(spark, d))).select("row_id", F.col("tf").cast("string").alias("tf"))
+    found = models.hashed_tf(research.research_clean(fx.reviews(spark, d)), fx.STOP_WORDS).select("row_id", F.unwrap_udt("tf").alias("v"))
+    pairs = F.zip_with("v.indices", F.transform("v.values", lambda x: x.cast("int")), lambda i, n: F.concat_ws(":", i, n))
+    return found.select("row_id", F.array_join(pairs, " ").alias("tf"))
 
 
 @query
@@ -796,3 +798,43 @@ def quota_with_times(spark, d):
     rows = fx.reviews(spark, d).select("Score", "UserId", F.current_timestamp().alias("seen_at"), F.create_map(F.lit("votes"), F.col("HelpfulnessNumerator")).alias("more"))
     taken = sampling.take_quota(rows, "Score", {"1": 30, "4": 77, "x": 5}, "UserId", kind="md5")
     return taken.groupBy("Score").agg(F.count(F.lit(1)).alias("taken"), F.count("seen_at").alias("with_time"))
+
+
+def _stored_detector(spark, d) -> tuple[models.AspectModel, DataFrame]:
+    """The detector as loaded from storage, and its stored numbers as (aspect, intercept, id, w)."""
+    path = staging_path(spark, "detector")
+    _aspect_layer(spark, d).model.save(path)
+    stored = spark.read.parquet(f"{path}/aspects")
+    return models.AspectModel.load(spark, path), stored.select("aspect", "intercept", F.posexplode("weights").alias("id", "w"))
+
+
+@query
+def detector_recomputed(spark, d):
+    """Probabilities of the loaded detector against the sums of term weights times stored weights."""
+    model, stored = _stored_detector(spark, d)
+    rows = stage(fx.sentences(spark, d).select("sentence_id", "sentence_text"), "sentences")
+    margins = model.features.weights(rows, "sentence_id", "sentence_text").join(stored, "id").groupBy(F.col("doc").alias("sentence_id"), "aspect").agg(F.sum(F.col("weight") * F.col("w")).alias("m"))
+    found = model.probabilities(rows, "sentence_text", ["sentence_id"]).select("sentence_id", F.inline("detected"))
+    both = found.join(margins, ["sentence_id", "aspect"], "left").join(stored.select("aspect", "intercept").distinct(), "aspect")
+    plain = 1 / (1 + F.exp(-(F.coalesce("m", F.lit(0.0)) + F.col("intercept"))))
+    return both.groupBy("aspect").agg(F.count(F.lit(1)).alias("scored"), F.count_if(F.abs(plain - F.col("probability")) < 1e-9).alias("agreeing"))
+
+
+@query
+def detector_fit_is_stationary(spark, d):
+    """At the fitted weights the gradient of every aspect's weighted loss and penalty is nought: the fit of
+    all aspects together is the fit of each."""
+    model, stored = _stored_detector(spark, d)
+    labelled = stage(sampling.group_split(_labelled(spark, d), kind="md5").filter("development_split = 'train'"), "labelled")
+    found = model.probabilities(labelled, "sentence_text", ["sentence_id", *[f"weak_{a}" for a in ASPECTS]])
+    y = F.array(*[F.col(f"weak_{a}") for a in ASPECTS])
+    long = stage(found.select("sentence_id", F.explode(F.arrays_zip(y.alias("y"), F.col("detected"))).alias("z")).select("sentence_id", "z.detected.aspect", "z.detected.probability", "z.y"), "outcomes")
+    sizes = long.groupBy("aspect").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positives"))
+    weight = F.when(F.col("y") == 1, F.col("n") / (2 * F.col("positives"))).otherwise(F.col("n") / (2 * (F.col("n") - F.col("positives"))))
+    residuals = long.join(F.broadcast(sizes), "aspect").select("sentence_id", "aspect", (weight * (F.col("probability") - F.col("y"))).alias("r"))
+    terms = model.features.weights(labelled, "sentence_id", "sentence_text")
+    sums = terms.join(residuals, F.col("doc") == F.col("sentence_id")).groupBy("aspect", "id").agg(F.sum(F.col("weight") * F.col("r")).alias("g"))
+    slopes = stored.join(sums, ["aspect", "id"], "left").select("aspect", (F.coalesce("g", F.lit(0.0)) + F.col("w")).alias("g"))
+    slopes = slopes.union(residuals.groupBy("aspect").agg(F.sum("r").alias("g")))
+    steepest = slopes.groupBy("aspect").agg(F.max(F.abs("g")).alias("g")).join(sizes, "aspect")
+    return steepest.select("aspect", "n", "positives", (F.col("g") <= 1.01 * models.LINEAR_TOLERANCE * F.col("n")).alias("stationary"))

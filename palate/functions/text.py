@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import sys
 import unicodedata
-from functools import reduce
+from functools import cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -155,15 +157,27 @@ def strip_accents(text: Column) -> Column:
 def strip_accents_any(text: Column) -> Column:
     """Compatibility decomposition without marks, for every script (Arrow batches)."""
 
+    marks = _marks()
+
     @F.pandas_udf(T.StringType())
     def fold(batch: pd.Series) -> pd.Series:
-        import unicodedata as u
-
-        return batch.map(
-            lambda s: None if s is None else "".join(c for c in u.normalize("NFKD", s) if not u.combining(c))
-        )
-
-    return fold(text)
+        return batch.str.normalize("NFKD").str.replace(marks, "", regex=True)
+
+    # texts of ASCII alone, most of all, stay as they are: only nulls are sent to Python for them
+    return F.when(text.rlike(r"[^\x00-\x7F]"), fold(F.when(text.rlike(r"[^\x00-\x7F]"), text))).otherwise(text)
+
+
+@cache
+def _marks() -> re.Pattern:
+    """Runs of combining characters."""
+    ranges: list[list[int]] = []
+    for code in range(0x300, sys.maxunicode + 1):
+        if unicodedata.combining(chr(code)):
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges) + "]+")
 
 
 def mentions(text: Column, terms: list[str]) -> Column:

@@ -55,18 +55,18 @@ _CLASSIFIER_MODELS = {
 }
 
 
-def hashing_stages(idf: bool = True) -> list:
-    """Blank tokens, English stop words out, hashed counts and, if asked, IDF."""
+def hashing_stages(idf: bool = True, stop_words: list[str] | None = None) -> list:
+    """Blank tokens, stop words out (English ones without a list), hashed counts and, if asked, IDF."""
     stages = [
         RegexTokenizer(inputCol="clean_text", outputCol="words", pattern="\\s+", minTokenLength=2),
-        StopWordsRemover(inputCol="words", outputCol="filtered"),
+        StopWordsRemover(inputCol="words", outputCol="filtered", **({"stopWords": stop_words} if stop_words else {})),
         HashingTF(inputCol="filtered", outputCol="tf", numFeatures=HASH_BUCKETS),
     ]
     return [*stages, IDF(inputCol="tf", outputCol="features")] if idf else stages
 
 
-def hashed_tf(df: DataFrame) -> DataFrame:
-    return PipelineModel(hashing_stages(idf=False)).transform(df)
+def hashed_tf(df: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
+    return PipelineModel(hashing_stages(idf=False, stop_words=stop_words)).transform(df)
 
 
 def research_pipelines() -> dict[str, Pipeline]:

@@ -142,3 +142,11 @@ def test_hash_order_is_kept_by_buckets_and_nested_by_fraction(spark, kind):
     assert [r["b"] for r in found] == sorted(r["b"] for r in found)
     assert all(r["more"] for r in found if r["some"]) and all(r["all"] for r in found) and not any(r["none"] for r in found)
     assert 500 < sum(r["some"] for r in found) < 700
+
+
+def test_strip_accents_of_any_script(spark):
+    texts = ["plain", "", None, "Ünï ﬁ ½", "Ελλάδα ή", "क्षि नी", "ㄱ 한", "é" * 3_000, "ạ́b"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.strip_accents_any(F.col("t")).alias("p")).collect()
+    for r in rows:
+        expected = None if r["t"] is None else "".join(c for c in unicodedata.normalize("NFKD", r["t"]) if not unicodedata.combining(c))
+        assert r["p"] == expected
