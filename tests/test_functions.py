@@ -1,16 +1,13 @@
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
-from palate import lexicons
 from palate.functions import keys, labels, text
-from palate.functions.polarity import polarity
 
 
 @pytest.mark.parametrize(
