@@ -38,7 +38,7 @@ RESEARCH_ITERATIONS, RESEARCH_PENALTY = 50, 0.01
 TOLERANCE = 1e-4
 
 #: Largest entry of the gradient at which the joint solver stops.
-LINEAR_TOLERANCE = 1e-5
+LINEAR_TOLERANCE = 1e-4
 
 #: Steps of the quasi-Newton solvers; each is one pass over the stored feature rows.
 MAX_STEPS = 100
