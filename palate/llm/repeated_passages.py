@@ -13,10 +13,12 @@ own text and the work grows with the corpus, not with shards times corpus:
    where equal ones become one, with the smallest doc_id as owner. Stretches of a name that is
    found more than ``HOT`` times are cut into single windows instead, which are aggregated to their
    owners before the shuffle and spread by their own words, so no name is gathered in one task.
-3. Each shard builds an FM-index (BWT in a wavelet matrix) over the word ids of its stretches and
-   streams them through it by backward search, vectorised over windows. The interval of a full
-   match gives the smallest owner of the window. Word ids are exact, so hashes decide nothing.
-4. Windows with an owner before the document itself give the word ranges to remove.
+3. Each shard builds an FM-index (BWT in a wavelet matrix) over the word ids of its distinct
+   stretches and streams each of them through it by backward search. Matching statistics come out:
+   for every word, the length of the longest match that starts there and that an earlier document
+   has, until no match can reach a window any more. Word ids are exact, so hashes decide nothing.
+4. Intervals whose match reaches a window, and stretches that an earlier document has as a whole,
+   give the word ranges to remove.
 
 Texts travel once, compressed, and only those of documents with a shared name are kept.
 
@@ -140,21 +142,24 @@ def _cut_out(window: int, hot: bool):
 _CUT = "doc_id long, sig int, name long, first int, words string"
 
 
-def _least_owners(texts: list[str], owner: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Windows per distinct text, and the smallest owner of each window in turn."""
+def _index(texts: list[str]) -> tuple[FmIndex, np.ndarray, np.ndarray]:
+    """The index over texts, with their word ids and the words of each."""
     split = [t.split(" ") for t in texts]
     ids: dict[str, int] = {}
     flat = np.array([ids.setdefault(w, len(ids) + 1) for words in split for w in words], np.int64)
     sizes = np.array([len(words) for words in split], np.int64)
-    index = FmIndex(flat, sizes)
-    windows = sizes - window + 1
-    begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    start = np.repeat(begin - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
-    found = np.zeros(len(start), np.int64)
-    for at in range(0, len(start), 1 << 16):
-        low, high = index.search(flat[start[at : at + (1 << 16), None] + np.arange(window)[None, :]])
+    return FmIndex(flat, sizes), flat, sizes
+
+
+def _least_owners(texts: list[str], owner: np.ndarray, window: int) -> np.ndarray:
+    """The smallest owner of each window, each a text of its own."""
+    index, flat, _ = _index(texts)
+    patterns = flat.reshape(-1, window)
+    found = np.zeros(len(patterns), np.int64)
+    for at in range(0, len(found), 1 << 16):
+        low, high = index.search(patterns[at : at + (1 << 16)])
         found[at : at + (1 << 16)] = index.least(low, high, owner)
-    return windows, found
+    return found
 
 
 def _searched(window: int):
@@ -167,12 +172,14 @@ def _searched(window: int):
         which = coded.indices.to_numpy()
         owner = np.full(len(coded.dictionary), np.iinfo(np.int64).max)
         np.minimum.at(owner, which, doc)
-        windows, found = _least_owners(coded.dictionary.to_pylist(), owner, window)
-        before = np.cumsum(windows) - windows
-        size = windows[which]
+        index, flat, sizes = _index(coded.dictionary.to_pylist())
+        lengths = index.matching(flat, sizes, owner, owner, window)
+        before = np.cumsum(sizes) - sizes
+        size = (sizes - window + 1)[which]
         row = np.repeat(np.arange(len(which)), size)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-        hit = found[before[which][row] + nth] < doc[row]
+        whole = (owner[which] < doc)[row]
+        hit = whole | (lengths[before[which][row] + nth] >= window)
         row, nth = row[hit], nth[hit]
         rows, counts = np.unique(row, return_counts=True)
         starts = lists((first[row] + nth).astype(np.int32), counts, pa.int32())
@@ -185,7 +192,7 @@ def _owned(window: int):
     """words, least: the smallest owner of distinct single windows."""
 
     def run(group: pa.Table) -> pa.Table:
-        _, found = _least_owners(group.column("words").to_pylist(), group.column("owner").to_numpy(), window)
+        found = _least_owners(group.column("words").to_pylist(), group.column("owner").to_numpy(), window)
         return pa.table({"words": group.column("words"), "least": pa.array(found)})
 
     return run

@@ -116,6 +116,30 @@ def test_bits_and_index_against_scanning():
             assert least == found[tuple(p)]
 
 
+@pytest.mark.parametrize("least", [1, 3, 6])
+def test_matching_statistics_against_scanning(least):
+    rnd = random.Random(least)
+    for _ in range(25):
+        segments = [[rnd.randint(1, rnd.choice([2, 4, 30])) for _ in range(rnd.randint(1, 24))] for _ in range(rnd.randint(1, 25))]
+        segments += [list(rnd.choice(segments)) for _ in range(3)]
+        flat, sizes = np.array(sum(segments, [])), np.array([len(s) for s in segments])
+        owner = np.array([rnd.randint(0, 20) for _ in segments])
+        before = np.array([rnd.randint(0, 21) for _ in segments])
+        got = FmIndex(flat, sizes).matching(flat, sizes, before, owner, least)
+        earlier = [[s for s, o in zip(segments, owner) if o < limit] for limit in before]
+
+        def longest(i, k):
+            runs = [segments[k][i : i + n] for n in range(len(segments[k]) - i + 1)]
+            held = lambda run: any(run == s[a : a + len(run)] for s in earlier[k] for a in range(len(s) - len(run) + 1))
+            return max((n for n, run in enumerate(runs) if n and held(run)), default=0)
+
+        expected = np.array([longest(i, k) for k, s in enumerate(segments) for i in range(len(s))])
+        assert (np.where(got >= least, got, 0) == np.where(expected >= least, expected, 0)).all()
+        if least == 1:
+            assert (got == expected).all()
+    assert len(FmIndex(np.zeros(0, np.int64), np.zeros(0, np.int64)).matching(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))) == 0
+
+
 @pytest.mark.parametrize(("hot", "shard"), [(20_000, 250_000), (1, 200)])
 def test_repeats_against_plain_python(spark, monkeypatch, hot, shard):
     monkeypatch.setattr(repeated_passages, "SHARD_WORDS", shard)
