@@ -11,8 +11,9 @@ own text and the work grows with the corpus, not with shards times corpus:
    the shuffle; one that only a single document has cannot match and goes no further.
 2. Stretches with shared names are cut out of their documents and go to the shard of their name,
    where equal ones become one, with the smallest doc_id as owner. Stretches of a name that is
-   found more than ``HOT`` times are cut into single windows instead, which are aggregated to their
-   owners before the shuffle and spread by their own words, so no name is gathered in one task.
+   found more than ``HOT`` times become one before the shuffle, and only what differs meets in the
+   shard. A name with more than ``HOT`` different stretches is never gathered: their windows, spread
+   by their own words, are aggregated to their owners instead, and no index is needed for those.
 3. Each shard builds an FM-index (BWT in a wavelet matrix) over the word ids of its distinct
    stretches and streams each of them through it by backward search. Matching statistics come out:
    for every word, the length of the longest match that starts there and that an earlier document
@@ -30,7 +31,7 @@ null doc_id takes no part and keeps its words; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -120,7 +121,7 @@ def _zipped(window: int):
 
 
 def _cut_out(window: int, hot: bool):
-    """The stretches of names that are not hot, or single windows of those that are."""
+    """The stretches of names that are not hot, or of those that are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -128,10 +129,9 @@ def _cut_out(window: int, hot: bool):
             for at in range(0, batch.num_rows, 128):
                 out: list[tuple] = []
                 for row in batch.slice(at, 128).to_pylist():
-                    words = _WORD.findall(unpack.decompress(row["packed"]).decode())
-                    for name, first, n in {(s["name"], s["first"], s["n"]) for s in row["stretches"] if s["hot"] == hot}:
-                        cuts = [(first + i, 1) for i in range(n)] if hot else [(first, n)]
-                        out += [(row["doc_id"], row["sig"], name, a, " ".join(words[a : a + k + window - 1])) for a, k in cuts]
+                    wanted = {(s["name"], s["first"], s["n"]) for s in row["stretches"] if s["hot"] == hot}
+                    words = _WORD.findall(unpack.decompress(row["packed"]).decode()) if wanted else []
+                    out += [(row["doc_id"], row["sig"], name, a, " ".join(words[a : a + n + window - 1])) for name, a, n in wanted]
                 columns = list(zip(*out)) if out else [[]] * 5
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "sig", "name", "first", "words"])
@@ -151,17 +151,6 @@ def _index(texts: list[str]) -> tuple[FmIndex, np.ndarray, np.ndarray]:
     return FmIndex(flat, sizes), flat, sizes
 
 
-def _least_owners(texts: list[str], owner: np.ndarray, window: int) -> np.ndarray:
-    """The smallest owner of each window, each a text of its own."""
-    index, flat, _ = _index(texts)
-    patterns = flat.reshape(-1, window)
-    found = np.zeros(len(patterns), np.int64)
-    for at in range(0, len(found), 1 << 16):
-        low, high = index.search(patterns[at : at + (1 << 16)])
-        found[at : at + (1 << 16)] = index.least(low, high, owner)
-    return found
-
-
 def _searched(window: int):
     """doc_id, sig, starts: first words of the windows that an earlier document of the shard has."""
 
@@ -189,15 +178,40 @@ def _searched(window: int):
 
 
 def _owned(window: int):
-    """words, least: the smallest owner of distinct single windows."""
+    """words, owner, at: the windows of distinct stretches that an earlier owner has, by position."""
 
     def run(group: pa.Table) -> pa.Table:
-        found = _least_owners(group.column("words").to_pylist(), group.column("owner").to_numpy(), window)
-        return pa.table({"words": group.column("words"), "least": pa.array(found)})
+        owner = group.column("owner").to_numpy()
+        index, flat, sizes = _index(group.column("words").to_pylist())
+        hit = index.matching(flat, sizes, owner, owner, window) >= window
+        begin = np.cumsum(sizes) - sizes
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        at = lists((np.arange(len(flat)) - begin[row])[hit].astype(np.int32), np.bincount(row[hit], minlength=len(sizes)), pa.int32())
+        return pa.table({"words": group.column("words"), "owner": group.column("owner"), "at": at})
 
     return run
 
 
+def hot_windows(rows: DataFrame, window: int, hot: int, shard: Callable[[str], Column]) -> DataFrame:
+    """doc_id, sig and starts of the repeated windows in stretches of hot names (doc_id, sig, name,
+    first, words)."""
+    rows = stage(rows, "hot")
+    distinct = stage(rows.groupBy("name", "words").agg(F.min("doc_id").alias("owner")), "distinct")
+    many = distinct.groupBy("name").agg((F.count(F.lit(1)) > hot).alias("many"))
+    kinds = distinct.join(many, "name")  # one row a different stretch
+    few = kinds.filter(~F.col("many")).select("words", "owner", shard("name").alias("shard"))
+    found = few.groupBy("shard").applyInArrow(_owned(window), "words string, owner long, at array<int>")
+    split = F.split("words", " ")
+    each = F.transform(F.sequence(F.lit(0), F.size(split) - window), lambda i: F.array_join(F.slice(split, i + 1, window), " "))
+    single = kinds.filter("many").select("words", "owner", F.posexplode(each).alias("i", "one"))
+    least = single.groupBy("one").agg(F.min("owner").alias("least"))
+    late = F.when(F.col("least") < F.col("owner"), F.col("i"))
+    found = found.union(single.join(least, "one").groupBy("words", "owner").agg(F.collect_list(late).alias("at")))
+    every = F.sequence(F.lit(0), F.size(split) - window)
+    at = F.when(F.col("owner") < F.col("doc_id"), every).otherwise(F.col("at"))
+    return rows.join(found, "words").select("doc_id", "sig", F.transform(at, lambda i: i + F.col("first")).alias("starts")).filter(F.size("starts") > 0)
+
+
 def repeated_windows(documents: DataFrame, window: int = WINDOW, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """The compressed texts of documents that may repeat something (doc_id, sig, packed), and per
     repeating document the first words of its repeated windows (doc_id, sig, starts)."""
@@ -214,11 +228,8 @@ def repeated_windows(documents: DataFrame, window: int = WINDOW, hot: int = HOT)
     pieces = texts.mapInArrow(_cut_out(window, False), _CUT).withColumn("shard", shard("name"))
     hits = pieces.groupBy("shard").applyInArrow(_searched(window), "doc_id long, sig int, starts array<int>")
     if about["hot"]:
-        single = stage(texts.mapInArrow(_cut_out(window, True), _CUT).select("doc_id", "sig", "first", "words"), "windows")
-        owner = single.groupBy("words").agg(F.min("doc_id").alias("owner")).withColumn("shard", shard("words"))
-        least = owner.groupBy("shard").applyInArrow(_owned(window), "words string, least long")
-        found = single.join(least, "words").filter(F.col("least") < F.col("doc_id"))
-        hits = hits.union(found.select("doc_id", "sig", F.array("first")))
+        with_hot = texts.filter(F.exists("stretches", lambda s: s["hot"]))
+        hits = hits.union(hot_windows(with_hot.mapInArrow(_cut_out(window, True), _CUT), window, hot, shard))
     hits = hits.groupBy("doc_id", "sig").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts"))
     return texts.select("doc_id", "sig", "packed"), hits
 
