@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Rows a collected side may hold before it is joined as a table instead of broadcast.
 MAX_BROADCAST_ROWS = 200_000
+#: Spark's setting that deletes the shuffle files of a query at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @lru_cache(maxsize=1)
@@ -69,11 +71,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write once, read many times.
 
     Lineage ends at the files, so a lost executor costs a re-read and not the whole plan,
-    and each later pass reads only the columns it needs.
+    and each later pass reads only the columns it needs. The shuffle files of the write go with it.
     """
-    path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
