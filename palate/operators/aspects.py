@@ -62,7 +62,9 @@ def aspect_list(flags: dict[str, Column]) -> Column:
 
 def sentence_aspects(df: DataFrame, column: str = "seed_aspects") -> DataFrame:
     """One row per sentence and aspect; sentences without an aspect have none."""
-    return df.select("*", F.explode(column).alias("aspect")).drop(column)
+    # a plain explode is given a filter on the list's size, which would search the text again for every list
+    listed = df.select("*", F.posexplode_outer(column).alias("_at", "aspect"))
+    return listed.filter(F.col("_at").isNotNull()).drop("_at", column)
 
 
 def weak_label_counts(labelled: DataFrame, aspects: list[str]) -> DataFrame:
