@@ -28,7 +28,7 @@ from palate.functions import labels
 from palate.functions.polarity import PolarityRules
 from palate.functions.polarity import polarity as polarity_of
 from palate.functions.text import review_sentences
-from palate.operators import linear, metrics
+from palate.operators import aspects, linear, metrics
 from palate.operators.features import TermRules, Tfidf, class_weights, fit_tfidf
 from palate.sources.staging import stage, staging_path
 
@@ -297,12 +297,16 @@ def fit_aspects(
 
 
 def predict_aspects(
-    model: AspectModel, df: DataFrame, keep: list[str], text: str = "sentence_text"
+    model: AspectModel, df: DataFrame, keep: list[str], text: str = "sentence_text", polarity: PolarityRules | None = None
 ) -> DataFrame:
-    """One row per sentence and aspect at or above the threshold."""
+    """One row per sentence and aspect at or above the threshold; with ``polarity`` (``text`` is among
+    ``keep`` then) also the sentence's polarity and its class, found once for all its aspects."""
     found = model.probabilities(df, text, keep)
+    added = []
+    if polarity is not None:
+        found, added = aspects.sentence_polarity(found, polarity, text), ["polarity", "polarity_class"]
     kept = F.filter("detected", lambda d: d["probability"] >= model.threshold)
-    return found.select(*keep, F.inline(kept)).withColumnRenamed("probability", "aspect_probability")
+    return found.select(*keep, F.inline(kept), *added).withColumnRenamed("probability", "aspect_probability")
 
 
 def aspect_outcomes(

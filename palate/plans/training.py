@@ -126,6 +126,13 @@ PREDICTION_CONTEXT = [
 ]
 
 
+def fit_sample(rows: DataFrame, key: str, max_rows: int) -> DataFrame:
+    """The rows a model is fitted on, chosen once, stored, and dealt to all cores: a capped sample ends
+    in one task, and every step of a fit would run there again."""
+    sample = sampling.hash_sample(rows, key, max_rows)
+    return stage(sample.repartition(rows.sparkSession.sparkContext.defaultParallelism, key), "fit_rows")
+
+
 def aspect_layer(
     sentences: DataFrame,
     lexicon: aspects.Lexicon,
@@ -146,7 +153,7 @@ def aspect_layer(
     def part(name: str) -> DataFrame:
         return labelled.filter(F.col("development_split") == name)
 
-    train = part("train") if max_rows is None else sampling.hash_sample(part("train"), "sentence_id", max_rows)
+    train = part("train") if max_rows is None else fit_sample(part("train"), "sentence_id", max_rows)
     model = models.fit_aspects(train, names, rules=rules)
     report = []
     for name in ("validation", "test"):
@@ -154,8 +161,7 @@ def aspect_layer(
         report += [(name, k, float(v)) for k, v in metrics.multilabel_metrics(outcomes).first().asDict().items()]
         for r in metrics.aspect_report(outcomes).collect():  # one row per aspect
             report += [(name, f"{r['aspect']} {k}", float(r[k])) for k in ("precision", "recall", "f1", "support")]
-    predictions = models.predict_aspects(model, labelled, PREDICTION_CONTEXT)
-    scored = stage(aspects.sentence_polarity(predictions, polarity), "predictions")
+    scored = stage(models.predict_aspects(model, labelled, PREDICTION_CONTEXT, polarity=polarity), "predictions")
     found = topics.map_topics(topics.fit_topics(known, "sentence_text", topic_rules), lexicon) if topic_rules else None
     schema = "part string, measure string, value double"
     table = labelled.sparkSession.createDataFrame(report, schema)
