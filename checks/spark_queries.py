@@ -714,11 +714,18 @@ def aspect_layer_support(spark, d):
 def predicted_sentences(spark, d):
     """Predictions name known sentences and aspects and stay within their ranges."""
     rows = _aspect_layer(spark, d).predictions
-    known = rows.join(fx.sentences(spark, d).select("sentence_id", F.lit(True).alias("known")), "sentence_id", "left")
+    # a sentence's predictions stand together: they are counted before the shuffle, and one row meets its sentence
+    counted = rows.groupBy("sentence_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(~F.col("aspect").isin(ASPECTS), 1)).alias("aspects"),
+        F.count(F.when(~F.col("aspect_probability").between(0.5, 1), 1)).alias("ranges"),
+    )
+    known = counted.join(fx.sentences(spark, d).select("sentence_id", F.lit(True).alias("known")), "sentence_id", "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return known.agg(
-        F.count(F.when(F.col("known").isNull(), 1)).alias("unknown_sentences"),
-        F.count(F.when(~F.col("aspect").isin(ASPECTS), 1)).alias("unknown_aspects"),
-        F.count(F.when(~F.col("aspect_probability").between(0.5, 1), 1)).alias("out_of_range"),
+        total(F.when(F.col("known").isNull(), F.col("n"))).alias("unknown_sentences"),
+        total("aspects").alias("unknown_aspects"),
+        total("ranges").alias("out_of_range"),
     )
 
 
@@ -813,11 +820,17 @@ def detector_recomputed(spark, d):
     """Probabilities of the loaded detector against the sums of term weights times stored weights."""
     model, stored = _stored_detector(spark, d)
     rows = stage(fx.sentences(spark, d).select("sentence_id", "sentence_text"), "sentences")
-    margins = model.features.weights(rows, "sentence_id", "sentence_text").join(stored, "id").groupBy(F.col("doc").alias("sentence_id"), "aspect").agg(F.sum(F.col("weight") * F.col("w")).alias("m"))
-    found = model.probabilities(rows, "sentence_text", ["sentence_id"]).select("sentence_id", F.inline("detected"))
-    both = found.join(margins, ["sentence_id", "aspect"], "left").join(stored.select("aspect", "intercept").distinct(), "aspect")
+    # a row per term with the weights of all aspects: a sentence's terms stand together, so their sums are
+    # nearly all made before the shuffle, which carries one narrow row per sentence
+    wide = F.broadcast(stored.groupBy("id").pivot("aspect", list(model.aspects)).agg(F.first("w")))
+    sums = [F.sum(F.col("weight") * F.col(f"`{a}`")).alias(f"m{i}") for i, a in enumerate(model.aspects)]
+    margins = model.features.weights(rows, "sentence_id", "sentence_text").join(wide, "id").groupBy(F.col("doc").alias("sentence_id")).agg(*sums)
+    both = model.probabilities(rows, "sentence_text", ["sentence_id"]).join(margins, "sentence_id", "left")
+    margin = F.element_at(F.array(*[f"m{i}" for i in range(len(model.aspects))]), F.col("_at") + 1)
+    long = both.select("*", F.posexplode("detected").alias("_at", "d")).select("d.aspect", "d.probability", margin.alias("m"))
+    long = long.join(F.broadcast(stored.select("aspect", "intercept").distinct()), "aspect")
     plain = 1 / (1 + F.exp(-(F.coalesce("m", F.lit(0.0)) + F.col("intercept"))))
-    return both.groupBy("aspect").agg(F.count(F.lit(1)).alias("scored"), F.count_if(F.abs(plain - F.col("probability")) < 1e-9).alias("agreeing"))
+    return long.groupBy("aspect").agg(F.count(F.lit(1)).alias("scored"), F.count_if(F.abs(plain - F.col("probability")) < 1e-9).alias("agreeing"))
 
 
 @query
