@@ -101,4 +101,5 @@ def model_input(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sentences(spark: SparkSession, folder: str) -> DataFrame:
-    return layers.aspect_sentences(silver(spark, folder))
+    unread = ("review_text", "summary", "profile_name", "review_time_raw", "_source_file")
+    return layers.aspect_sentences(layers.to_silver(bronze(spark, folder), leave_out=unread))

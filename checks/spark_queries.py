@@ -390,7 +390,7 @@ def aspect_coverage(spark, d):
 def _seeded(spark, d) -> DataFrame:
     """Seeded aspects of every sentence, with a stand-in for the detector's probability."""
     rows = _labelled(spark, d).select("sentence_id", "sentence_index", "sentence_text", "seed_aspects")
-    scored = aspects.sentence_polarity(aspects.sentence_aspects(rows), POLARITY)
+    scored = aspects.aspect_polarity(rows, POLARITY)
     return scored.withColumn("aspect_probability", (F.col("sentence_index") * 37 % 101) / 100.0)
 
 

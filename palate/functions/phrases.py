@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cache, cached_property
 
-from palate.functions.sqltext import let, member, quoted
+from palate.functions.sqltext import FEW_WORDS, has_one_of, let, member, quoted, those_in
 from palate.functions.text import mention_pattern
 
 Lexicon = dict[str, list[str]]
@@ -47,7 +47,9 @@ def folded(phrase: str) -> str:
 def fold(text: str) -> str:
     """SQL: ``text`` with letters that differ in case only made equal."""
     rare, common = _rare_letters()
-    return f"translate(lower(replace({text}, '{_CAPITAL_I_DOT}', 'i')), {quoted(rare)}, {quoted(common)})"
+    # no such letter is ASCII, as most texts are
+    other = f"translate(lower(replace({text}, '{_CAPITAL_I_DOT}', 'i')), {quoted(rare)}, {quoted(common)})"
+    return f"IF(octet_length({text}) = length({text}), lower({text}), {other})"
 
 
 def _is_word(part: str) -> bool:
@@ -69,16 +71,18 @@ class Phrases:
         return {n: [t for t in dict.fromkeys(terms) if not all(map(_is_word, t.split(" ")))] for n, terms in self.lists.items()}
 
     def hits(self, text: str) -> str:
-        """SQL: the known phrases of ``text``, each as often as it stands there."""
+        """SQL: the known phrases of ``text``, each at least once."""
         every = list(dict.fromkeys(t for terms in self._plain.values() for t in terms))
         sizes = sorted({t.count(" ") + 1 for t in every})
-        # other characters become words of their own, and neighbouring spaces an empty one
-        apart = rf"regexp_replace({fold(text)}, {quoted(r'[^\p{L}\p{N}_ ]+')}, ' \u0001 ')"
+        # other characters become words of their own, and neighbouring spaces an empty one; where no run of
+        # words is looked for, they may go
+        between = quoted(" \u0001 " if sizes != [1] else " ")
+        cut = rf"split(regexp_replace(hf, {quoted(r'[^\p{L}\p{N}_ ]+')}, {between}), ' ')"
         runs = []
         for n in sizes:
             own = [t for t in every if t.count(" ") + 1 == n]
             if n == 1:
-                runs.append(f"filter(ht, hg -> {member('hg', own)})")
+                runs.append(those_in("ht", own, "hg"))
                 continue
             first = member("element_at(ht, hi)", (t.split(" ")[0] for t in own))
             starts = f"filter(sequence(1, size(ht) - {n - 1}), hi -> {first})"
@@ -86,10 +90,15 @@ class Phrases:
             runs.append(f"IF(size(ht) >= {n}, {joined}, array())")
         if not runs:
             return "CAST(array() AS ARRAY<STRING>)"
-        return let("ht", f"split({apart}, ' ')", f"concat({', '.join(runs)})")
+        found = those_in(cut, every, "hg") if sizes == [1] else let("ht", cut, f"concat({', '.join(runs)})")
+        if len(every) <= FEW_WORDS:
+            # a text is only cut where the letters of some phrase's first word stand in it
+            perhaps = " OR ".join(f"contains(hf, {quoted(w)})" for w in dict.fromkeys(t.split(" ")[0] for t in every))
+            found = f"IF({perhaps}, {found}, CAST(array() AS ARRAY<STRING>))"
+        return let("hf", fold(text), found)
 
     def found(self, name: str, text: str, hits: str) -> str:
         """SQL: whether ``text`` holds a phrase of ``name``; ``hits`` are those of the text."""
-        tests = [f"exists({hits}, hn -> {member('hn', self._plain[name])})"] if self._plain[name] else []
+        tests = [has_one_of(hits, self._plain[name], "hn")] if self._plain[name] else []
         tests += [f"({text} RLIKE {quoted(mention_pattern(self._odd[name]))})"] if self._odd[name] else []
         return f"({' OR '.join(tests)})" if tests else "false"

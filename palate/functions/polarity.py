@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from palate.functions.sqltext import let, member, number_of, quoted
+from palate.functions.sqltext import let, member, number_of, quoted, those_in
 from palate.functions.text import SPOKEN_WORD_PATTERN
 
 # Fixed values of the published method.
@@ -41,28 +41,36 @@ class PolarityRules:
 def polarity(text: str, rules: PolarityRules) -> str:
     """Polarity of a sentence in (-1, 1) as SQL; ``text`` is a column or expression in SQL. 0.0 when no
     word is in the lexicon; null for null."""
-    words = {w: v for w, v in rules.valence.items() if w not in rules.boosters}
-    listed = f"transform(regexp_extract_all({text}, {quoted(SPOKEN_WORD_PATTERN)}, 0), pw -> struct(lower(pw) AS w, upper(pw) = pw AND lower(pw) <> pw AS capitals))"
-    known = member("pk.w", words)
+    words = {w: v for w, v in rules.valence.items() if w and w not in rules.boosters}
+    if not words:
+        return f"IF({text} IS NULL, CAST(NULL AS DOUBLE), 0D)"
+    spoken = f"regexp_extract_all({text}, {quoted(SPOKEN_WORD_PATTERN)}, 0)"
+    lowered = "split(lower(array_join(po, ' ')), ' ')"  # all words at once: none holds a blank
+    capital = "(upper({0}) = {0} AND lower({0}) <> {0})"
     # capitals stand out only next to other words; the first contrast word divides the sentence
-    facts = (
-        "struct(pl AS l, exists(pl, pc -> pc.capitals) AND exists(pl, pd -> NOT pd.capitals) AS mixed, "
-        f"array_position(transform(pl, pb -> {member('pb.w', rules.contrast)}), true) AS turn)"
-    )
-    loud = f"IF(pz.mixed AND {{word}}.capitals, {CAPITALS}D, 0D)"
-    start = let("pv", number_of("px.w", words), f"pv + sign(pv) * {loud.format(word='px')}")
+    mixed = f"array_join(po, ' ') <> array_join(pl, ' ') AND exists(po, pc -> {capital.format('pc')}) AND exists(po, pd -> NOT {capital.format('pd')})"
+    contrast = list(dict.fromkeys(rules.contrast))
+    turn = f"array_position(pl, {quoted(contrast[0])})" if len(contrast) == 1 else f"array_position(transform(pl, pb -> {member('pb', contrast)}), true)"
+    changing = [w for w in (*rules.boosters, *rules.negators) if w]
+    facts = f"struct(po AS o, pl AS l, ph AS known, {those_in('pl', changing, 'pg')} AS changing, {mixed} AS mixed, {turn} AS turn)"
+    loud = f"pz.mixed AND {capital}"
+    start = let("pv", number_of("px", words), f"IF({loud.format('get(pz.o, pi)')}, pv + sign(pv) * {CAPITALS}D, pv)")
     factor = f"element_at(array({', '.join(f'{f}D' for f in DISTANCE_FACTORS)}), pn)"
-    boost = number_of("pp.w", rules.boosters, "NULL")
-    added = let("pq", boost, f"pa + coalesce(sign(pa) * {factor} * (pq + {loud.format(word='pp')}), 0D)")
-    negated = f"IF({member('pp.w', rules.negators)}, {NEGATION_FACTOR}D, 1D)"
-    step = let("pp", "get(pz.l, pi - pn)", f"IF(pp IS NULL, pa, {added} * {negated})")
+    boost = number_of("pp", rules.boosters, "NULL")
+    louder = f"IF({loud.format('get(pz.o, pi - pn)')}, {CAPITALS}D, 0D)"
+    added = let("pq", boost, f"pa + coalesce(sign(pa) * {factor} * (pq + {louder}), 0D)")
+    negated = f"IF({member('pp', rules.negators)}, {NEGATION_FACTOR}D, 1D)"
+    # most words before it change nothing
+    step = let("pp", "get(pz.l, pi - pn)", f"IF(pp IS NOT NULL AND array_contains(pz.changing, pp), {added} * {negated}, pa)")
     near = ", ".join(str(n) for n in range(1, len(DISTANCE_FACTORS) + 1))
     weight = f"CASE WHEN pz.turn = 0 OR pi + 1 = pz.turn THEN 1D WHEN pi + 1 < pz.turn THEN {BEFORE_CONTRAST}D ELSE {AFTER_CONTRAST}D END"
-    value = f"IF({member('px.w', words)}, {weight} * aggregate(array({near}), {start}, (pa, pn) -> {step}), 0D)"
+    valence = f"IF(size(pz.changing) = 0, {start}, aggregate(array({near}), {start}, (pa, pn) -> {step}))"
+    value = f"IF(array_contains(pz.known, px), {weight} * {valence}, 0D)"
     total = f"aggregate(transform(pz.l, (px, pi) -> {value}), 0D, (ps, pt) -> ps + pt)"
     count = lambda mark: f"(length({text}) - length(replace({text}, '{mark}', '')))"
-    questions = f"CASE WHEN {count('?')} <= 1 THEN 0D WHEN {count('?')} <= {MOST_QUESTIONS} THEN {QUESTION}D * {count('?')} ELSE {MANY_QUESTIONS}D END"
+    questions = let("pr", count("?"), f"CASE WHEN pr <= 1 THEN 0D WHEN pr <= {MOST_QUESTIONS} THEN {QUESTION}D * pr ELSE {MANY_QUESTIONS}D END")
     marks = f"({EXCLAMATION}D * least({count('!')}, {MOST_EXCLAMATIONS}) + {questions})"
     squashed = let("pe", let("pf", total, f"pf + sign(pf) * {marks}"), f"pe / sqrt(pe * pe + {NORMALIZER}D)")
-    whole = let("pl", listed, f"IF(exists(pl, pk -> {known}), {let('pz', facts, squashed)}, 0D)")
+    known = let("ph", those_in("pl", words, "pk"), f"IF(size(ph) > 0, {let('pz', facts, squashed)}, 0D)")
+    whole = let("po", spoken, let("pl", lowered, known))
     return f"IF({text} IS NULL, CAST(NULL AS DOUBLE), {whole})"

@@ -22,6 +22,32 @@ def member(value: str, words: Iterable[str]) -> str:
     return f"({value} IN ({listed}))" if listed else "false"
 
 
+#: Words that are worth hashing anew for each text; more of them are one set of their own.
+FEW_WORDS = 32
+
+
+def listed(words: Iterable[str]) -> str:
+    """An array of the words."""
+    return f"CAST(array({', '.join(quoted(w) for w in dict.fromkeys(words))}) AS ARRAY<STRING>)"
+
+
+def those_in(array: str, words: Iterable[str], variable: str) -> str:
+    """Elements of ``array`` that are among ``words``; of a few words each once, and no call per element.
+    ``variable`` is a name free inside ``array``'s place."""
+    words = list(dict.fromkeys(words))
+    if len(words) <= FEW_WORDS:
+        return f"array_intersect({array}, {listed(words)})"
+    return f"filter({array}, {variable} -> {member(variable, words)})"
+
+
+def has_one_of(array: str, words: Iterable[str], variable: str) -> str:
+    """True where an element of ``array`` is among ``words``."""
+    words = list(dict.fromkeys(words))
+    if len(words) <= FEW_WORDS:
+        return f"arrays_overlap({array}, {listed(words)})"
+    return f"exists({array}, {variable} -> {member(variable, words)})"
+
+
 def number_of(value: str, numbers: Mapping[str, float], otherwise: str = "0D") -> str:
     """The number of a word: one set test per distinct number."""
     words_of: dict[float, list[str]] = defaultdict(list)

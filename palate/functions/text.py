@@ -24,7 +24,8 @@ ENTITY_RULES = (
     (r"(?i)&(?:apos|#39);", "'"),
     (r"(?i)&(?:nbsp|lt|gt);|&#[0-9]+;", " "),
 )
-SENTENCE_BREAK = r"(?<=[.!?])\s+"
+# Blanks after an end mark. The blank is tried first, as most characters are none.
+SENTENCE_BREAK = r"\s(?<=[.!?]\s)\s*"
 SENTENCE_OR_LINE_BREAK = r"(?<=[.!?])\s+|[\r\n]+"
 
 # A word is two or more letters, digits or underscores, in any script.
@@ -48,7 +49,7 @@ def let(value: Column, body) -> Column:
 
 def collapse(text: Column) -> Column:
     """Every run of blanks to one space. Lone spaces, nearly all of them, are not touched."""
-    return F.regexp_replace(text, r"\s{2,}|[^\S ]", " ")
+    return F.regexp_replace(text, r"\s(?:\s+|(?<! ))", " ")
 
 
 def count_words(collapsed: Column) -> Column:

@@ -29,8 +29,9 @@ def first_per_group(df: DataFrame, keys: list[Column], order: list[Column], n: i
     return ranked.filter(F.col("_rank") <= n).drop("_rank")
 
 
-def first_per_text(df: DataFrame, text: str, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each group of equal ``text`` and ``keys``; of rows equal in ``order`` any one.
+def first_per_text(df: DataFrame, text: str | Column, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each group of equal ``text`` (a column or what is derived from it) and ``keys``; of
+    rows equal in ``order`` any one.
 
     No text is shuffled while few rows are there or few are dropped (the numbers of up to
     ``MAX_BROADCAST_ROWS`` winners or losers are sent to every task); with more the stored rows meet the
@@ -38,7 +39,7 @@ def first_per_text(df: DataFrame, text: str, keys: list[str], order: list[Column
     """
     seen = Observation()
     rows = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn("_place", F.monotonically_increasing_id()), "dedup")
-    keyed = rows.select("_place", text_digest(F.col(text)).alias("_text"), *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[o.alias(f"_by{i}") for i, o in enumerate(order)])
+    keyed = rows.select("_place", text_digest(F.col(text) if isinstance(text, str) else text).alias("_text"), *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[o.alias(f"_by{i}") for i, o in enumerate(order)])
     firsts = first_per_group(keyed, [F.col("_text"), *[F.col(f"_key{i}") for i in range(len(keys))]], [*[F.col(f"_by{i}") for i in range(len(order))], F.col("_place")])
     if seen.get["rows"] <= MAX_BROADCAST_ROWS:
         return rows.join(F.broadcast(firsts.select("_place")), "_place", "left_semi").drop("_place")
@@ -51,8 +52,10 @@ def first_per_text(df: DataFrame, text: str, keys: list[str], order: list[Column
 
 
 def dedup_product(df: DataFrame) -> DataFrame:
-    """One row per product, user, time and text: the lowest id stays."""
-    return first_per_text(df, "normalized_text", ["product_id", "user_id", "review_time_epoch"], [F.col("id"), F.col("_record_id")])
+    """One row per product, user, time and text: the lowest id stays. Where the normalized text is not
+    given, it is the clean one in lower case."""
+    normalized = "normalized_text" if "normalized_text" in df.columns else F.lower("review_text_clean")
+    return first_per_text(df, normalized, ["product_id", "user_id", "review_time_epoch"], [F.col("id"), F.col("_record_id")])
 
 
 def dedup_text(df: DataFrame) -> DataFrame:

@@ -112,11 +112,16 @@ def valid_reviews(typed: DataFrame) -> DataFrame:
     return with_text(valid_fields(typed))
 
 
-def to_silver(bronze: DataFrame, now: Column | None = None) -> DataFrame:
-    """Typed, valid reviews, one per product, user, time and text, with derived columns."""
+def to_silver(bronze: DataFrame, now: Column | None = None, leave_out: tuple[str, ...] = ()) -> DataFrame:
+    """Typed, valid reviews, one per product, user, time and text, with derived columns. Columns of the
+    first layer in ``leave_out`` are not wanted, and not stored on the way."""
     # Empty texts only ever meet each other in the dedup, so they may leave after it. Before
     # it the test would be pushed to the scan and every text cleaned twice.
-    kept = with_text(dedup.dedup_product(valid_fields(typed_reviews(bronze))))
+    typed = valid_fields(typed_reviews(bronze))
+    order = [c for c in typed.columns if c not in leave_out]
+    # the normalized text is the clean one in lower case: stored once, derived from what is stored
+    kept = with_text(dedup.dedup_product(typed.drop("normalized_text", *leave_out)))
+    kept = kept.withColumn("normalized_text", F.lower("review_text_clean")).select(*order)
     score = F.col("score")
     return kept.withColumns(
         {
