@@ -269,10 +269,11 @@ def hash_sample(
 
 
 def balance_train(
-    df: DataFrame, label: str = "label", key: str = "record_id", cap: int = 75_000, kind: str = "xxhash64", seed: int = 42
+    df: DataFrame, label: str = "label", key: str = "record_id", cap: int | None = 75_000, kind: str = "xxhash64", seed: int = 42
 ) -> DataFrame:
-    """Equal rows of each class: the smallest class sets the number, up to ``cap``."""
-    return take_quota(df, label, lambda sizes: {g: min([*sizes.values(), cap]) for g in sizes}, key, kind, seed)
+    """Equal rows of each class: the smallest class sets the number, up to ``cap`` if there is one."""
+    most = [] if cap is None else [cap]
+    return take_quota(df, label, lambda sizes: {g: min([*sizes.values(), *most]) for g in sizes}, key, kind, seed)
 
 
 def realistic_quotas(positives: int, negatives: int, share: float = 0.78, max_rows: int | None = 8_000) -> dict[int, int]:
